@@ -1,2 +1,90 @@
-STREAM_Q = {}
-STREAM_ORACLES = {}
+"""Registered streaming queries: each runs its stream to completion
+(``availableNow``) and returns the sink read back as a DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pulselens.plans import params as P
+from pulselens.plans.catalog import round_doubles
+from pulselens.sources.sink import read_slices
+from pulselens.streaming import jobs
+
+DELAY_MIN = 10
+
+
+def _kpi(spark, sf):
+    path, _ = jobs.run_to_parquet(jobs.kpi_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes"), "kpi15")
+    return spark.read.parquet(path)
+
+
+def _users(spark, sf):
+    path, _ = jobs.run_to_parquet(
+        jobs.distinct_users_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes"), "users15")
+    return spark.read.parquet(path)
+
+
+def _alerts(spark, sf):
+    _, alert_path, _ = jobs.alerts_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes", P.IQR_A, P.IQR_N)
+    return round_doubles(spark.read.parquet(alert_path).drop("batch_id"))
+
+
+def _late(spark, sf):
+    return jobs.late_data_report(spark, sf, f"{DELAY_MIN} minutes")
+
+
+def _slices(spark, sf):
+    return read_slices(spark, jobs.daily_slices_stream(spark, sf))
+
+
+STREAM_Q = {
+    "stream_kpi_15min": _kpi,
+    "stream_distinct_users": _users,
+    "stream_alerts": _alerts,
+    "stream_late_data": _late,
+    "stream_daily_slices": _slices,
+}
+
+
+def _oracles():
+    from pulselens.plans import oracles as O
+    closed = (f"ts + INTERVAL 15 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events) "
+              f"- INTERVAL {DELAY_MIN} MINUTE")
+    tagged = """tg AS (
+  SELECT user_id, ts, CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'like' ELSE 'message' END AS kind,
+         time_bucket(INTERVAL '15 minutes', ts) AS w
+  FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup'))"""
+    kpi = f"""WITH {tagged},
+k AS (SELECT w AS ts, w + INTERVAL 15 MINUTE AS ts_end, count_if(kind = 'like') AS likes,
+             count_if(kind = 'view') AS views, count_if(kind = 'message') AS sent_messages FROM tg GROUP BY w)
+SELECT ts, ts_end, likes, views, round(likes / nullif(views, 0), 2) AS CTR, sent_messages FROM k WHERE {closed}"""
+    users = f"""WITH {tagged}
+SELECT w AS ts, w + INTERVAL 15 MINUTE AS ts_end,
+       count(DISTINCT CASE WHEN kind <> 'message' THEN user_id END) AS users_feed,
+       count(DISTINCT CASE WHEN kind = 'message' THEN user_id END) AS users_message
+FROM tg GROUP BY w HAVING w + INTERVAL 15 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
+  - INTERVAL {DELAY_MIN} MINUTE"""
+    lg = "lg AS (" + " UNION ALL ".join(
+        f"SELECT ts, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM kpi" for m in jobs.STREAM_KPI_METRICS) + ")"
+    text = (f"'Metric ' || metric || ':' || {O.NL} || 'Current value ' || printf('%.2f', round(value, 2)) || {O.NL} || "
+            f"'Deviation from previous value ' || coalesce({O.pct_text_sql('deviation')}, 'n/a')")
+    alerts = f"""WITH {tagged},
+k AS (SELECT w AS ts, w + INTERVAL 15 MINUTE AS ts_end, count_if(kind = 'like') AS likes,
+             count_if(kind = 'view') AS views, count_if(kind = 'message') AS sent_messages FROM tg GROUP BY w),
+kpi AS (SELECT ts, ts_end, likes, views, round(likes / nullif(views, 0), 2) AS CTR, sent_messages
+        FROM k WHERE {closed}),
+{lg},
+{O.bands_ctes()}"""
+    alerts += f""",
+al AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value,
+              max(ts) OVER (PARTITION BY metric) AS last_ts FROM bands),
+al2 AS (SELECT *, abs(1.0 - value / nullif(prev_value, 0)) AS deviation,
+               coalesce(value < low OR value > up, false) AS is_alert FROM al WHERE ts = last_ts)
+SELECT metric, ts, {O.rnd(['value', 'prev_value', 'deviation', 'q25', 'q75', 'up', 'low'])}, is_alert,
+       CASE WHEN is_alert THEN {text} END AS text FROM al2"""
+    slices = f"WITH {O.FEED},\n{O.MSG},\n{O.joined_ctes('true')}\n{O.slices_sql()}"
+    return {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts,
+            "stream_daily_slices": slices}
+
+
+STREAM_ORACLES = _oracles()
