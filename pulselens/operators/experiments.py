@@ -122,6 +122,13 @@ def bucket_ctr(feed: DataFrame, first_day, last_day, groups, n_buckets: int = 50
 
 # ---- resampling -----------------------------------------------------------------
 
+def _default_partitions(df: DataFrame) -> int:
+    """Tasks for a replicate explosion: the session's shuffle parallelism.
+    The user table is small but the exploded work is users x replicates, so
+    it is spread explicitly (AQE keeps a user-specified partition count)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: int | None = None) -> DataFrame:
     """``n_boot`` Poisson(1) re-weightings of users; per replicate the
     global CTR of each group and their difference.
@@ -132,10 +139,12 @@ def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: in
     ``n_boot`` rows and the users x replicates matrix never exists."""
     g = F.col("exp_group")
     x = users.where(g.isin(a, b)).select("exp_group", "user_id", "likes", "views")
-    if partitions:
-        x = x.repartition(partitions, "user_id")
+    x = x.repartition(partitions or _default_partitions(users), "user_id")
     x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
-    w = poisson1_from_uniform(md5_uniform("rep", "user_id")).cast("bigint")
+    # the hash and the weight are projected once per row (referenced by four sums)
+    x = x.withColumn("_u", md5_uniform("rep", "user_id"))
+    x = x.withColumn("_w", poisson1_from_uniform(F.col("_u")).cast("bigint")).drop("_u")
+    w = F.col("_w")
     agg = x.groupBy("rep").agg(
         F.sum(F.when(g == F.lit(a), w * F.col("likes"))).alias("likes_a"),
         F.sum(F.when(g == F.lit(a), w * F.col("views"))).alias("views_a"),
@@ -179,11 +188,10 @@ def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 50
     k_eff = F.least(F.lit(k), F.floor(F.col("n_pool") / F.lit(2)))
     # at most two rows (one per sample)
     x = x.join(F.broadcast(sizes), "s").withColumn("k_eff", k_eff).drop("n_pool")
-    if partitions:
-        x = x.repartition(partitions, "user_id")
+    x = x.repartition(partitions or _default_partitions(users), "user_id")
     x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep"))
-    h = md5_uniform("s", "rep", "user_id")
-    w = Window.partitionBy("rep", "s").orderBy(h, F.col("user_id"))
+    x = x.withColumn("_h", md5_uniform("s", "rep", "user_id"))
+    w = Window.partitionBy("rep", "s").orderBy(F.col("_h"), F.col("user_id"))
     drawn = (x.withColumn("rn", F.row_number().over(w))
               .where(F.col("rn") <= F.lit(k))
               .where(F.col("rn") <= F.col("k_eff")))
