@@ -27,10 +27,11 @@ def cut_sql(c: str, edges=AGE_EDGES, labels=AGE_LABELS) -> str:
 
 
 def pct_text(x: Column) -> Column:
-    """``{:.2%}``-style text; rounds first so every engine prints the same."""
-    return F.format_string("%.2f%%", F.round(x * F.lit(100.0), 2))
+    """``{:.2%}``-style text; rounds first so every engine prints the same.
+    (``format_string`` would print a NULL as "nu%", hence the guard.)"""
+    return F.when(x.isNotNull(), F.format_string("%.2f%%", F.round(x * F.lit(100.0), 2)))
 
 
 def num_text(x: Column) -> Column:
     """``{:.2f}``-style text."""
-    return F.format_string("%.2f", F.round(x, 2))
+    return F.when(x.isNotNull(), F.format_string("%.2f", F.round(x, 2)))

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselens.functions.bins import cut, pct_text
+from pulselens.functions.bins import cut, num_text, pct_text
 from pulselens.functions.timeexpr import as_date, dmy, floor_15min, time_range
 from pulselens.operators.filters import fixed_period, last_days, on_day
 
@@ -259,7 +259,7 @@ def digest_app_changes(feed: DataFrame, messages: DataFrame, as_of, n_days: int
     wide = digest_app_week(feed, messages, as_of, n_days)
     ch = day_over_day(long_series(wide, "date", APP_METRICS))
     report_day = as_date(as_of) - dt.timedelta(days=1)
-    value_text = F.when(F.col("metric") == "CTR", F.format_string("%.2f", F.round("value", 2))) \
+    value_text = F.when(F.col("metric") == "CTR", num_text(F.col("value"))) \
                   .otherwise(F.col("value").cast("bigint").cast("string"))
     text = F.concat(F.col("metric"), F.lit(" = "), value_text, F.lit(" ("),
                     F.coalesce(pct_text(F.col("pct_change")), F.lit("n/a")), F.lit(" change vs 1 day before)"))
