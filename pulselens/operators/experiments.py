@@ -92,13 +92,15 @@ def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
 
 def smoothed_ctr(users: DataFrame, alpha: float = 5.0, groups=None) -> DataFrame:
     """X2 input: ``(likes + alpha * g) / (views + alpha)`` with ``g`` the user's
-    own group's global CTR.  The group CTR table has one row per experiment
-    group (a small fixed domain), so it is broadcast."""
+    own group's global CTR.  With ``groups`` given the group CTR table has at
+    most ``len(groups)`` rows and is broadcast; otherwise AQE decides."""
+    g = group_ctr(users if groups is None else users.where(F.col("exp_group").isin(list(groups))))
+    g = g.select("exp_group", F.col("global_ctr").alias("_g"))
     if groups is not None:
         users = users.where(F.col("exp_group").isin(list(groups)))
-    g = group_ctr(users).select("exp_group", F.col("global_ctr").alias("_g"))
+        g = F.broadcast(g)          # at most len(groups) rows
     sm = (F.col("likes") + F.lit(alpha) * F.col("_g")) / (F.col("views") + F.lit(alpha))
-    return users.join(F.broadcast(g), "exp_group", "inner").withColumn("smoothed_ctr", sm).drop("_g")
+    return users.join(g, "exp_group", "inner").withColumn("smoothed_ctr", sm).drop("_g")
 
 
 def linearized_likes(users: DataFrame, control) -> DataFrame:
@@ -238,7 +240,7 @@ def ab_report(feed: DataFrame, first_day, last_day, a, b, alpha: float = 5.0, n_
     ``p_value`` is the two-sided share ``2 * min(P(diff < 0), P(diff > 0))``."""
     from pulselens.operators.metrics import user_ctr
     users = user_ctr(feed, first_day, last_day, [a, b])
-    sm = smoothed_ctr(users, alpha)
+    sm = smoothed_ctr(users, alpha, [a, b])
     lin = linearized_likes(users, a)
     bk = bucket_ctr(feed, first_day, last_day, [a, b], n_buckets)
     ci = bootstrap_diff_ci(poisson_bootstrap(users, a, b, n_boot))

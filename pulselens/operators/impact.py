@@ -69,8 +69,9 @@ def impact_trend(long_df: DataFrame, pre, post, keys=("metric",)) -> DataFrame:
     in_post = (d >= F.lit(q0)) & (d <= F.lit(q1))
     fit = long_df.where(in_pre).groupBy(*keys).agg(
         F.regr_slope("value", x).alias("slope"), F.regr_intercept("value", x).alias("intercept"))
-    # one row per series: broadcast-sized by construction
-    post_rows = long_df.where(in_post).join(F.broadcast(fit), list(keys), "inner")
+    # one row per series; the number of series (metric x segment) is not
+    # bounded by construction, so AQE decides at run time whether to broadcast
+    post_rows = long_df.where(in_post).join(fit, list(keys), "inner")
     pred = F.col("intercept") + F.col("slope") * x
     return (post_rows.groupBy(*keys, "slope", "intercept")
                      .agg(F.count("value").alias("n_post"), F.avg("value").alias("actual"),

@@ -495,7 +495,7 @@ def _(spark, sf):
 
 @q("ab_welch_smoothed")
 def _(spark, sf):
-    sm = experiments.smoothed_ctr(_ab_users(spark, sf), P.ALPHA)
+    sm = experiments.smoothed_ctr(_ab_users(spark, sf), P.ALPHA, P.AB_GROUPS)
     return round_doubles(experiments.welch(sm, "smoothed_ctr", *P.AB_GROUPS))
 
 
@@ -525,7 +525,7 @@ def _(spark, sf):
 
 @q("ab_mannwhitney_smoothed")
 def _(spark, sf):
-    sm = experiments.smoothed_ctr(_ab_users(spark, sf), P.ALPHA)
+    sm = experiments.smoothed_ctr(_ab_users(spark, sf), P.ALPHA, P.AB_GROUPS)
     return round_doubles(experiments.mann_whitney(sm, "smoothed_ctr", *P.AB_GROUPS))
 
 
@@ -537,7 +537,7 @@ def _(spark, sf):
 @q("ab_prob_superiority")
 def _(spark, sf):
     users = _ab_users(spark, sf)
-    sm = experiments.smoothed_ctr(users, P.ALPHA)
+    sm = experiments.smoothed_ctr(users, P.ALPHA, P.AB_GROUPS)
     parts = [(users, "ctr"), (sm, "smoothed_ctr"), (_buckets(spark, sf), "bucket_ctr")]
     out = None
     for df, col in parts:
