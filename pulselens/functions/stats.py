@@ -21,16 +21,35 @@ from pyspark.sql import functions as F
 STEPS = 1000
 
 
-def _simpson(lo: Column, hi: Column, f) -> Column:
-    h = (hi - lo) / F.lit(float(STEPS))
+def _weight(i: Column) -> Column:
+    return (F.when((i == 0) | (i == STEPS), F.lit(1.0))
+             .when(i % 2 == 1, F.lit(4.0))
+             .otherwise(F.lit(2.0)))
+
+
+def _simpson_ratio(lo_n: Column, hi_n: Column, lo_d: Column, hi_d: Column, f, param: Column) -> Column:
+    """(Simpson sum of f over [lo_n, hi_n]) / (Simpson sum over [lo_d, hi_d])
+    in one loop.  The bounds, step sizes and the density parameter are
+    computed once per row and carried in the accumulator, so an iteration
+    only evaluates the density twice."""
+    n = F.lit(float(STEPS))
+    init = F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den"),
+                    lo_n.alias("an"), ((hi_n - lo_n) / n).alias("hn"),
+                    lo_d.alias("ad"), ((hi_d - lo_d) / n).alias("hd"), param.alias("k"))
 
     def step(acc, i):
-        w = (F.when((i == 0) | (i == STEPS), F.lit(1.0))
-              .when(i % 2 == 1, F.lit(4.0))
-              .otherwise(F.lit(2.0)))
-        return acc + w * f(lo + i.cast("double") * h)
+        w = _weight(i)
+        x = i.cast("double")
+        return F.struct(
+            (acc["num"] + w * f(acc["an"] + x * acc["hn"], acc["k"])).alias("num"),
+            (acc["den"] + w * f(acc["ad"] + x * acc["hd"], acc["k"])).alias("den"),
+            acc["an"].alias("an"), acc["hn"].alias("hn"), acc["ad"].alias("ad"), acc["hd"].alias("hd"),
+            acc["k"].alias("k"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), step) * h / F.lit(3.0)
+    def finish(acc):
+        return (acc["num"] * acc["hn"] / F.lit(3.0)) / (acc["den"] * acc["hd"] / F.lit(3.0))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), init, step, finish)
 
 
 def t_two_sided_p(t: Column, nu: Column) -> Column:
@@ -38,23 +57,21 @@ def t_two_sided_p(t: Column, nu: Column) -> Column:
     big_l = F.least(F.lit(math.pi / 2), F.lit(12.0) / F.sqrt(nu))
     theta = F.least(F.atan(F.abs(t) / F.sqrt(nu)), big_l)
 
-    def dens(u):
-        return F.pow(F.greatest(F.cos(u), F.lit(0.0)), nu - F.lit(1.0))
+    def dens(u, k):
+        return F.pow(F.greatest(F.cos(u), F.lit(0.0)), k)
 
-    num = _simpson(theta, big_l, dens)
-    den = _simpson(F.lit(0.0), big_l, dens)
-    return F.when(t.isNull() | nu.isNull(), F.lit(None).cast("double")).otherwise(num / den)
+    p = _simpson_ratio(theta, big_l, F.lit(0.0), big_l, dens, nu - F.lit(1.0))
+    return F.when(t.isNull() | nu.isNull(), F.lit(None).cast("double")).otherwise(p)
 
 
 def normal_two_sided_p(z: Column) -> Column:
     a = F.abs(z)
 
-    def dens(x):
+    def dens(x, _k):
         return F.exp(-x * x / F.lit(2.0))
 
-    num = _simpson(a, a + F.lit(12.0), dens)
-    den = _simpson(F.lit(0.0), F.lit(12.0), dens)
-    return F.when(z.isNull(), F.lit(None).cast("double")).otherwise(num / den)
+    p = _simpson_ratio(a, a + F.lit(12.0), F.lit(0.0), F.lit(12.0), dens, F.lit(0.0))
+    return F.when(z.isNull(), F.lit(None).cast("double")).otherwise(p)
 
 
 # ---- the same tails as DuckDB SQL text (used by the oracle queries) --------
@@ -85,3 +102,40 @@ def normal_two_sided_p_sql(z: str) -> str:
 
     return (f"(CASE WHEN ({z}) IS NULL THEN NULL ELSE "
             f"{_simpson_sql(a, f'{a} + 12.0', dens)} / {_simpson_sql('0.0', '12.0', dens)} END)")
+
+
+def with_t_p_values(df, t: str, nu: str, keys: list[str], out: str = "p_value", partitions: int | None = None):
+    """The t tail for many rows at once (e.g. one test per replicate).
+
+    Same formula as ``t_two_sided_p``, but the Simpson grid is generated as
+    rows (``explode(sequence(0, STEPS))``) and summed by ``keys`` with a
+    plain aggregation, which runs in whole-stage codegen instead of an
+    interpreted lambda.  When ``df`` is already partitioned by ``keys``
+    (e.g. it comes out of a ``groupBy(keys)``), no shuffle is added.
+    ``keys`` must identify the rows; all other columns are carried along.
+    The rows are spread over ``partitions`` tasks first (default: the
+    session's shuffle parallelism): the grid is STEPS+1 rows per input row,
+    too much for the single partition AQE would coalesce a small input into."""
+    n_part = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n_part, *keys)
+    tc, nc = F.col(t), F.col(nu)
+    big_l = F.least(F.lit(math.pi / 2), F.lit(12.0) / F.sqrt(nc))
+    theta = F.least(F.atan(F.abs(tc) / F.sqrt(nc)), big_l)
+    carry = [c for c in df.columns if c not in keys]
+    x = df.select(*keys, *carry, theta.alias("_a"), big_l.alias("_l"), (nc - F.lit(1.0)).alias("_k"),
+                  F.explode(F.sequence(F.lit(0), F.lit(STEPS))).alias("_i"))
+    n = F.lit(float(STEPS))
+    i = F.col("_i")
+    w = _weight(i)
+    hn = (F.col("_l") - F.col("_a")) / n
+    hd = (F.col("_l") - F.lit(0.0)) / n
+
+    def dens(u):
+        return F.pow(F.greatest(F.cos(u), F.lit(0.0)), F.col("_k"))
+
+    agg = x.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in carry],
+        (F.sum(w * dens(F.col("_a") + i.cast("double") * hn)) * F.first(hn) / F.lit(3.0)).alias("_num"),
+        (F.sum(w * dens(F.lit(0.0) + i.cast("double") * hd)) * F.first(hd) / F.lit(3.0)).alias("_den"))
+    p = F.when(F.col(t).isNull() | F.col(nu).isNull(), F.lit(None).cast("double")).otherwise(F.col("_num") / F.col("_den"))
+    return agg.withColumn(out, p).drop("_num", "_den")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselens.functions.hashing import md5_uniform, poisson1_from_uniform, user_bucket
-from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p
+from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p, with_t_p_values
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import group_ctr, likes_expr, ratio, views_expr
 from pulselens.operators.ranking import DEFAULT_BUCKETS, prefix_sums, value_counts
@@ -32,7 +32,7 @@ def _moments(value: Column, group: Column, a, b) -> list[Column]:
             F.var_samp(va).alias("var_a"), F.var_samp(vb).alias("var_b")]
 
 
-def welch_columns(df: DataFrame) -> DataFrame:
+def welch_columns(df: DataFrame, p_value: bool = True) -> DataFrame:
     """t, df and two-sided p from ``n_a, n_b, mean_a, mean_b, var_a, var_b``.
     n < 2 or zero variance in both groups gives NULL t and p."""
     sa = F.col("var_a") / F.col("n_a")
@@ -40,8 +40,8 @@ def welch_columns(df: DataFrame) -> DataFrame:
     se2 = F.nullif(sa + sb, F.lit(0.0))
     t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2)
     dof = se2 * se2 / (sa * sa / F.nullif(F.col("n_a") - 1, F.lit(0)) + sb * sb / F.nullif(F.col("n_b") - 1, F.lit(0)))
-    return (df.withColumn("t", t).withColumn("df", dof)
-              .withColumn("p_value", t_two_sided_p(F.col("t"), F.col("df"))))
+    out = df.withColumn("t", t).withColumn("df", dof)
+    return out.withColumn("p_value", t_two_sided_p(F.col("t"), F.col("df"))) if p_value else out
 
 
 def welch(df: DataFrame, value: str, a, b, group: str = "exp_group") -> DataFrame:
@@ -198,7 +198,9 @@ def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 50
               .where(F.col("rn") <= F.lit(k))
               .where(F.col("rn") <= F.col("k_eff")))
     s = drawn.groupBy("rep").agg(*_moments(F.col("v"), F.col("s"), 1, 2))
-    return welch_columns(s).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "p_value")
+    s = welch_columns(s, p_value=False).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df")
+    # one tail per replicate: generated grid + codegen'd sum, same partitioning by rep
+    return with_t_p_values(s, "t", "df", ["rep"]).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "p_value")
 
 
 def aa_false_positive_rate(pvals: DataFrame, alpha: float = 0.05) -> DataFrame:
