@@ -653,7 +653,7 @@ SELECT n_reps, round(fpr_pct, 6) AS fpr_pct,
        CASE WHEN fpr_pct <= 5.0 THEN 'split ok' ELSE 'split suspicious' END AS verdict
 FROM (SELECT count(*) AS n_reps, avg(CASE WHEN p_value <= 0.05 THEN 1.0 ELSE 0.0 END) * 100.0 AS fpr_pct FROM aa)"""
     O["ab_histogram"] = f"""{ab}
-SELECT exp_group, bin, count(*) AS n, round({P.HIST_LO} + bin * {P.HIST_W}, 6) AS bin_lo FROM (
+SELECT exp_group, bin, count(*) AS n, round(CAST({P.HIST_LO} AS DOUBLE) + bin * CAST({P.HIST_W} AS DOUBLE), 6) AS bin_lo FROM (
   SELECT exp_group, CAST(floor((ctr - {P.HIST_LO}) / {P.HIST_W}) AS BIGINT) AS bin FROM u WHERE ctr IS NOT NULL)
 GROUP BY exp_group, bin"""
 
@@ -715,4 +715,10 @@ SELECT metric, {rnd(['slope', 'intercept'])}, n_post, {rnd(['actual', 'predicted
     return O
 
 
-ORACLES = build()
+def bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` is HUGEINT; Spark's is BIGINT."""
+    import re
+    return re.sub(r"count_if\(([^()]*)\)", r"CAST(count_if(\1) AS BIGINT)", sql)
+
+
+ORACLES = {k: bigint_counts(v) for k, v in build().items()}

@@ -83,8 +83,9 @@ al2 AS (SELECT *, abs(1.0 - value / nullif(prev_value, 0)) AS deviation,
 SELECT metric, ts, {O.rnd(['value', 'prev_value', 'deviation', 'q25', 'q75', 'up', 'low'])}, is_alert,
        CASE WHEN is_alert THEN {text} END AS text FROM al2"""
     slices = f"WITH {O.FEED},\n{O.MSG},\n{O.joined_ctes('true')}\n{O.slices_sql()}"
-    return {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts,
-            "stream_daily_slices": slices}
+    out = {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts,
+           "stream_daily_slices": slices}
+    return {k: O.bigint_counts(v) for k, v in out.items()}
 
 
 STREAM_ORACLES = _oracles()
