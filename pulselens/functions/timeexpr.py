@@ -39,10 +39,19 @@ def col_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def time_range(df: DataFrame, start, end, col: str = "time") -> DataFrame:
-    """Rows with ``start <= col < end`` (datetimes or dates)."""
+def time_range(df: DataFrame, start, end, col: str = "time", partition_col: str = "event_date") -> DataFrame:
+    """Rows with ``start <= col < end`` (datetimes or dates).
+
+    When the table carries a date partition column (``event_date``), the
+    equivalent day range is added on it too, so whole partitions are pruned
+    at planning time, not only Parquet row groups."""
     t = col_type(df, col)
-    return df.where((F.col(col) >= ts_lit(start, t)) & (F.col(col) < ts_lit(end, t)))
+    out = df.where((F.col(col) >= ts_lit(start, t)) & (F.col(col) < ts_lit(end, t)))
+    if partition_col in df.columns and isinstance(col_type(df, partition_col), T.DateType):
+        first = as_datetime(start).date()
+        last = (as_datetime(end) - dt.timedelta(microseconds=1)).date()
+        out = out.where((F.col(partition_col) >= F.lit(first)) & (F.col(partition_col) <= F.lit(last)))
+    return out
 
 
 def day_of(c) -> Column:

@@ -51,3 +51,18 @@ def test_no_cartesian_products(spark, key):
     p = plan(Q[key](spark, SF001))
     assert "CartesianProduct" not in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_partitioned_table_prunes_days(spark, tmp_path):
+    """On a table partitioned by event_date the day filter becomes a
+    partition filter, and results equal the unpartitioned scan."""
+    path = str(tmp_path / "feed")
+    feed = tables.feed_actions(spark, SF001)
+    tables.write_event_table(feed, path)
+    part = tables.read_feed_table(spark, path)
+    f = filters.on_day(part, dt.date(2024, 1, 31), -1)
+    p = plan(f)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "(event_date#" in p
+    a = sorted(tuple(r) for r in f.drop("event_date").collect())
+    b = sorted(tuple(r) for r in filters.on_day(feed, dt.date(2024, 1, 31), -1).collect())
+    assert a == b
