@@ -2,8 +2,13 @@
 
 A running sum ordered by a value over the whole table would force every row
 into one task.  Instead (two levels):
-  1. rows get an order-preserving bucket ``floor((v - min) / (max - min) * K)``
-     (min/max are scalar subqueries; the bucket is monotone in ``v``);
+  1. rows get an order-preserving bucket: by default the index of the
+     value among K-1 approximate quantiles (``approxQuantile`` returns K
+     numbers to the driver; Spark ML's ``Bucketizer`` finds the bucket by
+     binary search in the JVM), so buckets stay balanced even when one
+     outlier stretches the range; ``method="width"`` uses
+     ``floor((v - min) / (max - min) * K)`` with scalar-subquery min/max
+     (fully lazy, but one outlier can put almost everything in one bucket);
   2. per-bucket totals (at most K rows) get exclusive offsets with a window
      over the K rows only;
   3. inside each bucket a window partitioned by bucket adds the running sum,
@@ -20,16 +25,33 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 4096
 
 
-def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Adds ``{c}_lt`` = sum of ``c`` over rows with a smaller ``order_col``
-    (rows must be unique in ``order_col``)."""
+def _width_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
     v = F.col(order_col)
     lo = df.select(F.min(v)).scalar()
     hi = df.select(F.max(v)).scalar()
     span = F.nullif(hi - lo, F.lit(0))
     raw = F.floor((v - lo) / span * F.lit(float(n_buckets)))
     bkt = F.coalesce(F.least(F.lit(n_buckets - 1), F.greatest(F.lit(0), raw)), F.lit(0)).cast("int")
-    b = df.withColumn("_bkt", bkt)
+    return df.withColumn("_bkt", bkt)
+
+
+def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    qs = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
+    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
+    if len(splits) < 3:                      # one bucket (or a single distinct value)
+        return df.withColumn("_bkt", F.lit(0))
+    b = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bkt_d", handleInvalid="keep").transform(df)
+    return b.withColumn("_bkt", F.col("_bkt_d").cast("int")).drop("_bkt_d")
+
+
+def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
+                method: str = "quantile") -> DataFrame:
+    """Adds ``{c}_lt`` = sum of ``c`` over rows with a smaller ``order_col``
+    (rows must be unique in ``order_col`` and non-NULL)."""
+    df = df.select(F.col(order_col).cast("double").alias(order_col), *[c for c in df.columns if c != order_col])
+    b = (_quantile_buckets if method == "quantile" else _width_buckets)(df, order_col, n_buckets)
     totals = b.groupBy("_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     # window over at most n_buckets rows (bounded by the parameter, not by the data)
     wk = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)

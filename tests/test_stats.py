@@ -119,3 +119,17 @@ def test_aa_false_positive_rate_near_nominal(spark):
     assert 0.0 <= r.fpr_pct <= 15.0
     sizes = p.select("n_a", "n_b").distinct().collect()
     assert [tuple(x) for x in sizes] == [(100, 100)]
+
+
+def test_prefix_sums_quantile_buckets_balanced_with_outlier(spark):
+    from pyspark.sql import functions as F
+    vals = [i / 1000 for i in range(2000)] + [1e6]
+    df = spark.createDataFrame([(v, 1) for v in vals], "v double, c int")
+    out = ranking.prefix_sums(df, "v", ["c"], 16)
+    got = {r.v: r.c_lt for r in out.collect()}
+    assert all(got[v] == i for i, v in enumerate(sorted(vals)))
+    # equal-width buckets would put all but the outlier in bucket 0; quantile buckets stay balanced
+    from pulselens.operators.ranking import _quantile_buckets, _width_buckets
+    q = _quantile_buckets(df, "v", 16).groupBy("_bkt").count().agg(F.max("count")).first()[0]
+    w = _width_buckets(df, "v", 16).groupBy("_bkt").count().agg(F.max("count")).first()[0]
+    assert q <= 300 and w == 2000
