@@ -2,11 +2,10 @@
 
 A running sum ordered by a value over the whole table would force every row
 into one task.  Instead (two levels):
-  1. rows get an order-preserving bucket: by default the index of the
-     value among K-1 approximate quantiles (``approxQuantile`` returns K
-     numbers to the driver; Spark ML's ``Bucketizer`` finds the bucket by
-     binary search in the JVM), so buckets stay balanced even when one
-     outlier stretches the range; ``method="width"`` uses
+  1. rows get an order-preserving bucket: by default the position of the
+     value among K-1 quantile bounds (exact percentiles of a deterministic
+     hash sample, found by binary search), so buckets stay balanced even when
+     one outlier stretches the range; ``method="width"`` uses
      ``floor((v - min) / (max - min) * K)`` with scalar-subquery min/max
      (fully lazy, but one outlier can put almost everything in one bucket);
   2. per-bucket totals (at most K rows) get exclusive offsets with a window
@@ -19,6 +18,8 @@ so a bucket holds at most the distinct values that fall in its range.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,15 +36,43 @@ def _width_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
     return df.withColumn("_bkt", bkt)
 
 
+SAMPLE_TARGET = 100_000
+
+
 def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
-    if len(splits) < 3:                      # one bucket (or a single distinct value)
+    """Bucket = number of the K-1 bounds that are <= v (binary search).
+
+    The bounds are exact percentiles of a deterministic hash sample of about
+    ``SAMPLE_TARGET`` rows (scalar subqueries in the same plan), so they are
+    identical whenever they are evaluated, and every use of the bucket
+    column agrees."""
+    m = n_buckets - 1
+    if m <= 0:
         return df.withColumn("_bkt", F.lit(0))
-    b = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bkt_d", handleInvalid="keep").transform(df)
-    return b.withColumn("_bkt", F.col("_bkt_d").cast("int")).drop("_bkt_d")
+    v = F.col(order_col)
+    n = df.select(F.count(F.lit(1))).scalar()
+    stride = F.greatest(F.lit(1), F.ceil(n / F.lit(float(SAMPLE_TARGET))))
+    sample = df.where(F.pmod(F.xxhash64(v), stride) == 0)
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    bounds = sample.select(F.percentile(v, probs)).scalar()
+    steps = max(1, math.ceil(math.log2(m + 1)) + 1)
+
+    # subqueries may not appear inside a higher-order function: project the
+    # bounds as a column first and let the lambda read that column
+    df = df.withColumn("_bounds", bounds)
+    bcol = F.col("_bounds")
+
+    def step(acc, _i):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.least(F.floor((lo + hi) / F.lit(2)).cast("int"), F.lit(m - 1))
+        right = F.coalesce(F.element_at(bcol, mid + F.lit(1)) <= v, F.lit(False))
+        active = lo < hi
+        return F.struct(F.when(active & right, mid + F.lit(1)).otherwise(lo).alias("lo"),
+                        F.when(active & ~right, mid).otherwise(hi).alias("hi"))
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(m).alias("hi"))
+    bkt = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+    return df.withColumn("_bkt", bkt.cast("int")).drop("_bounds")
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
