@@ -48,22 +48,48 @@ def receiver_stats(messages: DataFrame) -> DataFrame:
                          F.count_distinct("user_id").alias("users_received")))
 
 
-def sender_receiver(messages: DataFrame, strict: bool = False) -> DataFrame:
-    """Sender stats joined to receiver stats on ``user_id = reciever_id``.
-
-    Parity is an inner join (users who only send or only receive vanish);
-    ``strict`` is a full outer join with zeros.  Both sides are unique per
-    ``(user, day)``; a celebrity receiver is one row after aggregation, and
-    AQE's skew-join handling stays on for the rest."""
-    s = sender_stats(messages)
-    r = receiver_stats(messages).withColumnRenamed("reciever_id", "user_id")
+def message_roles(messages: DataFrame) -> DataFrame:
+    """Every message twice, from one scan: once for its sender (``role='sent'``,
+    ``other`` = receiver) and once for its receiver (``role='received'``,
+    ``other`` = sender)."""
+    last_os = F.struct("time", "os")
+    roles = F.array(
+        F.struct(F.col("user_id").alias("uid"), F.col("reciever_id").alias("other"), F.lit("sent").alias("role"),
+                 last_os.alias("t_os")),
+        F.struct(F.col("reciever_id").alias("uid"), F.col("user_id").alias("other"), F.lit("received").alias("role"),
+                 F.when(F.lit(False), last_os).alias("t_os")))   # NULL of the same struct type
+    return (messages.select(F.to_date("time").alias("event_date"), F.explode(roles).alias("r"))
+                    .select("event_date", "r.uid", "r.other", "r.role", "r.t_os"))
+
+
+def sender_receiver(messages: DataFrame, strict: bool = False, with_os: bool = False) -> DataFrame:
+    """Per user and day, messages sent / received and distinct partners.
+
+    Equivalent to joining sender stats (D3) to receiver stats (D4) on
+    ``user_id = reciever_id``, but computed from a single scan: each message
+    is exploded into its two roles, aggregated per ``(user, day, role)``
+    (a hot receiver is spread by the two-phase distinct count), and the roles
+    are folded into columns.  Parity keeps users present in both roles (the
+    reference's inner join); ``strict`` keeps everyone with zeros (full
+    outer join).  Rows with a NULL user id are dropped (a join never matches
+    them)."""
+    per_role = (message_roles(messages).where(F.col("uid").isNotNull())
+                .groupBy("uid", "event_date", "role")
+                .agg(F.count("other").alias("n"), F.count_distinct("other").alias("u"),
+                     F.max("t_os").alias("t_os")))
+    sent, recv = F.col("role") == "sent", F.col("role") == "received"
+    folded = per_role.groupBy(F.col("uid").alias("user_id"), "event_date").agg(
+        F.sum(F.when(recv, F.col("n"))).alias("messages_received"),
+        F.sum(F.when(sent, F.col("n"))).alias("messages_sent"),
+        F.sum(F.when(recv, F.col("u"))).alias("users_received"),
+        F.sum(F.when(sent, F.col("u"))).alias("users_sent"),
+        F.count(F.lit(1)).alias("_roles"),
+        F.max("t_os").getField("os").alias("msg_os"))
     if not strict:
-        j = s.join(r, ["user_id", "event_date"], "inner")
-    else:
-        j = s.join(r, ["user_id", "event_date"], "full")
-        j = j.select("user_id", "event_date",
-                     *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in MSG_COLS])
-    return j.select("user_id", "event_date", *MSG_COLS)
+        folded = folded.where(F.col("_roles") == 2)
+    extra = ["msg_os"] if with_os else []
+    return folded.select("user_id", "event_date",
+                         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in MSG_COLS], *extra)
 
 
 def feed_with_messages(feed: DataFrame, messages: DataFrame) -> DataFrame:
@@ -121,12 +147,7 @@ def slice_report_strict(feed: DataFrame, messages: DataFrame, first_day, last_da
                 F.max(F.struct("time", "gender", "age", "os")).alias("_p"))
            .select("user_id", "event_date", "views", "likes",
                    F.col("_p.gender").alias("gender"), F.col("_p.age").alias("age"), F.col("_p.os").alias("os")))
-    s = (m.groupBy("user_id", F.to_date("time").alias("event_date"))
-          .agg(F.count("reciever_id").alias("messages_sent"),
-               F.count_distinct("reciever_id").alias("users_sent"),
-               F.max(F.struct("time", "os")).getField("os").alias("msg_os")))
-    r = receiver_stats(m).withColumnRenamed("reciever_id", "user_id")
-    ms = s.join(r, ["user_id", "event_date"], "full")
+    ms = sender_receiver(m, strict=True, with_os=True)       # one scan of the messages
     j = fu.join(ms, ["user_id", "event_date"], "full")
     joined = j.select("user_id", "event_date", "gender", "age",
                       F.coalesce("os", "msg_os").alias("os"),
