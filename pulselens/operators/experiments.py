@@ -105,9 +105,13 @@ def smoothed_ctr(users: DataFrame, alpha: float = 5.0, groups=None) -> DataFrame
 
 def linearized_likes(users: DataFrame, control) -> DataFrame:
     """X3 input: ``likes - CTR_control * views``; the control CTR is a scalar
-    subquery (ratio of sums over the control group)."""
-    c = users.where(F.col("exp_group") == F.lit(control)).select(
-        F.sum("likes") / F.nullif(F.sum("views"), F.lit(0))).scalar()
+    subquery (ratio of sums over the control group).  It aggregates the
+    control rows conditionally instead of filtering first, so its plan is
+    the same per-user aggregate as the main query and the exchange is reused
+    (a filter would be pushed into a second scan)."""
+    is_c = F.col("exp_group") == F.lit(control)
+    c = users.select(F.sum(F.when(is_c, F.col("likes"))) /
+                     F.nullif(F.sum(F.when(is_c, F.col("views"))), F.lit(0))).scalar()
     return users.withColumn("linearized_likes", F.col("likes") - c * F.col("views"))
 
 
@@ -122,6 +126,14 @@ def bucket_ctr(feed: DataFrame, first_day, last_day, groups, n_buckets: int = 50
               .withColumn("bucket_ctr", ratio("likes", "views")))
 
 
+def bucket_ctr_from_users(users: DataFrame, n_buckets: int = 50, method: str = "md5") -> DataFrame:
+    """D11 from the per-user table (sums of per-user sums equal the sums over
+    events), so a report that already has the users does not rescan events."""
+    return (users.groupBy("exp_group", user_bucket(F.col("user_id"), n_buckets, method).alias("bucket"))
+                 .agg(F.sum("likes").alias("likes"), F.sum("views").alias("views"))
+                 .withColumn("bucket_ctr", ratio("likes", "views")))
+
+
 # ---- resampling -----------------------------------------------------------------
 
 def _default_partitions(df: DataFrame) -> int:
@@ -244,7 +256,7 @@ def ab_report(feed: DataFrame, first_day, last_day, a, b, alpha: float = 5.0, n_
     users = user_ctr(feed, first_day, last_day, [a, b])
     sm = smoothed_ctr(users, alpha, [a, b])
     lin = linearized_likes(users, a)
-    bk = bucket_ctr(feed, first_day, last_day, [a, b], n_buckets)
+    bk = bucket_ctr_from_users(users, n_buckets)
     ci = bootstrap_diff_ci(poisson_bootstrap(users, a, b, n_boot))
     boot = ci.select(F.lit("poisson_bootstrap").alias("test"), F.lit("global_ctr").alias("metric"),
                      F.lit(a).alias("group_a"), F.lit(b).alias("group_b"),
