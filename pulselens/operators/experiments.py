@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselens.functions.hashing import md5_uniform, poisson1_from_uniform, user_bucket
+from pulselens.functions.hashing import poisson1_from_uniform, uniform, user_bucket
 from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p, with_t_p_values
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import group_ctr, likes_expr, ratio, views_expr
@@ -143,12 +143,15 @@ def _default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: int | None = None) -> DataFrame:
+def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: int | None = None,
+                      hash_method: str = "md5") -> DataFrame:
     """``n_boot`` Poisson(1) re-weightings of users; per replicate the
     global CTR of each group and their difference.
 
     Users are spread over ``partitions`` tasks before the replicate column
-    is generated; weights are hash-derived per ``(replicate, user)``; the
+    is generated; weights are hash-derived per ``(replicate, user)`` (md5 by
+    default, reproducible in SQL; ``hash_method="xxhash64"`` is several times
+    cheaper for very large user x replicate counts); the
     aggregation by replicate is partial per task, so a task ships at most
     ``n_boot`` rows and the users x replicates matrix never exists."""
     g = F.col("exp_group")
@@ -156,7 +159,7 @@ def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: in
     x = x.repartition(partitions or _default_partitions(users), "user_id")
     x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
     # the hash and the weight are projected once per row (referenced by four sums)
-    x = x.withColumn("_u", md5_uniform("rep", "user_id"))
+    x = x.withColumn("_u", uniform("rep", "user_id", method=hash_method))
     x = x.withColumn("_w", poisson1_from_uniform(F.col("_u")).cast("bigint")).drop("_u")
     w = F.col("_w")
     agg = x.groupBy("rep").agg(
@@ -181,7 +184,7 @@ def bootstrap_diff_ci(boot: DataFrame, level: float = 0.95) -> DataFrame:
 
 def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 500,
                         value: str = "ctr", same_group: bool = False,
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, hash_method: str = "md5") -> DataFrame:
     """X11: ``n_reps`` A/A tests, each on ``k`` users drawn without replacement
     from each group (fewer when a group is small: ``min(k, n // 2)``).
     ``same_group=True`` draws both samples from group ``a`` (the reference's
@@ -204,7 +207,7 @@ def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 50
     x = x.join(F.broadcast(sizes), "s").withColumn("k_eff", k_eff).drop("n_pool")
     x = x.repartition(partitions or _default_partitions(users), "user_id")
     x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep"))
-    x = x.withColumn("_h", md5_uniform("s", "rep", "user_id"))
+    x = x.withColumn("_h", uniform("s", "rep", "user_id", method=hash_method))
     w = Window.partitionBy("rep", "s").orderBy(F.col("_h"), F.col("user_id"))
     drawn = (x.withColumn("rn", F.row_number().over(w))
               .where(F.col("rn") <= F.lit(k))

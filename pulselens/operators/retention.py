@@ -97,9 +97,7 @@ def campaign_cohort_followup(feed: DataFrame, campaign_day, source: str | None =
     d = as_date(campaign_day)
     ud = user_days(df).where(F.col("start_day") == F.lit(d))
     per_day = ud.select(F.explode("days").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("users"))
-    w = Window.partitionBy()
-    # one row per calendar day, so the unpartitioned window is over a bounded frame
-    cohort = F.max(F.when(F.col("day") == F.lit(d), F.col("users"))).over(w)
+    cohort = ud.select(F.count(F.lit(1)).cast("bigint")).scalar()      # everyone started on day d
     return (per_day.withColumn("day_n", F.datediff("day", F.lit(d)))
                    .withColumn("cohort_users", cohort)
                    .withColumn("share", ratio(F.col("users"), F.col("cohort_users"))))

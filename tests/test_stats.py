@@ -133,3 +133,13 @@ def test_prefix_sums_quantile_buckets_balanced_with_outlier(spark):
     q = _quantile_buckets(df, "v", 16).groupBy("_bkt").count().agg(F.max("count")).first()[0]
     w = _width_buckets(df, "v", 16).groupBy("_bkt").count().agg(F.max("count")).first()[0]
     assert q <= 300 and w == 2000
+
+
+def test_bootstrap_xxhash_weights_are_poisson(spark):
+    rows = [(g, g * 1000 + i, i % 3, 5 + i % 4) for g in (1, 2) for i in range(300)]
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, likes long, views long")
+    b = experiments.poisson_bootstrap(users, 1, 2, 200, partitions=4, hash_method="xxhash64")
+    r = b.agg(F.avg("views_a").alias("m")).first()
+    # E[sum of Poisson(1)-weighted views] = sum of views = 300 * 6.5 / ... exactly sum(views)
+    total = sum(5 + i % 4 for i in range(300))
+    assert abs(r.m - total) / total < 0.02
