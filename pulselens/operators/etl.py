@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulselens.functions.bins import cut
+from pulselens.functions.bins import AGE_LABELS, cut
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import likes_expr, views_expr
 
@@ -101,7 +101,7 @@ def slice_dims() -> dict[str, Column]:
     return {"gender": F.col("gender").cast("string"), "os": F.col("os"), "age": cut(F.col("age"))}
 
 
-def slices(joined: DataFrame, dims: dict[str, Column] | None = None) -> DataFrame:
+def slices(joined: DataFrame, dims: dict[str, Column] | None = None, fill_bins: bool = False) -> DataFrame:
     """Sums of the six counters by each dimension and day, in one pass:
     the joined frame is unpivoted into ``(dimension, dimension_value)`` rows
     and aggregated once (no cache, no scan per dimension).  Rows whose value
@@ -109,10 +109,26 @@ def slices(joined: DataFrame, dims: dict[str, Column] | None = None) -> DataFram
     dims = dims or slice_dims()
     arr = F.array(*[F.struct(F.lit(k).alias("dimension"), v.alias("dimension_value")) for k, v in dims.items()])
     x = joined.select("event_date", *COUNT_COLS, F.explode(arr).alias("_d"))
-    return (x.where(F.col("_d.dimension_value").isNotNull())
-             .groupBy(F.col("_d.dimension").alias("dimension"), F.col("_d.dimension_value").alias("dimension_value"),
-                      "event_date")
-             .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNT_COLS]))
+    out = (x.where(F.col("_d.dimension_value").isNotNull())
+            .groupBy(F.col("_d.dimension").alias("dimension"), F.col("_d.dimension_value").alias("dimension_value"),
+                     "event_date")
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNT_COLS]))
+    if fill_bins and "age" in dims:
+        out = _fill_age_bins(out)
+    return out
+
+
+def _fill_age_bins(out: DataFrame) -> DataFrame:
+    """Empty age bins as zero rows for every day present (a pandas categorical
+    groupby does this by default in some versions).  The bin list is fixed,
+    so this is an explode per day, not a join with a generated table."""
+    keys = ["dimension", "dimension_value", "event_date"]
+    grid = (out.select("event_date").distinct()
+               .select(F.lit("age").alias("dimension"), F.explode(F.array(*[F.lit(b) for b in AGE_LABELS])).alias("dimension_value"),
+                       "event_date"))
+    missing = grid.join(out.select(*keys), keys, "left_anti")
+    zeros = missing.select(*keys, *[F.lit(0).cast("bigint").alias(c) for c in COUNT_COLS])
+    return out.unionByName(zeros)
 
 
 def one_slice(joined: DataFrame, name: str) -> DataFrame:
@@ -129,11 +145,11 @@ def concat_slices(joined: DataFrame) -> DataFrame:
                       *[F.col(c).cast("bigint").alias(c) for c in COUNT_COLS])
 
 
-def slice_report(feed: DataFrame, messages: DataFrame, first_day, last_day=None) -> DataFrame:
+def slice_report(feed: DataFrame, messages: DataFrame, first_day, last_day=None, fill_bins: bool = False) -> DataFrame:
     """P12 (parity): the 9-column table for the days ``[first_day, last_day]``."""
     last_day = last_day or first_day
     joined = feed_with_messages(_period(feed, first_day, last_day), _period(messages, first_day, last_day))
-    return slices(joined).select("dimension", "dimension_value", "event_date", *COUNT_COLS)
+    return slices(joined, fill_bins=fill_bins).select("dimension", "dimension_value", "event_date", *COUNT_COLS)
 
 
 def slice_report_strict(feed: DataFrame, messages: DataFrame, first_day, last_day=None) -> DataFrame:

@@ -19,7 +19,7 @@ from pulselens.functions.stats import t_two_sided_p
 from pulselens.functions.timeexpr import as_date
 from pulselens.operators.metrics import daily_posts_dau, long_series, ratio
 
-IMPACT_METRICS = ["posts", "dau", "likes", "views", "ctr"]
+IMPACT_METRICS = ["active_posts", "dau", "likes", "views", "ctr"]
 
 
 def daily_metric_long(feed: DataFrame, metrics=IMPACT_METRICS) -> DataFrame:

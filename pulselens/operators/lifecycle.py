@@ -43,22 +43,29 @@ def _current_arm(uw: DataFrame, strict: bool) -> DataFrame:
     return x.select("user_id", "this_week", prev.alias("previous_week"), status.alias("status"))
 
 
-def _gone_arm(uw: DataFrame, as_of) -> DataFrame:
+def _gone_arm(uw: DataFrame, as_of, drop_open_week: bool = False) -> DataFrame:
     x = uw.select("user_id", "weeks", F.explode("weeks").alias("previous_week"))
     nxt = F.date_add("previous_week", 7)
     gone = x.where(~F.array_contains("weeks", nxt)).select(
         "user_id", nxt.alias("this_week"), "previous_week", F.lit("gone").alias("status"))
-    return exclude_future_week(gone, as_of)
+    return exclude_future_week(gone, as_of, drop_open_week)
 
 
-def exclude_future_week(gone: DataFrame, as_of) -> DataFrame:
-    """Drop the week after the current one (nobody can be active there yet)."""
+def exclude_future_week(gone: DataFrame, as_of, drop_open_week: bool = False) -> DataFrame:
+    """Drop the week after the current one (nobody can be active there yet).
+
+    ``drop_open_week=True`` also drops ``gone`` for the current week, which
+    is still running (the reference keeps it: users who have not come back
+    *yet* are counted as gone)."""
     if isinstance(as_of, Column):          # e.g. a scalar subquery over the data
-        next_monday = F.date_add(monday(as_of), 7)
+        this_monday = monday(as_of)
     else:
         d = as_date(as_of)
-        next_monday = F.lit(d - dt.timedelta(days=d.weekday()) + dt.timedelta(days=7))
-    return gone.where(F.col("this_week") != next_monday)
+        this_monday = F.lit(d - dt.timedelta(days=d.weekday()))
+    out = gone.where(F.col("this_week") != F.date_add(this_monday, 7))
+    if drop_open_week:
+        out = out.where(F.col("this_week") != this_monday)
+    return out
 
 
 def status_counts(rows: DataFrame, negate: bool = False) -> DataFrame:
@@ -75,15 +82,15 @@ def weekly_status_counts(act: DataFrame, strict: bool = False) -> DataFrame:
     return status_counts(_current_arm(user_weeks(act), strict))
 
 
-def weekly_gone(act: DataFrame, as_of) -> DataFrame:
-    return status_counts(_gone_arm(user_weeks(act), as_of), negate=True)
+def weekly_gone(act: DataFrame, as_of, drop_open_week: bool = False) -> DataFrame:
+    return status_counts(_gone_arm(user_weeks(act), as_of, drop_open_week), negate=True)
 
 
-def weekly_lifecycle(act: DataFrame, as_of, strict: bool = False) -> DataFrame:
+def weekly_lifecycle(act: DataFrame, as_of, strict: bool = False, drop_open_week: bool = False) -> DataFrame:
     """P4 (parity) / P5 (``strict=True``: ``new`` only in the first ever week,
     otherwise ``returned``).  ``gone`` counts are negative, as charted."""
     uw = user_weeks(act)
-    return (status_counts(_gone_arm(uw, as_of), negate=True)
+    return (status_counts(_gone_arm(uw, as_of, drop_open_week), negate=True)
             .unionByName(status_counts(_current_arm(uw, strict))))
 
 

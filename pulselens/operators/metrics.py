@@ -71,9 +71,10 @@ def daily_feed_kpi(feed: DataFrame, round_ctr: int | None = None, approx: bool =
 
 
 def daily_posts_dau(feed: DataFrame) -> DataFrame:
-    """Per day active posts (posts with any action), DAU, likes, views, ctr."""
+    """Per day active posts (``active_posts``: distinct posts with any
+    action that day, not posts created), DAU, likes, views, ctr."""
     return (feed.groupBy(F.to_date("time").alias("date"))
-                .agg(F.count_distinct("post_id").alias("posts"),
+                .agg(F.count_distinct("post_id").alias("active_posts"),
                      F.count_distinct("user_id").alias("dau"),
                      likes_expr().alias("likes"), views_expr().alias("views"))
                 .withColumn("ctr", ratio("likes", "views")))

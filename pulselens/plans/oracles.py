@@ -426,7 +426,7 @@ SELECT f.date, likes, views, CTR, messages FROM f JOIN mm ON f.date = mm.date"""
                                f"FROM feed_actions GROUP BY 1")
     O["digest_feed_week"] = O["agg_daily_feed_kpi"].replace("FROM feed_actions GROUP BY 1",
                                                             f"FROM feed_actions WHERE {week} GROUP BY 1")
-    O["agg_daily_posts_dau"] = (f"{F_} SELECT CAST(time AS DATE) AS date, count(DISTINCT post_id) AS posts, "
+    O["agg_daily_posts_dau"] = (f"{F_} SELECT CAST(time AS DATE) AS date, count(DISTINCT post_id) AS active_posts, "
                                 f"count(DISTINCT user_id) AS dau, count_if(action = 'like') AS likes, "
                                 f"count_if(action = 'view') AS views, "
                                 f"count_if(action = 'like') / nullif(count_if(action = 'view'), 0) AS ctr "
@@ -684,10 +684,10 @@ GROUP BY exp_group, bin"""
     pre0, pre1 = P.PRE
     post0, post1 = P.POST
     impact_long = f"""{F_},
-dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT post_id) AS posts, count(DISTINCT user_id) AS dau,
+dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT post_id) AS active_posts, count(DISTINCT user_id) AS dau,
               count_if(action = 'like') AS likes, count_if(action = 'view') AS views,
               count_if(action = 'like') / nullif(count_if(action = 'view'), 0) AS ctr FROM feed_actions GROUP BY 1),
-lg AS ({' UNION ALL '.join(f"SELECT date, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM dk" for m in ['posts', 'dau', 'likes', 'views', 'ctr'])})"""
+lg AS ({' UNION ALL '.join(f"SELECT date, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM dk" for m in ['active_posts', 'dau', 'likes', 'views', 'ctr'])})"""
     in_pre = f"date >= {date(pre0)} AND date <= {date(pre1)}"
     in_post = f"date >= {date(post0)} AND date <= {date(post1)}"
     O["impact_prepost"] = f"""{impact_long},

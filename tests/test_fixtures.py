@@ -160,3 +160,26 @@ def test_write_twice_is_idempotent(spark, tmp_path):
     n1 = read_slices(spark, path).count()
     write_slices(rep, path)
     assert read_slices(spark, path).count() == n1 == 3
+
+
+def test_fill_bins_adds_zero_rows(spark):
+    f = feed_rows(spark, [(1, 1, "view", D, 0, 20, "iOS", "ads", 1), (2, 2, "like", D, 1, 40, "iOS", "ads", 1)])
+    m = msg_rows(spark, [(1, 2, D, "iOS")])
+    observed = {r.dimension_value for r in etl.slice_report(f, m, D.date()).where("dimension = 'age'").collect()}
+    filled = {r.dimension_value: r for r in etl.slice_report(f, m, D.date(), fill_bins=True)
+              .where("dimension = 'age'").collect()}
+    assert observed == {"18-25", "36-45"}
+    assert set(filled) == {"0-17", "18-25", "26-35", "36-45", "45+"}
+    assert filled["45+"].views == 0 and filled["18-25"].views == 1
+
+
+def test_drop_open_week(spark):
+    w1 = dt.date(2024, 1, 1)
+    act = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 10)), (2, dt.datetime(2024, 1, 3, 10)),
+                                 (2, dt.datetime(2024, 1, 9, 10))], "user_id long, time timestamp_ntz")
+    as_of = w1 + dt.timedelta(days=8)          # inside week 2, which is still running
+    keep = {(r.this_week, r.status): r.num_users for r in lifecycle.weekly_lifecycle(act, as_of).collect()}
+    drop = {(r.this_week, r.status): r.num_users
+            for r in lifecycle.weekly_lifecycle(act, as_of, drop_open_week=True).collect()}
+    assert keep[(w1 + dt.timedelta(7), "gone")] == -1
+    assert (w1 + dt.timedelta(7), "gone") not in drop
