@@ -110,13 +110,24 @@ def _normal_sf2(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
-def _fit_one(key: str, pdf: pd.DataFrame, pre, post) -> dict:
+def _fit_one(key: str, pdf: pd.DataFrame, pre, post, season: int | None = None) -> dict:
     pdf = pdf.sort_values("date")
     d = pd.to_datetime(pdf["date"]).dt.date
-    y_pre = pdf.loc[(d >= pre[0]) & (d <= pre[1]), "value"].astype(float).to_numpy()
-    y_post = pdf.loc[(d >= post[0]) & (d <= post[1]), "value"].astype(float).to_numpy()
-    y_pre = y_pre[~np.isnan(y_pre)]
-    y_post = y_post[~np.isnan(y_post)]
+    pre_rows = pdf.loc[(d >= pre[0]) & (d <= pre[1])].dropna(subset=["value"])
+    post_rows = pdf.loc[(d >= post[0]) & (d <= post[1])].dropna(subset=["value"])
+    y_pre = pre_rows["value"].astype(float).to_numpy()
+    y_post = post_rows["value"].astype(float).to_numpy()
+    s_pre = np.zeros(len(y_pre))
+    s_post = np.zeros(len(y_post))
+    if season and len(y_pre) >= 2 * season:
+        # seasonal effects = mean deviation per phase (day number mod season) on the pre-period
+        ph_pre = np.array([(x - pre[0]).days % season for x in pd.to_datetime(pre_rows["date"]).dt.date])
+        ph_post = np.array([(x - pre[0]).days % season for x in pd.to_datetime(post_rows["date"]).dt.date])
+        dev = y_pre - y_pre.mean()
+        eff = np.array([dev[ph_pre == k].mean() if np.any(ph_pre == k) else 0.0 for k in range(season)])
+        eff -= eff.mean()
+        s_pre, s_post = eff[ph_pre], eff[ph_post]
+    y_pre = y_pre - s_pre
     out = {"metric": key, "n_pre": len(y_pre), "n_post": len(y_post)}
     if len(y_pre) < 3 or len(y_post) == 0:
         return out
@@ -131,11 +142,10 @@ def _fit_one(key: str, pdf: pd.DataFrame, pre, post) -> dict:
                 best = (ll, r, q, mu, p)
     _, r, q, mu, p = best
     h = np.arange(1, len(y_post) + 1)
-    var_each = p + h * q + r
     # variance of the post-period sum: levels are correlated through the random walk
     cov_level = np.array([[p + min(i, j) * q for j in h] for i in h])
     var_sum = float(cov_level.sum() + len(h) * r)
-    pred_mean = mu
+    pred_mean = mu + float(np.mean(s_post))        # level forecast + seasonal effects of the post days
     sd_mean = math.sqrt(var_sum) / len(h)
     actual = float(np.mean(y_post))
     cum_actual = float(np.sum(y_post))
@@ -147,20 +157,21 @@ def _fit_one(key: str, pdf: pd.DataFrame, pre, post) -> dict:
                cum_actual=cum_actual, cum_predicted=cum_pred,
                p_value=_normal_sf2(z) if not math.isnan(z) else None,
                sigma_obs=math.sqrt(r), sigma_level=math.sqrt(q))
-    del var_each
     return out
 
 
-def impact_local_level(long_df: DataFrame, pre, post, key: str = "metric") -> DataFrame:
+def impact_local_level(long_df: DataFrame, pre, post, key: str = "metric", season: int | None = None) -> DataFrame:
     """Local-level model fitted on the pre-period of every series;
     forecast of the post-period with a 95 % interval for its mean, effect,
-    cumulative effect and a two-sided p-value of the summed effect."""
+    cumulative effect and a two-sided p-value of the summed effect.
+    ``season=7`` adds weekly effects (estimated on the pre-period, removed
+    before the filter, added back to the forecast)."""
     pre_d, post_d = _periods(pre, post)
     cols = [f.split()[0] for f in LOCAL_LEVEL_SCHEMA.split(", ")]
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         k = str(pdf[key].iloc[0])
-        row = _fit_one(k, pdf, pre_d, post_d)
+        row = _fit_one(k, pdf, pre_d, post_d, season)
         return pd.DataFrame([{c: row.get(c) for c in cols}])
 
     x = long_df.select(F.col(key).cast("string").alias(key), "date", F.col("value").cast("double").alias("value"))

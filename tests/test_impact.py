@@ -46,3 +46,15 @@ def test_local_level_detects_jump_and_not_noise(spark):
     # this seed's post-period mean sits ~2 standard errors low, hence 0.01
     assert none["flat"].p_value > 0.01 and abs(none["flat"].abs_effect) < 3.0
     assert math.isclose(none["flat"].cum_predicted, none["flat"].predicted * 7)
+
+
+def test_local_level_weekly_season(spark):
+    rows = []
+    for i in range(35):
+        d = dt.date(2024, 1, 1) + dt.timedelta(days=i)
+        weekly = [0, 5, 10, 5, 0, -10, -10][i % 7]
+        rows.append(("m", d, 100.0 + weekly + (20.0 if d >= POST[0] else 0.0)))
+    df = spark.createDataFrame(rows, "metric string, date date, value double")
+    r = impact.impact_local_level(df, PRE, POST, season=7).first()
+    assert r.abs_effect == pytest.approx(20.0, abs=1.0)
+    assert r.p_value < 0.01
