@@ -24,11 +24,23 @@ KIND = "kind"
 
 def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None,
                   name: str = "events") -> DataFrame:
-    """File-source stream over the ``events`` Parquet files of ``sf_dir``."""
-    r = spark.readStream.schema(tables.EVENTS_SCHEMA).option("pathGlobFilter", f"{name}.parquet")
+    """File-source stream over the ``events`` Parquet data of ``sf_dir``: a
+    folder ``events.parquet/`` of part files, or a single ``events.parquet``
+    file (then the parent folder is watched with a file-name filter)."""
+    target = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    r = spark.readStream.schema(tables.EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    if _is_dir(spark, target):
+        return r.parquet(target)
+    return r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
 
 def event_time(c: str = "ts") -> Column:
