@@ -37,10 +37,13 @@ def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+    except Exception:          # no JVM gateway (e.g. a remote client): assume a single file
+        return False
 
 
 def event_time(c: str = "ts") -> Column:
