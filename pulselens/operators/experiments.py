@@ -184,40 +184,104 @@ def bootstrap_diff_ci(boot: DataFrame, level: float = 0.95) -> DataFrame:
 
 def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 500,
                         value: str = "ctr", same_group: bool = False,
-                        partitions: int | None = None, hash_method: str = "md5") -> DataFrame:
+                        partitions: int | None = None, hash_method: str = "md5",
+                        method: str = "auto") -> DataFrame:
     """X11: ``n_reps`` A/A tests, each on ``k`` users drawn without replacement
     from each group (fewer when a group is small: ``min(k, n // 2)``).
     ``same_group=True`` draws both samples from group ``a`` (the reference's
     behaviour).  Users with NULL ``value`` are not eligible.
 
-    Draw = the k smallest md5(sample, replicate, user) per (replicate,
-    sample): ``row_number() <= k`` lets Spark keep a per-task top-k before
-    the shuffle (WindowGroupLimit)."""
+    Draws (``method="auto"``, per sample, decided inside the plan):
+    * pools of at most ``4k`` users: the k smallest md5(sample, replicate,
+      user) (``hash_order``); ``row_number() <= k`` lets Spark keep a
+      per-task top-k before the shuffle (WindowGroupLimit); the work is
+      bounded by 4k x replicates whatever the data size;
+    * larger pools (``index``): users get an index 0..n-1 (distributed prefix
+      sum), each (replicate, sample) draws a few more than k hash-uniform
+      indices and keeps the first k distinct ones (a uniform k-subset), and
+      the indices are joined back to the users: O(users + k x replicates)
+      instead of O(users x replicates).  The rare pairs with fewer than k
+      distinct draws are redrawn exactly by hash order.
+    ``method="hash_order"`` / ``"index"`` force one strategy."""
     g = F.col("exp_group")
     x = users.where(F.col(value).isNotNull())
     if same_group:
-        x = x.where(g == F.lit(a)).select("user_id", F.col(value).alias("v"),
-                                           F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
+        pool = x.where(g == F.lit(a)).select("user_id", F.col(value).alias("v"),
+                                              F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
     else:
-        x = x.where(g.isin(a, b)).select("user_id", F.col(value).alias("v"),
-                                         F.when(g == F.lit(a), F.lit(1)).otherwise(F.lit(2)).alias("s"))
-    sizes = x.groupBy("s").agg(F.count(F.lit(1)).alias("n_pool"))
-    k_eff = F.least(F.lit(k), F.floor(F.col("n_pool") / F.lit(2)))
-    # at most two rows (one per sample)
-    x = x.join(F.broadcast(sizes), "s").withColumn("k_eff", k_eff).drop("n_pool")
-    x = x.repartition(partitions or _default_partitions(users), "user_id")
-    x = x.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep"))
-    x = x.withColumn("_h", uniform("s", "rep", "user_id", method=hash_method))
-    w = Window.partitionBy("rep", "s").orderBy(F.col("_h"), F.col("user_id"))
-    drawn = (x.withColumn("rn", F.row_number().over(w))
-              .where(F.col("rn") <= F.lit(k))
-              .where(F.col("rn") <= F.col("k_eff")))
+        pool = x.where(g.isin(a, b)).select("user_id", F.col(value).alias("v"),
+                                            F.when(g == F.lit(a), F.lit(1)).otherwise(F.lit(2)).alias("s"))
+    sizes = (pool.groupBy("s").agg(F.count(F.lit(1)).alias("n_pool"))
+                 .withColumn("k_eff", F.least(F.lit(k), F.floor(F.col("n_pool") / F.lit(2)))))
+    n_part = partitions or _default_partitions(users)
+    reps = F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep")
+    if method == "hash_order":
+        drawn = _draw_hash_order(pool.select("*", reps), sizes, k, n_part, hash_method)
+    elif method == "index":
+        drawn = _draw_by_index(pool, sizes, n_reps, k, n_part, hash_method)
+    else:
+        small = F.col("n_pool") <= F.lit(4 * k)
+        # sizes has at most two rows (one per sample): broadcast semi-joins
+        pool_small = pool.join(F.broadcast(sizes.where(small).select("s")), "s", "left_semi")
+        pool_big = pool.join(F.broadcast(sizes.where(~small).select("s")), "s", "left_semi")
+        drawn = (_draw_hash_order(pool_small.select("*", reps), sizes, k, n_part, hash_method)
+                 .unionByName(_draw_by_index(pool_big, sizes.where(~small), n_reps, k, n_part, hash_method)))
     s = drawn.groupBy("rep").agg(*_moments(F.col("v"), F.col("s"), 1, 2))
     s = welch_columns(s, p_value=False).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df")
     # one tail per replicate: generated grid + codegen'd sum, same partitioning by rep
     return with_t_p_values(s, "t", "df", ["rep"]).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "p_value")
 
 
+def _draw_hash_order(rows: DataFrame, sizes: DataFrame, k: int, n_part: int, hash_method: str) -> DataFrame:
+    """The k_eff users with the smallest hash per (replicate, sample);
+    ``rows`` holds (rep, s, user_id, v), one row per candidate user and rep."""
+    # sizes has one row per sample (at most two)
+    x = rows.join(F.broadcast(sizes.select("s", "k_eff")), "s").repartition(n_part, "user_id")
+    x = x.withColumn("_h", uniform("s", "rep", "user_id", method=hash_method))
+    w = Window.partitionBy("rep", "s").orderBy(F.col("_h"), F.col("user_id"))
+    return (x.withColumn("rn", F.row_number().over(w))
+             .where(F.col("rn") <= F.lit(k))
+             .where(F.col("rn") <= F.col("k_eff"))
+             .select("rep", "s", "user_id", "v"))
+
+
+def draw_size_margin(k_eff: Column, n_pool: Column) -> Column:
+    """Draws per (replicate, sample): k plus a margin for repeated indices
+    (about k^2 / 2n repeats are expected); short pairs are redrawn exactly."""
+    return (k_eff + F.ceil(F.lit(3.0) * F.sqrt(k_eff)) + F.ceil(F.lit(2.0) * k_eff * k_eff / n_pool)
+            + F.lit(8)).cast("bigint")
+
+
+def _draw_by_index(pool: DataFrame, sizes: DataFrame, n_reps: int, k: int, n_part: int,
+                   hash_method: str) -> DataFrame:
+    # 1. users indexed 0..n-1 within each sample, ordered by user id (no single-task window)
+    # one indicator per sample: all sample-1 rows precede sample-2 rows, so
+    # "_in2_lt" of a sample-2 row counts only sample-2 users with a smaller id
+    one = pool.select("s", "user_id", "v", (F.col("s") == 1).cast("bigint").alias("_in1"),
+                      (F.col("s") == 2).cast("bigint").alias("_in2"))
+    idx = prefix_sums(one, "user_id", ["_in1", "_in2"], order_by=["s", "user_id"],
+                      key=F.col("s").cast("double") * F.lit(4e19) + F.col("user_id").cast("double"))
+    idx = idx.select("s", "user_id", "v",
+                     F.when(F.col("s") == 1, F.col("_in1_lt")).otherwise(F.col("_in2_lt")).alias("idx"))
+    # 2. hash-uniform index draws per (replicate, sample); keep the first k_eff distinct
+    cand = (sizes.withColumn("m", draw_size_margin(F.col("k_eff"), F.col("n_pool")))
+                 .select("s", "n_pool", "k_eff", "m", F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep"))
+                 .repartition(n_part, "rep")
+                 .select("s", "n_pool", "k_eff", "rep", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("j")))
+    cand = cand.withColumn("idx", F.floor(uniform("s", "rep", "j", method=hash_method) * F.col("n_pool")).cast("bigint"))
+    first = Window.partitionBy("rep", "s", "idx").orderBy("j")
+    ranked = (cand.withColumn("_first", F.row_number().over(first)).where(F.col("_first") == 1)
+                  .withColumn("_rank", F.row_number().over(Window.partitionBy("rep", "s").orderBy("j"))))
+    short = (ranked.groupBy("rep", "s", "k_eff").agg(F.count(F.lit(1)).alias("_n"))
+                   .where(F.col("_n") < F.col("k_eff")).select("rep", "s"))
+    chosen = (ranked.where(F.col("_rank") <= F.col("k_eff")).select("rep", "s", "idx")
+                    .join(short, ["rep", "s"], "left_anti"))
+    main = chosen.join(idx, ["s", "idx"], "inner").select("rep", "s", "user_id", "v")
+    # 3. exact redraw of the short pairs (normally none)
+    redo = _draw_hash_order(pool.join(short, "s", "inner"), sizes, k, n_part, hash_method)
+    return main.unionByName(redo)
+
+
 def aa_false_positive_rate(pvals: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Percent of A/A p-values ``<= alpha`` and a verdict."""
     r = pvals.agg(F.count(F.lit(1)).alias("n_reps"),

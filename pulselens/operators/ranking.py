@@ -76,19 +76,26 @@ def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFram
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
-                method: str = "quantile") -> DataFrame:
-    """Adds ``{c}_lt`` = sum of ``c`` over rows with a smaller ``order_col``
-    (rows must be unique in ``order_col`` and non-NULL)."""
-    df = df.select(F.col(order_col).cast("double").alias(order_col), *[c for c in df.columns if c != order_col])
-    b = (_quantile_buckets if method == "quantile" else _width_buckets)(df, order_col, n_buckets)
+                method: str = "quantile", order_by: list[str] | None = None, key=None) -> DataFrame:
+    """Adds ``{c}_lt`` = sum of ``c`` over rows that come before the row.
+
+    The order is ``order_by`` (default ``[order_col]``; rows must be unique
+    and non-NULL in it).  ``key`` (default ``order_col``) is a numeric
+    expression that never decreases along that order; it is only used to
+    form the buckets, so it may be coarse (e.g. a double of a long id)."""
+    order_by = order_by or [order_col]
+    key = F.col(order_col) if key is None else key
+    base = df.columns
+    k = df.withColumn("_key", key.cast("double"))
+    b = (_quantile_buckets if method == "quantile" else _width_buckets)(k, "_key", n_buckets)
     totals = b.groupBy("_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     # window over at most n_buckets rows (bounded by the parameter, not by the data)
     wk = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    wi = Window.partitionBy("_bkt").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    wi = Window.partitionBy("_bkt").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     within = b.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0)).alias(f"_w_{c}") for c in cols])
     out = within.join(F.broadcast(offsets), "_bkt", "inner")
-    return out.select(*df.columns, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{c}_lt") for c in cols])
+    return out.select(*base, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{c}_lt") for c in cols])
 
 
 def value_counts(df: DataFrame, value: str, group: str, a, b) -> DataFrame:

@@ -143,3 +143,37 @@ def test_bootstrap_xxhash_weights_are_poisson(spark):
     # E[sum of Poisson(1)-weighted views] = sum of views = 300 * 6.5 / ... exactly sum(views)
     total = sum(5 + i % 4 for i in range(300))
     assert abs(r.m - total) / total < 0.02
+
+
+def test_aa_index_draw_matches_python_reimplementation(spark):
+    """The index draw equals a plain-Python replay of the same hash rules,
+    draws without replacement, and gives k users per sample."""
+    import hashlib
+    import math as m
+    rows = [(g, g * 1000 + i, float(i % 7)) for g in (2, 3) for i in range(120)]
+    rows_t = rows
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, ctr double")
+    pool = users.select("user_id", F.col("ctr").alias("v"),
+                        F.when(F.col("exp_group") == 2, F.lit(1)).otherwise(F.lit(2)).alias("s"))
+    sizes = pool.groupBy("s").agg(F.count(F.lit(1)).alias("n_pool")) \
+                .withColumn("k_eff", F.least(F.lit(10), F.floor(F.col("n_pool") / F.lit(2))))
+    got = experiments._draw_by_index(pool, sizes, 30, 10, 4, "md5").collect()
+
+    def u(*key):
+        h = hashlib.md5("-".join(str(x) for x in key).encode()).hexdigest()[:8]
+        return int(h, 16) / 4294967296.0
+
+    ids = {s: sorted(r[1] for r in rows_t if (r[0] == 2) == (s == 1)) for s in (1, 2)}
+    n, k = 120, 10
+    draws = k + m.ceil(3 * m.sqrt(k)) + m.ceil(2 * k * k / n) + 8
+    expect = set()
+    for rep in range(1, 31):
+        for s in (1, 2):
+            seen = []
+            for j in range(1, draws + 1):
+                i = m.floor(u(s, rep, j) * n)
+                if i not in seen:
+                    seen.append(i)
+            assert len(seen) >= k
+            expect |= {(rep, s, ids[s][i]) for i in seen[:k]}
+    assert {(r.rep, r.s, r.user_id) for r in got} == expect
