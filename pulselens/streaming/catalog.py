@@ -85,7 +85,7 @@ SELECT metric, ts, {O.rnd(['value', 'prev_value', 'deviation', 'q25', 'q75', 'up
     slices = f"WITH {O.FEED},\n{O.MSG},\n{O.joined_ctes('true')}\n{O.slices_sql()}"
     out = {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts,
            "stream_daily_slices": slices}
-    return {k: O.bigint_counts(v) for k, v in out.items()}
+    return {k: O.spark_round(O.bigint_counts(v)) for k, v in out.items()}
 
 
 STREAM_ORACLES = _oracles()
