@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselens.functions.bins import cut, num_text, pct_text
-from pulselens.functions.timeexpr import as_date, dmy, floor_15min, time_range
+from pulselens.functions.timeexpr import as_date, dmy, time_range
 from pulselens.operators.filters import fixed_period, last_days, on_day
 
 

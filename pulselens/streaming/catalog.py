@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from pulselens.plans import params as P
 from pulselens.plans.catalog import round_doubles

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pulselens.operators import anomaly, etl
 from pulselens.session import shared_dir
 from pulselens.sources import tables
-from pulselens.sources.sink import read_slices, write_slices
+from pulselens.sources.sink import write_slices
 
 KIND = "kind"
 
