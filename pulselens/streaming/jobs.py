@@ -106,6 +106,22 @@ def run_to_parquet(df: DataFrame, name: str, trigger_once: bool = True) -> tuple
 STREAM_KPI_METRICS = ["likes", "views", "CTR", "sent_messages"]
 
 
+def alert_batch_writer(hist_path: str, alert_path: str, a: float = 5.0, n: int = 5):
+    """The ``foreachBatch`` body of S3.  A retried batch id overwrites its own
+    partitions of the history and alert tables, so a re-run never doubles rows."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hist_path))
+        hist = batch.sparkSession.read.parquet(hist_path).drop("batch_id")
+        bands = anomaly.iqr_bands(anomaly.kpi_long(hist, STREAM_KPI_METRICS), a, n)
+        alerts = anomaly.latest_alerts(bands).withColumn("batch_id", F.lit(batch_id))
+        (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id").parquet(alert_path))
+    return on_batch
+
+
 def alerts_stream(events: DataFrame, delay: str = "10 minutes", a: float = 5.0, n: int = 5,
                   name: str = "alerts") -> tuple[str, str, object]:
     """S3: per micro-batch, newly closed KPI windows are added to a stored
@@ -119,16 +135,7 @@ def alerts_stream(events: DataFrame, delay: str = "10 minutes", a: float = 5.0,
     base = shared_dir(spark, name)
     hist_path, alert_path = f"{base}/history", f"{base}/alerts"
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hist_path))
-        hist = batch.sparkSession.read.parquet(hist_path).drop("batch_id")
-        bands = anomaly.iqr_bands(anomaly.kpi_long(hist, STREAM_KPI_METRICS), a, n)
-        alerts = anomaly.latest_alerts(bands).withColumn("batch_id", F.lit(batch_id))
-        (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(alert_path))
+    on_batch = alert_batch_writer(hist_path, alert_path, a, n)
 
     q = (kpi_stream(events, delay).writeStream.outputMode("append")
          .option("checkpointLocation", f"{base}/_checkpoint")

@@ -99,3 +99,17 @@ def test_partitioned_tables_give_same_results(spark, feed, msgs, tmp_path):
     same(retention.retention(pf, "ads", P.RETENTION_AS_OF), retention.retention(feed, "ads", P.RETENTION_AS_OF))
     same(anomaly.kpi_15min(pf, pm, P.AS_OF_TS), anomaly.kpi_15min(feed, msgs, P.AS_OF_TS))
     same(metrics.digest_app_week(pf, pm, P.AS_OF), metrics.digest_app_week(feed, msgs, P.AS_OF))
+
+
+def test_stream_alert_batch_is_idempotent(spark, tmp_path):
+    import datetime as dt2
+    t0 = dt2.datetime(2024, 1, 30)
+    rows = [(t0 + dt2.timedelta(minutes=15 * i), t0 + dt2.timedelta(minutes=15 * i + 15), 10 + i % 3, 20, 0.5, 4)
+            for i in range(12)]
+    batch = spark.createDataFrame(rows, "ts timestamp_ntz, ts_end timestamp_ntz, likes long, views long, CTR double, sent_messages long")
+    hist, alerts = str(tmp_path / "h"), str(tmp_path / "a")
+    write = jobs.alert_batch_writer(hist, alerts)
+    write(batch, 0)
+    first = spark.read.parquet(hist).count(), spark.read.parquet(alerts).count()
+    write(batch, 0)                     # the same batch again, as after a failure
+    assert (spark.read.parquet(hist).count(), spark.read.parquet(alerts).count()) == first == (12, 4)
