@@ -531,17 +531,19 @@ def _(spark, sf):
 
 @q("ab_mannwhitney_bucket")
 def _(spark, sf):
-    return round_doubles(experiments.mann_whitney(_buckets(spark, sf), "bucket_ctr", *P.AB_GROUPS))
+    # at most 2 x N_BUCKETS values: a single ordered partition is enough
+    return round_doubles(experiments.mann_whitney(_buckets(spark, sf), "bucket_ctr", *P.AB_GROUPS, n_buckets=1))
 
 
 @q("ab_prob_superiority")
 def _(spark, sf):
     users = _ab_users(spark, sf)
     sm = experiments.smoothed_ctr(users, P.ALPHA, P.AB_GROUPS)
-    parts = [(users, "ctr"), (sm, "smoothed_ctr"), (_buckets(spark, sf), "bucket_ctr")]
+    # bucket CTRs: at most 2 x N_BUCKETS values, one ordered partition
+    parts = [(users, "ctr", 4096), (sm, "smoothed_ctr", 4096), (_buckets(spark, sf), "bucket_ctr", 1)]
     out = None
-    for df, col in parts:
-        m = experiments.mann_whitney(df, col, *P.AB_GROUPS).select(
+    for df, col, nb in parts:
+        m = experiments.mann_whitney(df, col, *P.AB_GROUPS, n_buckets=nb).select(
             F.lit(col).alias("metric"), "p_a_gt_b", "p_tie", "p_b_gt_a")
         out = m if out is None else out.unionByName(m)
     return round_doubles(out)
