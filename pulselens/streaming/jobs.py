@@ -153,8 +153,10 @@ def late_data_report(spark: SparkSession, sf_dir: str, delay: str = "10 minutes"
     makes the second delivery late; the stateful operator drops its rows
     (after map-side partial aggregation, so the progress metric
     ``numRowsDroppedByWatermark`` counts dropped window groups, reported as
-    ``late_groups_dropped``).  ``rows_not_counted`` = rows read minus rows in
-    emitted windows (late rows plus rows of windows still open)."""
+    ``late_groups_dropped``); ``late_rows`` counts the second delivery's rows
+    whose window had already closed under the watermark it met.
+    ``rows_not_counted`` = rows read minus rows in emitted windows (late rows
+    plus rows of windows still open)."""
     ev = tables.load_events(spark, sf_dir)
     # a deterministic split point (midpoint of the time range): both delivery
     # jobs evaluate it, so it must give the same value every time
@@ -162,7 +164,7 @@ def late_data_report(spark: SparkSession, sf_dir: str, delay: str = "10 minutes"
     mid = ev.select(((F.min(secs) + F.max(secs)) / F.lit(2.0)).cast("timestamp").cast("timestamp_ntz")).scalar()
     base = shared_dir(spark, "late")
     src, out, ck = f"{base}/input", f"{base}/windows", f"{base}/_checkpoint"
-    progress = []
+    progress, first_run = [], []
     for i, cond in enumerate([F.col("ts") >= mid, F.col("ts") < mid]):
         ev.where(cond).write.parquet(f"{src}/delivery={i}")
         stream = (spark.readStream.schema(tables.EVENTS_SCHEMA)
@@ -173,13 +175,23 @@ def late_data_report(spark: SparkSession, sf_dir: str, delay: str = "10 minutes"
                    .trigger(availableNow=True).start(out))
         q.awaitTermination()
         progress.extend(q.recentProgress)
+        if i == 0:
+            first_run = list(progress)
     dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
                   for p in progress)
     rows_in = sum(p.get("numInputRows", 0) for p in progress)
+    # the watermark the second delivery met (restored from the checkpoint);
+    # its rows whose window had already closed are the late rows
+    marks = [p["eventTime"]["watermark"] for p in progress[len(first_run):]
+             if p.get("numInputRows", 0) > 0 and "watermark" in p.get("eventTime", {})]
+    wm = F.to_timestamp(F.lit(marks[0])).cast("timestamp_ntz") if marks else F.lit(None).cast("timestamp_ntz")
+    late = (spark.read.parquet(f"{src}/delivery=1").select(F.window(event_time(), "15 minutes").end.alias("e"))
+            .where(F.col("e").cast("timestamp_ntz") <= wm).select(F.count(F.lit(1))).scalar())
     emitted = spark.read.parquet(out)
     return (emitted.agg(F.count(F.lit(1)).alias("windows_emitted"), F.sum("count").alias("rows_in_windows"))
                    .select(F.lit(rows_in).cast("bigint").alias("rows_read"),
                            F.lit(dropped).cast("bigint").alias("late_groups_dropped"),
+                           late.alias("late_rows"),
                            "windows_emitted", "rows_in_windows",
                            (F.lit(rows_in) - F.col("rows_in_windows")).cast("bigint").alias("rows_not_counted")))
 
