@@ -14,11 +14,8 @@ from pulselens.llm import stages
 from pulselens.llm.common import shared_dir
 
 STAGES = [
-    ("language_id", stages.language_id),
     ("simhash_near_dedup", stages.simhash_near_dedup),
     ("substring_dedup", stages.substring_dedup),
-    ("benchmark_decontamination", stages.benchmark_decontamination),
-    ("source_mix", stages.source_mix),
 ]
 
 #: SQL cannot express fingerprints and language models; tests compare the pipeline with a brute-force version.

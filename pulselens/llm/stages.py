@@ -12,20 +12,24 @@ from . import simhash, substring
 
 
 def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
-    """``docs`` with the texts of ``new (doc_id, text)``; ``n_chars``, where there is one, follows the text."""
-    out = docs.drop("text").join(new.select(F.col("doc_id").alias("_pl_id"), F.col("text").alias("_pl_text")),
-                                 F.col("doc_id").eqNullSafe(F.col("_pl_id")), "left")
+    """``docs`` with the texts of ``new (doc_id, text)`` put in; ``n_chars``, where there is one, follows a new text."""
+    out = docs.join(new.select(F.col("doc_id").alias("_pl_id"), F.col("text").alias("_pl_text")),
+                    F.col("doc_id") == F.col("_pl_id"), "left")
     cols: list[Column] = []
     for c in docs.columns:
+        col = F.col(f"`{c}`")
         if c == "text":
-            cols.append(F.col("_pl_text").alias(c))
+            col = F.coalesce("_pl_text", col)
         elif c == "n_chars":
-            cols.append(F.length("_pl_text").cast(docs.schema[c].dataType).alias(c))
-        else:
-            cols.append(F.col(f"`{c}`"))
+            col = F.when(F.col("_pl_id").isNull(), col).otherwise(F.length("_pl_text").cast(docs.schema[c].dataType))
+        cols.append(col.alias(c))
     return out.select(cols)
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, once.
 
@@ -33,8 +37,15 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     out = simhash.near_duplicates(docs, shingle=4, max_bits=4)
     lost = out.where("component_id <> doc_id").select(F.col("doc_id").alias("_pl_id")).distinct()
-    rest = docs.join(lost, F.col("doc_id") == F.col("_pl_id"), "left_anti")
-    known, unknown = rest.where("doc_id is not null"), rest.where("doc_id is null")
+    # a scan of its own for rows without id: the filter reaches Parquet, which skips row groups that have none
+    known, unknown = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    rest = known.join(lost, F.col("doc_id") == F.col("_pl_id"), "left_anti")
     first = Window.partitionBy("doc_id").orderBy("doc_id")
-    once = known.withColumn("_pl_n", F.row_number().over(first)).where("_pl_n = 1").select(docs.columns)
+    once = rest.withColumn("_pl_n", F.row_number().over(first)).where("_pl_n = 1").select(*_columns(docs))
     return once.unionAll(unknown)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 13 words or more that a smaller doc_id holds go; texts without any stay as they are, byte for byte."""
+    out = substring.factors(docs, window=13)
+    return _with_text(docs, out.where("n_removed > 0").select("doc_id", F.col("kept").alias("text")))
