@@ -7,13 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash, substring
+from . import decontaminate, mixing, simhash, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a mix whose sources weigh the square root of their size."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, block_docs=8, period=1000)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that a smaller doc_id holds are removed; digests of what is left."""
     out = substring.factors(_read(spark, sf_dir, "documents"), window=13)
@@ -27,12 +33,47 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it leaks (13 aligned words or more, four of five equal)."""
+    out = decontaminate.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", (F.size("matches") > 0).alias("contaminated"),
+                      F.array_sort(F.array_distinct("matches.item_id")).alias("item_ids"),
+                      F.coalesce(F.array_max("matches.n_words"), F.lit(0)).alias("longest_overlap"))
+
+
 Q = {
+    "op4_source_mix": op4_source_mix,
+    "op10_decontaminate": op10_decontaminate,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_simhash_golay": op9_simhash_golay,
 }
 
 ORACLES = {
+    "op4_source_mix": """
+WITH RECURSIVE counts AS (
+  SELECT coalesce('=' || source, '') AS key, any_value(source) AS source, count(*) AS n,
+         CAST(round(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT) AS w FROM documents GROUP BY 1),
+parts AS (
+  SELECT key, n, greatest(1, (2 * w * 1000 + sum(w) OVER ()) // (2 * sum(w) OVER ()))::BIGINT AS m,
+         row_number() OVER (ORDER BY key) - 1 AS i FROM counts),
+src AS (SELECT key, n, m, i, CAST(sum(m) OVER () AS BIGINT) AS d FROM parts),
+edf(t, i, m, d, k, picked) AS (
+  SELECT CAST(-1 AS BIGINT), i, m, d, CAST(0 AS BIGINT), false FROM src
+  UNION ALL
+  SELECT t + 1, i, m, d, k + CASE WHEN i = pick THEN 1 ELSE 0 END, i = pick
+  FROM (SELECT *, min(CASE WHEN (k * d) // m <= t + 1 THEN (((k + 1) * d + m - 1) // m) * 1000000 + i END) OVER ()
+               % 1000000 AS pick FROM edf WHERE t + 1 < d)),
+slots AS (SELECT i, k - 1 AS j, t AS slot FROM edf WHERE picked),
+ends AS (SELECT min(((n // 8) // m) * d + slot) AS horizon FROM src JOIN slots USING (i) WHERE j = (n // 8) % m),
+ranked AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY coalesce('=' || source, '')
+                                            ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS r
+  FROM documents)
+SELECT doc_id, ranked.source, r AS mix_rank, ((r // 8) // m) * d + slot AS mix_slot,
+       (((r // 8) // m) * d + slot) * 8 + r % 8 AS mix_pos, ((r // 8) // m) * d + slot < horizon AS mix_on_target
+FROM ranked JOIN src ON src.key = coalesce('=' || ranked.source, '')
+JOIN slots ON slots.i = src.i AND slots.j = (r // 8) % m, ends
+""",
     "op6_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS phrase

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from . import simhash, substring
+from . import decontaminate, mixing, simhash, substring
 
 
 def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
@@ -49,3 +49,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Passages of 13 words or more that a smaller doc_id holds go; texts without any stay as they are, byte for byte."""
     out = substring.factors(docs, window=13)
     return _with_text(docs, out.where("n_removed > 0").select("doc_id", F.col("kept").alias("text")))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a stretch of a benchmark item go; rows without doc_id are judged by their text alone."""
+    leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    lost = leaks.where("size(matches) > 0").select(F.col("doc_id").alias("_pl_id")).distinct()
+    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_pl_id")), "left_anti").select(*_columns(docs))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their place in the mix, written in that order."""
+    out = mixing.mix(docs)
+    return out.repartitionByRange(F.col("mix_pos").asc_nulls_last()).sortWithinPartitions(F.col("mix_pos").asc_nulls_last())
