@@ -7,13 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, mixing, simhash, substring
+from . import decontaminate, langid, mixing, simhash, stages, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = _read(spark, sf_dir, "documents")
+    out = langid.identify(docs, stages.language_model(docs))
+    return out.select("doc_id", stages.held_out(stages.LANG_HELD_OUT, 4).alias("held_out"), "lang_pred", "score")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in a mix whose sources weigh the square root of their size."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
@@ -42,6 +49,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op3_language_id": op3_language_id,
     "op4_source_mix": op4_source_mix,
     "op10_decontaminate": op10_decontaminate,
     "op6_substring_dedup": op6_substring_dedup,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from . import decontaminate, mixing, simhash, substring
+from . import decontaminate, langid, mixing, simhash, substring
 
 
 def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
@@ -30,6 +30,28 @@ def _columns(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+#: Rows of this remainder of crc32(doc_id as text) by 4 are held out of language learning.
+LANG_HELD_OUT = 2
+
+
+def held_out(remainder: int, of: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % of == remainder, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> tuple:
+    """Pieces, languages and probabilities, learned from the rows that are not held out."""
+    import public_tokenizers
+    pieces = langid.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces, *langid.learn(docs.where(~held_out(LANG_HELD_OUT, 4)), pieces)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those of which no learned language explains more than half, go."""
+    kept = [c for c in docs.columns if c not in ("doc_id", "lang_pred", "score")]
+    out = langid.identify(docs, language_model(docs), keep=tuple(kept))
+    return out.where("lang_pred <> 'und' and score > 0.5").select(*_columns(docs))
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, once.
 
