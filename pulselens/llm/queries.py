@@ -7,13 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, mixing, simhash, stages, substring
+from . import cws, decontaminate, langid, mixing, simhash, stages, substring, tokencount
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document in the public byte-level vocabulary of 50k entries."""
+    import public_tokenizers
+    return tokencount.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = _read(spark, sf_dir, "documents")
@@ -27,6 +33,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, block_docs=8, period=1000)
 
 
+def op5_cws_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """64 weighted samples of every document and of its edited text, and their likenesses."""
+    return cws.fingerprints(_read(spark, sf_dir, "documents"), samples=64)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that a smaller doc_id holds are removed; digests of what is left."""
     out = substring.factors(_read(spark, sf_dir, "documents"), window=13)
@@ -49,9 +60,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_source_mix": op4_source_mix,
     "op10_decontaminate": op10_decontaminate,
+    "op5_cws_fingerprints": op5_cws_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_simhash_golay": op9_simhash_golay,
 }
