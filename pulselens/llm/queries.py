@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import cws, decontaminate, langid, mixing, simhash, stages, substring, tokencount
+from . import chat, cws, decontaminate, langid, mixing, quality, simhash, stages, substring, tokencount
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +45,21 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    talk = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_conversations(talk.unionByName(probe)))
+
+
+def op8_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of those that are not held out."""
+    return quality.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"),
+                                 stages.held_out(0, 5), threshold=0.3)
+
+
 def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64-bit SimHash over 4-word shingles; fingerprints of 4 or fewer differing bits link."""
     out = simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -66,6 +81,8 @@ Q = {
     "op10_decontaminate": op10_decontaminate,
     "op5_cws_fingerprints": op5_cws_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_chat_format": op7_chat_format,
+    "op8_quality_qda": op8_quality_qda,
     "op9_simhash_golay": op9_simhash_golay,
 }
 
@@ -108,5 +125,26 @@ kept AS (SELECT w.doc_id, count(*) FILTER (gone.p IS NOT NULL) AS n_removed,
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op7_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, lag(role, 1, '') OVER w AS before, lead(role) OVER w IS NULL AS last,
+         length(text) + length(text) - length(replace(text, chr(8288), '')) + len(regexp_extract_all(text,
+           '<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<TURN>>|<<TEXT>>|<</TURN>>')) AS chars
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(chars + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 25 END)
+         AS BIGINT) AS formatted_chars,
+       bool_and(CASE before WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user'
+                WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' ELSE false END)
+         AND bool_or(last AND role = 'assistant') AS valid_order
+FROM t GROUP BY conv_id
 """,
 }
