@@ -7,13 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, cws, decontaminate, langid, mixing, quality, simhash, stages, substring, tokencount
+from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, stages, substring, tokencount
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _read(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.learn(pages))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document in the public byte-level vocabulary of 50k entries."""
     import public_tokenizers
@@ -75,6 +81,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op1_html_extract": op1_html_extract,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_source_mix": op4_source_mix,
