@@ -119,8 +119,8 @@ def _matches(batch: pa.RecordBatch, index: dict, min_words: int, similarity: flo
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, similarity: float = 0.8,
                block_bytes: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``(doc_id, n_words, matches)``; ``matches`` lists ``(item_id, start, n_words,
-    similarity)`` of each aligned stretch, ``start`` counted in the document's words.
+    """One row per row of ``docs``: ``(doc_id, content, n_words, matches)``; ``matches`` lists ``(item_id, start, n_words,
+    similarity)`` of each aligned stretch, ``start`` counted in the document's words; ``content`` is the text's hash.
 
     An item of fewer than ``min_words`` words must agree over its whole length, one of fewer than five words has no
     seed and matches nothing.  Null texts have no words; items with null text or id are left out; empty tables give no
@@ -159,7 +159,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, simil
                .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("matches")))).alias("matches"),
                     F.expr(f"count(*) div {blocks}").alias("copies"))
                .withColumn("copy", F.explode(F.expr("sequence(1L, copies)"))))
-    return out.select("doc_id", "n_words", "matches")
+    return out.select("doc_id", "content", "n_words", "matches")
 
 
 _MATCHES = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()),

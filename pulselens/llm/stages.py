@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame`` with the columns of ``docs``.
 
-A stage's decision is joined back by ``doc_id``, so rows that repeat a ``doc_id`` share it.  Names that a stage needs
-for itself start with ``_pl_`` and cannot clash with columns of ``docs``.
+A stage's decision is joined back by ``doc_id`` and a hash of the text, so rows that repeat both share it.  Names that a
+stage needs for itself start with ``_pl_`` and cannot clash with columns of ``docs``.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from . import decontaminate, langid, mixing, simhash, substring
 
 
 def _with_text(docs: DataFrame, new: DataFrame) -> DataFrame:
-    """``docs`` with the texts of ``new (doc_id, text)`` put in; ``n_chars``, where there is one, follows a new text."""
-    out = docs.join(new.select(F.col("doc_id").alias("_pl_id"), F.col("text").alias("_pl_text")),
-                    F.col("doc_id") == F.col("_pl_id"), "left")
+    """``docs`` with the texts of ``new (doc_id, text, kept)`` put in for equal id and text; ``n_chars``, where there is
+    one, follows a new text."""
+    new = new.select(F.col("doc_id").alias("_pl_id"), F.xxhash64("text").alias("_pl_hash"),
+                     F.col("kept").alias("_pl_text")).dropDuplicates(["_pl_id", "_pl_hash"])
+    out = docs.join(new, (F.col("doc_id") == F.col("_pl_id")) & (F.xxhash64("text") == F.col("_pl_hash")), "left")
     cols: list[Column] = []
     for c in docs.columns:
         col = F.col(f"`{c}`")
@@ -70,14 +72,15 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that a smaller doc_id holds go; texts without any stay as they are, byte for byte."""
     out = substring.factors(docs, window=13)
-    return _with_text(docs, out.where("n_removed > 0").select("doc_id", F.col("kept").alias("text")))
+    return _with_text(docs, out.where("n_removed > 0"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a stretch of a benchmark item go; rows without doc_id are judged by their text alone."""
+    """Documents that hold a stretch of a benchmark item go."""
     leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    lost = leaks.where("size(matches) > 0").select(F.col("doc_id").alias("_pl_id")).distinct()
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_pl_id")), "left_anti").select(*_columns(docs))
+    lost = leaks.where("size(matches) > 0").select(F.col("doc_id").alias("_pl_id"), F.col("content").alias("_pl_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_pl_id")) & (F.xxhash64("text") == F.col("_pl_hash"))
+    return docs.join(lost, same, "left_anti").select(*_columns(docs))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
