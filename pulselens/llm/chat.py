@@ -46,7 +46,10 @@ class Formatter:
     """Escapes, formats and reads back with one template."""
 
     def __init__(self, template: Template):
+        if any(len(c) < 2 or template.escape in c for c in template.controls()):
+            raise ValueError("control strings need two characters or more and no escape mark, so that the mark can part them")
         self.t = template
+        self._all = template.controls()
         control = "|".join(map(re.escape, template.controls()))
         self._control = re.compile(control)
         # an escaped control string has one escape mark behind its first character
@@ -76,30 +79,42 @@ class Formatter:
 
     def read(self, parts: Iterator[str]) -> Iterator[tuple[str, str]]:
         """The turns ``(role, text)`` of a formatted conversation that comes in parts of any length."""
-        opens = {o: (r, c) for r, (o, c, _) in self.t.turns.items()}
-        start, middle, end = self.t.other
-        rest, role, closing, body = "", "", "", []
+        reader = Reader(self)
         for part in parts:
-            rest += part
-            at = 0
-            for m in self._control.finditer(rest):
-                body.append(rest[at:m.start()])
-                at = m.end()
-                if m[0] == closing:
-                    yield role, self.unescape("".join(body))
-                    closing = ""
-                elif m[0] in opens:
-                    role, closing = opens[m[0]]
-                elif m[0] == start:
-                    closing = ""
-                elif m[0] == middle:
-                    role, closing = self.unescape("".join(body)), end
-                body = []
-            # a control string may go on in the next part
-            keep = max((n for n in range(1, min(len(rest) - at, max(map(len, self.t.controls())) - 1) + 1)
-                        if any(c.startswith(rest[len(rest) - n:]) for c in self.t.controls())), default=0)
-            body.append(rest[at:len(rest) - keep])
-            rest = rest[len(rest) - keep:]
+            yield from reader.feed(part)
+
+
+class Reader:
+    """Cuts formatted text into turns as it comes; control strings may be split between parts."""
+
+    def __init__(self, formatter: Formatter):
+        self.f = formatter
+        self.opens = {o: (r, c) for r, (o, c, _) in formatter.t.turns.items()}
+        self.longest = max(map(len, formatter.t.controls()))
+        self.rest, self.role, self.closing, self.body = "", "", "", []
+
+    def feed(self, part: str) -> list[tuple[str, str]]:
+        start, middle, end = self.f.t.other
+        out, at, rest = [], 0, self.rest + part
+        for m in self.f._control.finditer(rest):
+            self.body.append(rest[at:m.start()])
+            at = m.end()
+            if m[0] == self.closing:
+                out.append((self.role, self.f.unescape("".join(self.body))))
+                self.closing = ""
+            elif m[0] in self.opens:
+                self.role, self.closing = self.opens[m[0]]
+            elif m[0] == start:
+                self.closing = ""
+            elif m[0] == middle:
+                self.role, self.closing = self.f.unescape("".join(self.body)), end
+            self.body = []
+        # the last characters may begin a control string that goes on in the next part
+        keep = next((n for n in range(min(len(rest) - at, self.longest - 1), 0, -1)
+                     if any(c.startswith(rest[len(rest) - n:]) for c in self.f._all)), 0)
+        self.body.append(rest[at:len(rest) - keep])
+        self.rest = rest[len(rest) - keep:]
+        return out
 
 
 SEGMENTS = "conv_id long, turn_no long, part int, role string, text string, loss boolean, allowed boolean, may_end boolean"
@@ -158,17 +173,9 @@ class _Digest:
         self.turns, self.turn_hash = 0, hashlib.sha256()
         self.loss_chars, self.loss_hash, self.chars = 0, hashlib.sha256(), 0
         self.valid, self.may_end = True, False
-        self._parts: list[str] = []
-        self._read = formatter.read(self._feed())
+        self.reader = Reader(formatter)
 
-    def _feed(self):
-        while True:
-            while self._parts:
-                yield self._parts.pop(0)
-            yield ""
-
-    def add(self, text: str, loss: bool, closes: bool, allowed: bool, may_end: bool) -> None:
-        self._parts.append(text)
+    def add(self, text: str, loss: bool, allowed: bool, may_end: bool) -> None:
         self.chars += len(text)
         self.valid &= allowed
         self.may_end = may_end
@@ -176,8 +183,7 @@ class _Digest:
             plain = self.f.unescape(text)
             self.loss_chars += len(plain)
             self.loss_hash.update(plain.encode())
-        if closes:
-            role, body = next(self._read)
+        for role, body in self.reader.feed(text):
             self.turns += 1
             self.turn_hash.update(f"{role}\n{body}\n".encode())
 
@@ -200,12 +206,12 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
 
         for batch in batches:
             done: list[_Digest] = []
-            for c, n, part, _, text, loss, allowed, may_end in zip(*(x.to_pylist() for x in batch.columns)):
+            for c, _, _, _, text, loss, allowed, may_end in zip(*(x.to_pylist() for x in batch.columns)):
                 if now is None or c != now.conv:
                     if now is not None:
                         done.append(now)
                     now = _Digest(c, f)
-                now.add(text, loss, part == 2, allowed, may_end)
+                now.add(text, loss, allowed, may_end)
             yield rows(done)
         if now is not None:
             yield rows([now])
