@@ -243,30 +243,44 @@ class _Scorer:
         return best, post
 
 
-def identify(docs: DataFrame, model: tuple[list[bytes], list[str], np.ndarray], id_col: str = "doc_id",
-             text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, lang_pred, score)`` and the columns ``keep`` for every row; ``model`` is ``(pieces, langs, prob)``.
-
-    ``lang_pred`` is a learned language, the first of equally likely ones; ``score`` is its share of the likelihood,
-    between 0 and 1.  A null or empty text, and one without letters, gives ``und`` and 0; so does every text if no
-    language was learned.  Repeated rows are judged alike; an empty table gives no rows.
-    """
+def _judged(docs: DataFrame, model: tuple[list[bytes], list[str], np.ndarray], text_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` as ``k0``, ``k1``, ... with ``lang_pred`` and ``score`` of the text."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # the public vocabulary's size times the number of languages
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       *[F.col(f"`{c}`") for c in keep])
-    kinds = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[2:]),
+    sent = keep if text_col in keep else [*keep, text_col]
+    text = sent.index(text_col)
+    base = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(sent)])
+    kept = [f"k{i}" for i in range(len(keep))]
+    kinds = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[:len(keep)]),
                        "lang_pred string", "score double"])
 
     def run(batches):
         scorer = _Scorer(shared.value)
         langs = np.array([*scorer.langs, "und"], object)
         for batch in batches:
-            for b in slices(batch, limit=SLICE_BYTES):
-                best, post = scorer.texts(b.column(1))
+            for b in slices(batch, f"k{text}", SLICE_BYTES):
+                best, post = scorer.texts(b.column(text))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), *b.columns[2:], pa.array(langs[best], pa.string()), pa.array(np.asarray(post, float))],
-                    names=["doc_id", *b.schema.names[2:], "lang_pred", "score"])
+                    [*b.columns[:len(kept)], pa.array(langs[best], pa.string()), pa.array(np.asarray(post, float))],
+                    names=[*kept, "lang_pred", "score"])
 
     return base.mapInArrow(run, kinds)
+
+
+def identify(docs: DataFrame, model: tuple[list[bytes], list[str], np.ndarray], id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``(doc_id, lang_pred, score)`` for every row; ``model`` is ``(pieces, langs, prob)``.
+
+    ``lang_pred`` is a learned language, the first of equally likely ones; ``score`` is its share of the likelihood,
+    between 0 and 1.  A null or empty text, and one without letters, gives ``und`` and 0; so does every text if no
+    language was learned.  Repeated rows are judged alike; an empty table gives no rows; other columns are not read.
+    """
+    return _judged(docs, model, text_col, [id_col]).select(F.col("k0").cast("long").alias("doc_id"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: tuple[list[bytes], list[str], np.ndarray], least: float = 0.5,
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with a score above ``least``."""
+    return (_judged(docs, model, text_col, docs.columns).where((F.col("lang_pred") != "und") & (F.col("score") > least))
+            .select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SLICE_BYTES, saved, ship_package
+from .common import SLICE_BYTES, id_text, saved, ship_package
 from .textkit import slices, utf8, word_hashes, words
 
 #: Statistics of a document, in the order of the feature vector.
@@ -70,25 +70,20 @@ def statistics(column: pa.Array) -> np.ndarray:
     return out
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, keep..., f0, f1, ...)``: the statistics of every row's whole text (null: empty)."""
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, f0, f1, ...)``: the statistics of every row's whole text (null: empty)."""
     ship_package(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       *[F.col(f"`{c}`") for c in keep])
     names = [f"f{i}" for i in range(len(STATISTICS))]
-    kinds = ", ".join(["doc_id long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields[2:]),
-                       *(f"{x} double" for x in names)])
 
     def run(batches):
         for batch in batches:
             for b in slices(batch, limit=SLICE_BYTES):
                 x = statistics(b.column(1))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), *b.columns[2:], *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(names)))],
-                    names=["doc_id", *b.schema.names[2:], *names])
+                    [b.column(0), *(pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(names)))],
+                    names=["doc_id", *names])
 
-    return base.mapInArrow(run, kinds)
+    return id_text(docs, id_col, text_col).mapInArrow(run, ", ".join(["doc_id long", *(f"{x} double" for x in names)]))
 
 
 class Discriminant:

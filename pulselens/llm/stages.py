@@ -49,9 +49,7 @@ def language_model(docs: DataFrame) -> tuple:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those of which no learned language explains more than half, go."""
-    kept = [c for c in docs.columns if c not in ("doc_id", "lang_pred", "score")]
-    out = langid.identify(docs, language_model(docs), keep=tuple(kept))
-    return out.where("lang_pred <> 'und' and score > 0.5").select(*_columns(docs))
+    return langid.accepted(docs, language_model(docs), 0.5)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
