@@ -1,8 +1,9 @@
 """Reproducible pseudo-randomness from hashes (same numbers in Spark and SQL).
 
-u = first 8 hex digits of md5(key) / 2^32 is uniform on [0, 1).  Poisson(1)
-weights come from inverting the CDF on u; the thresholds are generated from
-the Poisson formula below, not typed in.
+u = first 13 hex digits of md5(key) / 2^52 is uniform on [0, 1), and exact as
+a double.  Poisson(1) weights come from inverting the CDF on u; the thresholds
+are generated from the Poisson formula below, not typed in, as far as u can
+tell them from 1, so no weight is cut off.
 """
 
 from __future__ import annotations
@@ -12,16 +13,20 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-POISSON_MAX = 8
+U_BITS = 52
+U_DIGITS = U_BITS // 4
 
 
-def poisson1_cdf(k_max: int = POISSON_MAX - 1) -> list[float]:
-    """P(X <= k) for X ~ Poisson(1), k = 0..k_max."""
-    out, acc = [], 0.0
-    for k in range(k_max + 1):
-        acc += math.exp(-1.0) / math.factorial(k)
-        out.append(acc)
-    return out
+def poisson1_cdf() -> list[float]:
+    """P(X <= k) for X ~ Poisson(1), k = 0, 1, ... until the rest is below the resolution of u."""
+    out, k = [], 0
+    while True:
+        # the tail is summed from its small end, so that 1 - tail is as exact as a double can be
+        tail = math.fsum(math.exp(-1.0) / math.factorial(j) for j in range(k + 40, k, -1))
+        if tail < 2.0 ** -U_BITS:
+            return out
+        out.append(1.0 - tail)
+        k += 1
 
 
 def md5_key(*cols) -> Column:
@@ -30,8 +35,8 @@ def md5_key(*cols) -> Column:
 
 def md5_uniform(*cols) -> Column:
     """Uniform [0,1) from md5 of the '-'-joined key."""
-    hex8 = F.substring(F.md5(md5_key(*cols)), 1, 8)
-    return F.conv(hex8, 16, 10).cast("bigint").cast("double") / F.lit(4294967296.0)
+    digits = F.substring(F.md5(md5_key(*cols)), 1, U_DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint").cast("double") / F.lit(2.0 ** U_BITS)
 
 
 def xxhash_uniform(*cols, seed: int = 42) -> Column:
@@ -39,7 +44,7 @@ def xxhash_uniform(*cols, seed: int = 42) -> Column:
     fast choice for very large replicate explosions; not reproducible in
     other engines."""
     h = F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols], F.lit(seed))
-    return F.pmod(h, F.lit(4294967296)).cast("double") / F.lit(4294967296.0)
+    return F.pmod(h, F.lit(2 ** U_BITS)).cast("double") / F.lit(2.0 ** U_BITS)
 
 
 def uniform(*cols, method: str = "md5") -> Column:
@@ -48,7 +53,7 @@ def uniform(*cols, method: str = "md5") -> Column:
 
 def md5_uniform_sql(*exprs: str) -> str:
     key = "concat_ws('-', " + ", ".join(f"CAST({e} AS VARCHAR)" for e in exprs) + ")"
-    return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
+    return f"(CAST(('0x' || substr(md5({key}), 1, {U_DIGITS})) AS BIGINT) / CAST({2 ** U_BITS} AS DOUBLE))"
 
 
 def poisson1_from_uniform(u: Column) -> Column:

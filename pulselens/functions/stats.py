@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STEPS = 1000
+STEPS = 400
 
 
 def _weight(i: Column) -> Column:

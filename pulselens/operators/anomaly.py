@@ -113,22 +113,34 @@ def anomaly_bands(kpi: DataFrame, metrics=KPI_METRICS, a: float = 5.0, n: int =
     return iqr_bands(kpi_long(kpi, metrics), a, n)
 
 
+def _alert_rows(x: DataFrame, part: list[str], order: str, low: str, up: str) -> DataFrame:
+    """The change vs the previous window (``prev_value``), the alert flag (strict comparison; a NULL band never alerts)
+    and the alert text when it fires."""
+    x = x.withColumn("deviation", F.abs(F.lit(1.0) - ratio(F.col("value"), F.col("prev_value"))))
+    alert = _outside("value", low, up)
+    text = F.concat(F.lit("Metric "), F.col("metric"), F.lit(":\nCurrent value "), num_text(F.col("value")),
+                    F.lit("\nDeviation from previous value "), F.coalesce(pct_text(F.col("deviation")), F.lit("n/a")))
+    return (x.withColumn("is_alert", alert)
+             .withColumn("text", F.when(alert, text))
+             .select(*part, order, "value", "prev_value", "deviation", "q25", "q75", F.col(up).alias("up"),
+                     F.col(low).alias("low"), "is_alert", "text"))
+
+
+def live_alerts(bands: DataFrame, partition=("metric",), order: str = "ts") -> DataFrame:
+    """Every window of every series as it was judged when it was the newest one (trailing band)."""
+    part = list(partition)
+    w = Window.partitionBy(*part).orderBy(order)
+    return _alert_rows(bands.withColumn("prev_value", F.lag("value").over(w)), part, order, "low_live", "up_live")
+
+
 def latest_alerts(bands: DataFrame, partition=("metric",), order: str = "ts") -> DataFrame:
     """The newest window of every series with its band, the change vs
-    the previous window (E4), the alert flag (strict comparison; a NULL band
-    never alerts) and the alert text when it fires."""
+    the previous window (E4), the alert flag and the alert text when it fires."""
     part = list(partition)
     w = Window.partitionBy(*part).orderBy(order)
     x = (bands.withColumn("prev_value", F.lag("value").over(w))
-              .withColumn("deviation", F.abs(F.lit(1.0) - ratio(F.col("value"), F.col("prev_value"))))
               .withColumn("_last", F.max(order).over(Window.partitionBy(*part))))
-    x = x.where(F.col(order) == F.col("_last")).drop("_last")
-    alert = _outside("value", "low", "up")
-    text = F.concat(F.lit("Metric "), F.col("metric"), F.lit(":\nCurrent value "), num_text(F.col("value")),
-                    F.lit("\nDeviation from previous value "), F.coalesce(pct_text(F.col("deviation")), F.lit("n/a")))
-    return (x.withColumn("is_alert", alert)
-             .withColumn("text", F.when(alert, text))
-             .select(*part, order, "value", "prev_value", "deviation", "q25", "q75", "up", "low", "is_alert", "text"))
+    return _alert_rows(x.where(F.col(order) == F.col("_last")).drop("_last"), part, order, "low", "up")
 
 
 def backtest(bands: DataFrame) -> DataFrame:

@@ -158,8 +158,11 @@ def slice_report_strict(feed: DataFrame, messages: DataFrame, first_day, last_da
     last_day = last_day or first_day
     f = _period(feed, first_day, last_day)
     m = _period(messages, first_day, last_day)
-    fu = (f.groupBy("user_id", F.to_date("time").alias("event_date"))
-           .agg(views_expr().alias("views"), likes_expr().alias("likes"),
+    # hash-aggregated by profile first; only a user's few profiles of a day are then ordered
+    fu = (f.groupBy("user_id", F.to_date("time").alias("event_date"), "gender", "age", "os")
+           .agg(views_expr().alias("views"), likes_expr().alias("likes"), F.max("time").alias("time"))
+           .groupBy("user_id", "event_date")
+           .agg(F.sum("views").alias("views"), F.sum("likes").alias("likes"),
                 F.max(F.struct("time", "gender", "age", "os")).alias("_p"))
            .select("user_id", "event_date", "views", "likes",
                    F.col("_p.gender").alias("gender"), F.col("_p.age").alias("age"), F.col("_p.os").alias("os")))

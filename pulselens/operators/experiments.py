@@ -17,7 +17,7 @@ from pulselens.functions.hashing import poisson1_from_uniform, uniform, user_buc
 from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p, with_t_p_values
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import group_ctr, likes_expr, ratio, views_expr
-from pulselens.operators.ranking import DEFAULT_BUCKETS, prefix_sums, value_counts
+from pulselens.operators.ranking import prefix_sums, value_counts
 
 REPORT_COLS = ["test", "metric", "group_a", "group_b", "n_a", "n_b", "statistic", "p_value", "estimate"]
 
@@ -57,7 +57,7 @@ def welch(df: DataFrame, value: str, a, b, group: str = "exp_group") -> DataFram
 # ---- Mann-Whitney U and probability of superiority ------------------------------
 
 def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """X5 + X8: two-sided Mann-Whitney U (mid-ranks, tie-corrected variance,
     0.5 continuity correction, normal approximation), plus the exact
     P(A>B), P(tie), P(B>A) over all pairs.
@@ -184,25 +184,19 @@ def bootstrap_diff_ci(boot: DataFrame, level: float = 0.95) -> DataFrame:
 
 def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 500,
                         value: str = "ctr", same_group: bool = False,
-                        partitions: int | None = None, hash_method: str = "md5",
-                        method: str = "auto") -> DataFrame:
-    """X11: ``n_reps`` A/A tests, each on ``k`` users drawn without replacement
-    from each group (fewer when a group is small: ``min(k, n // 2)``).
-    ``same_group=True`` draws both samples from group ``a`` (the reference's
-    behaviour).  Users with NULL ``value`` are not eligible.
-
-    Draws (``method="auto"``, per sample, decided inside the plan):
-    * pools of at most ``4k`` users: the k smallest md5(sample, replicate,
-      user) (``hash_order``); ``row_number() <= k`` lets Spark keep a
-      per-task top-k before the shuffle (WindowGroupLimit); the work is
-      bounded by 4k x replicates whatever the data size;
-    * larger pools (``index``): users get an index 0..n-1 (distributed prefix
-      sum), each (replicate, sample) draws a few more than k hash-uniform
-      indices and keeps the first k distinct ones (a uniform k-subset), and
-      the indices are joined back to the users: O(users + k x replicates)
-      instead of O(users x replicates).  The rare pairs with fewer than k
-      distinct draws are redrawn exactly by hash order.
-    ``method="hash_order"`` / ``"index"`` force one strategy."""
+                        partitions: int | None = None, hash_method: str = "md5") -> DataFrame:
+    """X11: ``n_reps`` A/A tests, each on exactly ``k`` users drawn without
+    replacement from each group.  ``same_group=True`` draws both samples from
+    group ``a`` (the reference's behaviour).  Users with NULL ``value`` are
+    not eligible.  A group of fewer than ``k`` users gives no draw: its
+    ``n_*`` is 0, the p-value NULL, and ``pool_*`` shows how many there are.
+
+    One rule at every size: a group's users have the indices 0..n-1 by user id
+    (distributed prefix sum); draw ``j`` of a replicate is the index
+    ``floor(u(sample, replicate, j) * n)``, and the sample is the first ``k``
+    distinct draws.  Work is O(users + k x replicates): the draws are made
+    where the replicate is, without a shuffle, and joined to the users by
+    (sample, index)."""
     g = F.col("exp_group")
     x = users.where(F.col(value).isNotNull())
     if same_group:
@@ -211,75 +205,50 @@ def aa_resample_pvalues(users: DataFrame, a, b, n_reps: int = 10000, k: int = 50
     else:
         pool = x.where(g.isin(a, b)).select("user_id", F.col(value).alias("v"),
                                             F.when(g == F.lit(a), F.lit(1)).otherwise(F.lit(2)).alias("s"))
-    sizes = (pool.groupBy("s").agg(F.count(F.lit(1)).alias("n_pool"))
-                 .withColumn("k_eff", F.least(F.lit(k), F.floor(F.col("n_pool") / F.lit(2)))))
-    n_part = partitions or _default_partitions(users)
-    reps = F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep")
-    if method == "hash_order":
-        drawn = _draw_hash_order(pool.select("*", reps), sizes, k, n_part, hash_method)
-    elif method == "index":
-        drawn = _draw_by_index(pool, sizes, n_reps, k, n_part, hash_method)
-    else:
-        small = F.col("n_pool") <= F.lit(4 * k)
-        # sizes has at most two rows (one per sample): broadcast semi-joins
-        pool_small = pool.join(F.broadcast(sizes.where(small).select("s")), "s", "left_semi")
-        pool_big = pool.join(F.broadcast(sizes.where(~small).select("s")), "s", "left_semi")
-        drawn = (_draw_hash_order(pool_small.select("*", reps), sizes, k, n_part, hash_method)
-                 .unionByName(_draw_by_index(pool_big, sizes.where(~small), n_reps, k, n_part, hash_method)))
-    s = drawn.groupBy("rep").agg(*_moments(F.col("v"), F.col("s"), 1, 2))
-    s = welch_columns(s, p_value=False).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df")
+    sizes = pool.agg(*[F.count_if(F.col("s") == s).alias(f"n{s}") for s in (1, 2)])
+    pairs = (sizes.select(F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(f"n{s}").alias("n")) for s in (1, 2)])).alias("p"),
+                          F.lit(n_reps).alias("reps"))
+                  .select("p.s", "p.n", F.explode(F.sequence(F.lit(1), F.col("reps"))).alias("rep"))
+                  .repartition(partitions or _default_partitions(users), "rep", "s"))
+    drawn = (pairs.select("rep", "s", "n", F.explode_outer(first_distinct_draws(F.col("n"), k, hash_method)).alias("idx"))
+                  .join(_indexed(pool), ["s", "idx"], "left"))
+    s = drawn.groupBy("rep").agg(*_moments(F.col("v"), F.col("s"), 1, 2),
+                                 *[F.max(F.when(F.col("s") == i, F.col("n"))).alias(c) for i, c in ((1, "pool_a"), (2, "pool_b"))])
+    s = welch_columns(s, p_value=False).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "pool_a", "pool_b")
     # one tail per replicate: generated grid + codegen'd sum, same partitioning by rep
-    return with_t_p_values(s, "t", "df", ["rep"]).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "p_value")
-
-
-def _draw_hash_order(rows: DataFrame, sizes: DataFrame, k: int, n_part: int, hash_method: str) -> DataFrame:
-    """The k_eff users with the smallest hash per (replicate, sample);
-    ``rows`` holds (rep, s, user_id, v), one row per candidate user and rep."""
-    # sizes has one row per sample (at most two)
-    x = rows.join(F.broadcast(sizes.select("s", "k_eff")), "s").repartition(n_part, "user_id")
-    x = x.withColumn("_h", uniform("s", "rep", "user_id", method=hash_method))
-    w = Window.partitionBy("rep", "s").orderBy(F.col("_h"), F.col("user_id"))
-    return (x.withColumn("rn", F.row_number().over(w))
-             .where(F.col("rn") <= F.lit(k))
-             .where(F.col("rn") <= F.col("k_eff"))
-             .select("rep", "s", "user_id", "v"))
-
-
-def draw_size_margin(k_eff: Column, n_pool: Column) -> Column:
-    """Draws per (replicate, sample): k plus a margin for repeated indices
-    (about k^2 / 2n repeats are expected); short pairs are redrawn exactly."""
-    return (k_eff + F.ceil(F.lit(3.0) * F.sqrt(k_eff)) + F.ceil(F.lit(2.0) * k_eff * k_eff / n_pool)
-            + F.lit(8)).cast("bigint")
-
-
-def _draw_by_index(pool: DataFrame, sizes: DataFrame, n_reps: int, k: int, n_part: int,
-                   hash_method: str) -> DataFrame:
-    # 1. users indexed 0..n-1 within each sample, ordered by user id (no single-task window)
-    # one indicator per sample: all sample-1 rows precede sample-2 rows, so
-    # "_in2_lt" of a sample-2 row counts only sample-2 users with a smaller id
+    return with_t_p_values(s, "t", "df", ["rep"]).select("rep", "n_a", "n_b", "mean_a", "mean_b", "t", "df", "p_value",
+                                                         "pool_a", "pool_b")
+
+
+def _indexed(pool: DataFrame) -> DataFrame:
+    """``(s, idx, v)``: the users of each sample numbered 0..n-1 by user id."""
     one = pool.select("s", "user_id", "v", (F.col("s") == 1).cast("bigint").alias("_in1"),
                       (F.col("s") == 2).cast("bigint").alias("_in2"))
-    idx = prefix_sums(one, "user_id", ["_in1", "_in2"], order_by=["s", "user_id"],
-                      key=F.col("s").cast("double") * F.lit(4e19) + F.col("user_id").cast("double"))
-    idx = idx.select("s", "user_id", "v",
-                     F.when(F.col("s") == 1, F.col("_in1_lt")).otherwise(F.col("_in2_lt")).alias("idx"))
-    # 2. hash-uniform index draws per (replicate, sample); keep the first k_eff distinct
-    cand = (sizes.withColumn("m", draw_size_margin(F.col("k_eff"), F.col("n_pool")))
-                 .select("s", "n_pool", "k_eff", "m", F.explode(F.sequence(F.lit(1), F.lit(n_reps))).alias("rep"))
-                 .repartition(n_part, "rep")
-                 .select("s", "n_pool", "k_eff", "rep", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("j")))
-    cand = cand.withColumn("idx", F.floor(uniform("s", "rep", "j", method=hash_method) * F.col("n_pool")).cast("bigint"))
-    first = Window.partitionBy("rep", "s", "idx").orderBy("j")
-    ranked = (cand.withColumn("_first", F.row_number().over(first)).where(F.col("_first") == 1)
-                  .withColumn("_rank", F.row_number().over(Window.partitionBy("rep", "s").orderBy("j"))))
-    short = (ranked.groupBy("rep", "s", "k_eff").agg(F.count(F.lit(1)).alias("_n"))
-                   .where(F.col("_n") < F.col("k_eff")).select("rep", "s"))
-    chosen = (ranked.where(F.col("_rank") <= F.col("k_eff")).select("rep", "s", "idx")
-                    .join(short, ["rep", "s"], "left_anti"))
-    main = chosen.join(idx, ["s", "idx"], "inner").select("rep", "s", "user_id", "v")
-    # 3. exact redraw of the short pairs (normally none)
-    redo = _draw_hash_order(pool.join(short, "s", "inner"), sizes, k, n_part, hash_method)
-    return main.unionByName(redo)
+    idx = prefix_sums(one, "user_id", ["_in1", "_in2"], order_by=["user_id", "s"])
+    return idx.select("s", F.when(F.col("s") == 1, F.col("_in1_lt")).otherwise(F.col("_in2_lt")).alias("idx"), "v")
+
+
+def first_distinct_draws(n: Column, k: int, hash_method: str = "md5") -> Column:
+    """The first ``k`` distinct indices of the draw sequence of a row's ``(s, rep)``; none if ``n < k``, all if ``n = k``.
+
+    The number of draws needed is a sum of geometric waiting times with mean ``mu`` and smallest odds ``p``.  A sequence
+    of the usual length (six deviations above the mean) is tried first; the rare row for which it falls short goes on
+    along the same sequence to a length that fails with odds below e^-40, as P(needed >= c mu) <=
+    exp(-p mu (c - 1 - ln c))."""
+    nd = n.cast("double")
+    mu = nd * F.log((nd + 0.5) / (nd - k + 0.5))
+    p = (nd - k + 1) / nd
+    usual = F.ceil(mu + 6 * F.sqrt(mu / p) + 10)
+    sure = F.ceil(F.greatest(F.lit(3.5), 1 + 80 / (p * mu)) * mu)
+
+    def distinct(m: Column) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), m.cast("int")), lambda j: F.floor(
+            uniform(F.col("s"), F.col("rep"), j, method=hash_method) * n).cast("bigint")))
+
+    # evaluated row by row: the long sequence only where the usual one falls short
+    tried = F.transform(F.array(distinct(usual)), lambda d: F.when(F.size(d) >= k, d).otherwise(distinct(sure)))
+    return (F.when(n == k, F.sequence(F.lit(0).cast("bigint"), n - 1))
+             .when(n > k, F.slice(F.element_at(tried, 1), 1, k)))
 
 
 def aa_false_positive_rate(pvals: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -299,6 +268,23 @@ def histogram(df: DataFrame, value: str, lo: float, width: float, group: str = "
               .withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(width)))
 
 
+def histograms(values: DataFrame, bins: dict[str, tuple[float, float]]) -> DataFrame:
+    """X13 for several distributions in one pass: ``values (distribution, grp, value)``; ``bins`` gives each
+    distribution's ``(lo, width)``."""
+    d, v = F.col("distribution"), F.col("value")
+    lo = F.coalesce(*[F.when(d == k, F.lit(float(x))) for k, (x, _) in bins.items()])
+    width = F.coalesce(*[F.when(d == k, F.lit(float(w))) for k, (_, w) in bins.items()])
+    return (values.where(v.isNotNull())
+                  .groupBy("distribution", "grp", F.floor((v - lo) / width).cast("bigint").alias("bin"))
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("bin_lo", lo + F.col("bin") * width))
+
+
+def distribution(df: DataFrame, name: str, value, group) -> DataFrame:
+    """Rows of one distribution for ``histograms``."""
+    return df.select(F.lit(name).alias("distribution"), group.cast("string").alias("grp"), value.cast("double").alias("value"))
+
+
 # ---- the side-by-side report ----------------------------------------------------------
 
 def _welch_row(df, value, a, b, metric, test="welch"):
@@ -307,7 +293,7 @@ def _welch_row(df, value, a, b, metric, test="welch"):
                     F.col("t").alias("statistic"), "p_value", (F.col("mean_b") - F.col("mean_a")).alias("estimate"))
 
 
-def _mw_row(df, value, a, b, metric, n_buckets=DEFAULT_BUCKETS):
+def _mw_row(df, value, a, b, metric, n_buckets=None):
     m = mann_whitney(df, value, a, b, n_buckets=n_buckets)
     return m.select(F.lit("mann_whitney").alias("test"), F.lit(metric).alias("metric"), "group_a", "group_b",
                     "n_a", "n_b", F.col("u_a").alias("statistic"), "p_value", F.col("p_a_gt_b").alias("estimate"))

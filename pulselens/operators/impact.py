@@ -1,28 +1,28 @@
 """Pre/post campaign impact (Y1-Y3) on daily metric series.
 
-Y1/Y2 are closed-form and run as aggregations.  Y3 fits a local-level
-state-space model per series in a grouped map (``applyInPandas``): the
-series are short (one value per day), there can be many of them
-(metric x segment), and each one is handled by one task.
+Y1 and Y2 are closed-form aggregations.  Y3 fits a local-level state-space
+model per series: the days of a series form one array, a grid of variances is
+exploded, and the Kalman filter is a fold over the array.  All three take any
+series keys (metric, metric x segment).
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselens.functions.stats import t_two_sided_p
+from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p
 from pulselens.functions.timeexpr import as_date
+from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import daily_posts_dau, long_series, ratio
 
 IMPACT_METRICS = ["active_posts", "dau", "likes", "views", "ctr"]
 
 
-def daily_metric_long(feed: DataFrame, metrics=IMPACT_METRICS) -> DataFrame:
+def daily_metric_long(feed: DataFrame, metrics=IMPACT_METRICS, first_day=None, last_day=None) -> DataFrame:
+    """Daily series; with both days given, only that period is scanned."""
+    if first_day is not None and last_day is not None:
+        feed = fixed_period(feed, first_day, last_day)
     return long_series(daily_posts_dau(feed), "date", list(metrics))
 
 
@@ -67,114 +67,91 @@ def impact_trend(long_df: DataFrame, pre, post, keys=("metric",)) -> DataFrame:
     x = F.datediff(d, F.lit(p0)).cast("double")
     in_pre = (d >= F.lit(p0)) & (d <= F.lit(p1))
     in_post = (d >= F.lit(q0)) & (d <= F.lit(q1))
-    fit = long_df.where(in_pre).groupBy(*keys).agg(
-        F.regr_slope("value", x).alias("slope"), F.regr_intercept("value", x).alias("intercept"))
-    # one row per series; the number of series (metric x segment) is not
-    # bounded by construction, so AQE decides at run time whether to broadcast
-    post_rows = long_df.where(in_post).join(fit, list(keys), "inner")
-    pred = F.col("intercept") + F.col("slope") * x
-    return (post_rows.groupBy(*keys, "slope", "intercept")
-                     .agg(F.count("value").alias("n_post"), F.avg("value").alias("actual"),
-                          F.avg(pred).alias("predicted"), F.sum("value").alias("cum_actual"),
-                          F.sum(pred).alias("cum_predicted"))
-                     .withColumn("abs_effect", F.col("actual") - F.col("predicted"))
-                     .withColumn("rel_effect", ratio(F.col("abs_effect"), F.col("predicted")))
-                     .select(*keys, "slope", "intercept", "n_post", "actual", "predicted", "abs_effect",
-                             "rel_effect", "cum_actual", "cum_predicted"))
-
-
-# ---- Y3: local-level model per series (grouped map) ------------------------------------
-
-LOCAL_LEVEL_SCHEMA = ("metric string, n_pre long, n_post long, actual double, predicted double, "
-                      "pred_low double, pred_high double, abs_effect double, rel_effect double, "
-                      "cum_actual double, cum_predicted double, p_value double, sigma_obs double, sigma_level double")
-
-
-def _kalman_loglik(y: np.ndarray, q: float, r: float):
-    """Local level y_t = mu_t + e_t (var r), mu_t = mu_{t-1} + w_t (var q).
-    Diffuse-ish start from the first value; returns (loglik, level, P)."""
-    mu, p = y[0], r * 1e3
-    ll = 0.0
-    for t in range(1, len(y)):
-        p_pred = p + q
-        f = p_pred + r
-        e = y[t] - mu
-        ll += -0.5 * (math.log(2 * math.pi * f) + e * e / f)
-        k = p_pred / f
-        mu = mu + k * e
-        p = (1 - k) * p_pred
-    return ll, mu, p
-
-
-def _normal_sf2(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2.0))
-
-
-def _fit_one(key: str, pdf: pd.DataFrame, pre, post, season: int | None = None) -> dict:
-    pdf = pdf.sort_values("date")
-    d = pd.to_datetime(pdf["date"]).dt.date
-    pre_rows = pdf.loc[(d >= pre[0]) & (d <= pre[1])].dropna(subset=["value"])
-    post_rows = pdf.loc[(d >= post[0]) & (d <= post[1])].dropna(subset=["value"])
-    y_pre = pre_rows["value"].astype(float).to_numpy()
-    y_post = post_rows["value"].astype(float).to_numpy()
-    s_pre = np.zeros(len(y_pre))
-    s_post = np.zeros(len(y_post))
-    if season and len(y_pre) >= 2 * season:
-        # seasonal effects = mean deviation per phase (day number mod season) on the pre-period
-        ph_pre = np.array([(x - pre[0]).days % season for x in pd.to_datetime(pre_rows["date"]).dt.date])
-        ph_post = np.array([(x - pre[0]).days % season for x in pd.to_datetime(post_rows["date"]).dt.date])
-        dev = y_pre - y_pre.mean()
-        eff = np.array([dev[ph_pre == k].mean() if np.any(ph_pre == k) else 0.0 for k in range(season)])
-        eff -= eff.mean()
-        s_pre, s_post = eff[ph_pre], eff[ph_post]
-    y_pre = y_pre - s_pre
-    out = {"metric": key, "n_pre": len(y_pre), "n_post": len(y_post)}
-    if len(y_pre) < 3 or len(y_post) == 0:
-        return out
-    scale = float(np.var(y_pre, ddof=1)) or 1.0
-    best = None
-    # likelihood grid over the two variances (relative to the series variance)
-    for fr in np.logspace(-4, 0.5, 19):
-        for fq in np.concatenate([[0.0], np.logspace(-5, 0, 16)]):
-            r, q = fr * scale, fq * scale
-            ll, mu, p = _kalman_loglik(y_pre, q, r)
-            if best is None or ll > best[0]:
-                best = (ll, r, q, mu, p)
-    _, r, q, mu, p = best
-    h = np.arange(1, len(y_post) + 1)
-    # variance of the post-period sum: levels are correlated through the random walk
-    cov_level = np.array([[p + min(i, j) * q for j in h] for i in h])
-    var_sum = float(cov_level.sum() + len(h) * r)
-    pred_mean = mu + float(np.mean(s_post))        # level forecast + seasonal effects of the post days
-    sd_mean = math.sqrt(var_sum) / len(h)
-    actual = float(np.mean(y_post))
-    cum_actual = float(np.sum(y_post))
-    cum_pred = pred_mean * len(h)
-    z = (cum_actual - cum_pred) / math.sqrt(var_sum) if var_sum > 0 else float("nan")
-    out.update(actual=actual, predicted=pred_mean, pred_low=pred_mean - 1.959963984540054 * sd_mean,
-               pred_high=pred_mean + 1.959963984540054 * sd_mean, abs_effect=actual - pred_mean,
-               rel_effect=(actual - pred_mean) / pred_mean if pred_mean else None,
-               cum_actual=cum_actual, cum_predicted=cum_pred,
-               p_value=_normal_sf2(z) if not math.isnan(z) else None,
-               sigma_obs=math.sqrt(r), sigma_level=math.sqrt(q))
-    return out
-
-
-def impact_local_level(long_df: DataFrame, pre, post, key: str = "metric", season: int | None = None) -> DataFrame:
-    """Local-level model fitted on the pre-period of every series;
+    v, xp = F.col("value"), F.when(in_post & F.col("value").isNotNull(), x)
+    s = long_df.groupBy(*keys).agg(
+        F.regr_slope(F.when(in_pre, v), x).alias("slope"), F.regr_intercept(F.when(in_pre, v), x).alias("intercept"),
+        F.count(F.when(in_post, v)).alias("n_post"), F.avg(F.when(in_post, v)).alias("actual"),
+        F.sum(F.when(in_post, v)).alias("cum_actual"), F.avg(xp).alias("_x"), F.sum(xp).alias("_sx"))
+    return (s.where((F.col("n_post") > 0) & F.col("slope").isNotNull())
+             .withColumn("predicted", F.col("intercept") + F.col("slope") * F.col("_x"))
+             .withColumn("cum_predicted", F.col("intercept") * F.col("n_post") + F.col("slope") * F.col("_sx"))
+             .withColumn("abs_effect", F.col("actual") - F.col("predicted"))
+             .withColumn("rel_effect", ratio(F.col("abs_effect"), F.col("predicted")))
+             .select(*keys, "slope", "intercept", "n_post", "actual", "predicted", "abs_effect",
+                     "rel_effect", "cum_actual", "cum_predicted"))
+
+
+# ---- Y3: local-level model per series ---------------------------------------------------
+
+#: Grid of the two variances, relative to the series variance: powers of ten in even steps, and no level variance.
+OBS_STEPS, LEVEL_STEPS = 19, 16
+_STEP = """named_struct(
+  'll', acc.ll - 0.5D * (ln(2D * pi() * (acc.p + q + r)) + (y - acc.mu) * (y - acc.mu) / (acc.p + q + r)),
+  'mu', acc.mu + (acc.p + q) / (acc.p + q + r) * (y - acc.mu),
+  'p', (1D - (acc.p + q) / (acc.p + q + r)) * (acc.p + q))"""
+
+
+def _without_season(x: DataFrame, keys, season: int, p0) -> DataFrame:
+    """Seasonal effects: the mean deviation of each phase (day number modulo ``season``) on the pre-period, centred;
+    zero where a series has fewer than two seasons."""
+    x = x.withColumn("_ph", F.pmod(F.datediff("date", F.lit(p0)), F.lit(season)))
+    series, phase = Window.partitionBy(*keys), Window.partitionBy(*keys, "_ph")
+    pre = F.col("in_pre")
+    x = x.withColumn("_dev", F.col("value") - F.avg(F.when(pre, F.col("value"))).over(series))
+    x = x.withColumn("_eff", F.coalesce(F.avg(F.when(pre, F.col("_dev"))).over(phase), F.lit(0.0)))
+    x = x.withColumn("_n", F.count(F.when(pre, 1)).over(phase)).withColumn("_all", F.count(F.when(pre, 1)).over(series))
+    centre = F.sum(F.when(pre, F.col("_eff") / F.col("_n"))).over(series) / F.lit(float(season))
+    return x.withColumn("season", F.when(F.col("_all") >= 2 * season, F.col("_eff") - centre).otherwise(F.lit(0.0)))
+
+
+def impact_local_level(long_df: DataFrame, pre, post, keys=("metric",), season: int | None = None) -> DataFrame:
+    """Local-level model (a random-walk level plus noise) fitted on the
+    pre-period of every series by maximum likelihood over the variance grid;
     forecast of the post-period with a 95 % interval for its mean, effect,
     cumulative effect and a two-sided p-value of the summed effect.
     ``season=7`` adds weekly effects (estimated on the pre-period, removed
-    before the filter, added back to the forecast)."""
-    pre_d, post_d = _periods(pre, post)
-    cols = [f.split()[0] for f in LOCAL_LEVEL_SCHEMA.split(", ")]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = str(pdf[key].iloc[0])
-        row = _fit_one(k, pdf, pre_d, post_d, season)
-        return pd.DataFrame([{c: row.get(c) for c in cols}])
-
-    x = long_df.select(F.col(key).cast("string").alias(key), "date", F.col("value").cast("double").alias("value"))
-    if key != "metric":
-        x = x.withColumnRenamed(key, "metric")
-    return x.groupBy("metric").applyInPandas(fit, LOCAL_LEVEL_SCHEMA)
+    before the filter, added back to the forecast).  Series with fewer than
+    three pre-period days or no post-period day get NULL results."""
+    keys = list(keys)
+    (p0, p1), (q0, q1) = _periods(pre, post)
+    d = F.col("date")
+    x = (long_df.where(F.col("value").isNotNull())
+                .select(*keys, "date", F.col("value").cast("double").alias("value"),
+                        ((d >= F.lit(p0)) & (d <= F.lit(p1))).alias("in_pre"),
+                        ((d >= F.lit(q0)) & (d <= F.lit(q1))).alias("in_post")))
+    x = _without_season(x, keys, season, p0) if season else x.withColumn("season", F.lit(0.0))
+    flat = F.col("value") - F.col("season")
+    s = x.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(F.col("in_pre"), F.struct("date", flat.alias("y"))))).alias("days"),
+        F.count(F.when(F.col("in_pre"), 1)).alias("n_pre"), F.count(F.when(F.col("in_post"), 1)).alias("n_post"),
+        F.coalesce(F.nullif(F.var_samp(F.when(F.col("in_pre"), flat)), F.lit(0.0)), F.lit(1.0)).alias("scale"),
+        F.avg(F.when(F.col("in_post"), F.col("value"))).alias("actual"),
+        F.sum(F.when(F.col("in_post"), F.col("value"))).alias("cum_actual"),
+        F.avg(F.when(F.col("in_post"), F.col("season"))).alias("season"))
+    able = (F.col("n_pre") >= 3) & (F.col("n_post") > 0)
+    obs = F.pow(F.lit(10.0), F.lit(-4.0) + F.col("i") * F.lit(4.5 / (OBS_STEPS - 1)))
+    level = F.when(F.col("j") == 0, F.lit(0.0)).otherwise(
+        F.pow(F.lit(10.0), F.lit(-5.0) + (F.col("j") - 1) * F.lit(5.0 / (LEVEL_STEPS - 1))))
+    grid = (s.where(able).select(*keys, "scale", F.expr("transform(days, x -> x.y)").alias("ys"),
+                                 F.explode(F.sequence(F.lit(0), F.lit(OBS_STEPS - 1))).alias("i"))
+             .select("*", F.explode(F.sequence(F.lit(0), F.lit(LEVEL_STEPS))).alias("j"))
+             .withColumn("r", obs * F.col("scale")).withColumn("q", level * F.col("scale"))
+             .withColumn("fit", F.expr(f"aggregate(slice(ys, 2, size(ys)), named_struct('ll', 0D, 'mu', ys[0], "
+                                       f"'p', r * 1000D), (acc, y) -> {_STEP})")))
+    best = grid.groupBy(*keys).agg(F.max_by(F.struct("fit.mu", "fit.p", "r", "q"),
+                                            F.struct(F.col("fit.ll"), -F.col("i"), -F.col("j"))).alias("b"))
+    h, r, q = F.col("n_post").cast("double"), F.col("b.r"), F.col("b.q")
+    # levels of the post-period days share the random walk: the sum of min(i, j) over all pairs of days
+    var_sum = F.when(able, h * h * F.col("b.p") + q * h * (h + 1) * (2 * h + 1) / 6 + h * r)
+    out = (s.join(best, keys, "left").withColumn("var_sum", var_sum)
+            .withColumn("predicted", F.col("b.mu") + F.when(able, F.col("season")))
+            .withColumn("actual", F.when(able, F.col("actual"))).withColumn("cum_actual", F.when(able, F.col("cum_actual")))
+            .withColumn("half", F.lit(1.959963984540054) * F.sqrt("var_sum") / h)
+            .withColumn("cum_predicted", F.col("predicted") * h)
+            .withColumn("abs_effect", F.col("actual") - F.col("predicted"))
+            .withColumn("z", (F.col("cum_actual") - F.col("cum_predicted")) / F.nullif(F.sqrt("var_sum"), F.lit(0.0))))
+    return out.select(*keys, "n_pre", "n_post", "actual", "predicted", (F.col("predicted") - F.col("half")).alias("pred_low"),
+                      (F.col("predicted") + F.col("half")).alias("pred_high"), "abs_effect",
+                      ratio(F.col("abs_effect"), F.col("predicted")).alias("rel_effect"), "cum_actual", "cum_predicted",
+                      normal_two_sided_p(F.col("z")).alias("p_value"), F.sqrt(r).alias("sigma_obs"),
+                      F.sqrt(q).alias("sigma_level"))

@@ -100,23 +100,11 @@ def _distinct_weeks(act: DataFrame) -> DataFrame:
 
 def prev_next_week_membership(act: DataFrame) -> DataFrame:
     """For each active (user, week): was the user active the week before /
-    after?  The equi-join of ``(user, week)`` with ``(user, week +/- 7)`` is
-    computed as a co-group: every activity row is emitted as itself, as
-    "previous week of week+7" and as "next week of week-7", and one
-    aggregation by ``(user, week)`` answers both membership tests (one scan,
-    one shuffle, map-side partial aggregation; a join would scan and
-    shuffle each side separately)."""
-    w = monday("time")
-    tagged = F.array(
-        F.struct(w.alias("week"), F.lit(0).alias("k")),
-        F.struct(F.date_add(w, 7).alias("week"), F.lit(1).alias("k")),
-        F.struct(F.date_sub(w, 7).alias("week"), F.lit(2).alias("k")))
-    x = act.select("user_id", F.explode(tagged).alias("r")).select("user_id", "r.week", "r.k")
-    g = x.groupBy("user_id", "week").agg(
-        F.bool_or(F.col("k") == 0).alias("_self"),
-        F.bool_or(F.col("k") == 1).alias("in_prev_week"),
-        F.bool_or(F.col("k") == 2).alias("in_next_week"))
-    return g.where("_self").select("user_id", "week", "in_prev_week", "in_next_week")
+    after?  The equi-join of ``(user, week)`` with ``(user, week +/- 7)``: rows
+    are reduced to distinct weeks first (map-side partial), and as a user's
+    neighbouring weeks stand next to one another in order, both membership
+    tests are a look at the neighbour; no second scan or shuffle."""
+    return prev_next_week_flags(act)
 
 
 def prev_next_week_flags(act: DataFrame) -> DataFrame:

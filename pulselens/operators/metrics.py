@@ -72,11 +72,16 @@ def daily_feed_kpi(feed: DataFrame, round_ctr: int | None = None, approx: bool =
 
 def daily_posts_dau(feed: DataFrame) -> DataFrame:
     """Per day active posts (``active_posts``: distinct posts with any
-    action that day, not posts created), DAU, likes, views, ctr."""
-    return (feed.groupBy(F.to_date("time").alias("date"))
-                .agg(F.count_distinct("post_id").alias("active_posts"),
-                     F.count_distinct("user_id").alias("dau"),
-                     likes_expr().alias("likes"), views_expr().alias("views"))
+    action that day, not posts created), DAU, likes, views, ctr.
+
+    Rows are reduced to one per ``(date, user, post)`` first, so that the two
+    distinct counts do not each copy the raw events."""
+    per = (feed.groupBy(F.to_date("time").alias("date"), "user_id", "post_id")
+               .agg(likes_expr().alias("likes"), views_expr().alias("views")))
+    return (per.groupBy("date")
+               .agg(F.count_distinct("post_id").alias("active_posts"),
+                    F.count_distinct("user_id").alias("dau"),
+                    F.sum("likes").alias("likes"), F.sum("views").alias("views"))
                 .withColumn("ctr", ratio("likes", "views")))
 
 
@@ -138,9 +143,13 @@ def stack_dims(df: DataFrame, dims: dict[str, Column], keep: list[str]) -> DataF
 
 
 def dau_by_slice(feed: DataFrame, dims: dict[str, Column] | None = None) -> DataFrame:
-    """DAU per day and slice value for several dimensions at once."""
+    """DAU per day and slice value for several dimensions at once.
+
+    Events are reduced to one row per ``(date, user, slice values)`` before
+    they are copied for each dimension."""
     dims = dims or default_dims()
-    base = feed.select(F.to_date("time").alias("date"), "user_id", *[v.alias(f"_v_{k}") for k, v in dims.items()])
+    base = feed.select(F.to_date("time").alias("date"), "user_id",
+                       *[v.alias(f"_v_{k}") for k, v in dims.items()]).distinct()
     st = stack_dims(base, {k: F.col(f"_v_{k}") for k in dims}, ["date", "user_id"])
     return (st.where(F.col("dimension_value").isNotNull())
               .groupBy("date", "dimension", "dimension_value")
@@ -209,6 +218,15 @@ def approx_users(feed: DataFrame, rsd: float = 0.01) -> DataFrame:
     return feed.groupBy(monday("time").alias("week")).agg(F.approx_count_distinct("user_id", rsd).alias("users_approx"))
 
 
+def approx_users_check(feed: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """D18 against the exact count: per week the distinct users and whether the
+    approximate count is within three standard deviations of it."""
+    from pulselens.functions.timeexpr import monday
+    exact = feed.groupBy(monday("time").alias("week")).agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("users_approx") - F.col("users")) <= F.lit(3 * rsd) * F.col("users")
+    return approx_users(feed, rsd).join(exact, "week").select("week", "users", near.alias("within_3_rsd"))
+
+
 # ---- digests -------------------------------------------------------------------
 
 def digest_feed_yesterday(feed: DataFrame, as_of) -> DataFrame:

@@ -2,18 +2,18 @@
 
 A running sum ordered by a value over the whole table would force every row
 into one task.  Instead (two levels):
-  1. rows get an order-preserving bucket: by default the position of the
-     value among K-1 quantile bounds (exact percentiles of a deterministic
-     hash sample, found by binary search), so buckets stay balanced even when
-     one outlier stretches the range; ``method="width"`` uses
-     ``floor((v - min) / (max - min) * K)`` with scalar-subquery min/max
-     (fully lazy, but one outlier can put almost everything in one bucket);
+  1. rows get an order-preserving bucket: the position of the value among K-1
+     quantile bounds (percentiles of a deterministic hash sample, found by
+     binary search), so buckets stay balanced even when one outlier stretches
+     the range;
   2. per-bucket totals (at most K rows) get exclusive offsets with a window
      over the K rows only;
   3. inside each bucket a window partitioned by bucket adds the running sum,
      and the bucket offset is joined back (broadcast, K rows at most).
-The input is usually already one row per distinct value (counts per value),
-so a bucket holds at most the distinct values that fall in its range.
+The input is one row per distinct value (counts per value, users), so a bucket
+holds the distinct values that fall in its range.  K is the session's number
+of shuffle partitions unless given; one bucket is a plain ordered window, for
+inputs that a parameter bounds.
 """
 
 from __future__ import annotations
@@ -23,38 +23,22 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 4096
-
-
-def _width_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
-    v = F.col(order_col)
-    lo = df.select(F.min(v)).scalar()
-    hi = df.select(F.max(v)).scalar()
-    span = F.nullif(hi - lo, F.lit(0))
-    raw = F.floor((v - lo) / span * F.lit(float(n_buckets)))
-    bkt = F.coalesce(F.least(F.lit(n_buckets - 1), F.greatest(F.lit(0), raw)), F.lit(0)).cast("int")
-    return df.withColumn("_bkt", bkt)
-
-
-SAMPLE_TARGET = 100_000
+#: Values in the sample whose percentiles are the bounds.
+SAMPLE = 10_000
 
 
 def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
     """Bucket = number of the K-1 bounds that are <= v (binary search).
 
-    The bounds are exact percentiles of a deterministic hash sample of about
-    ``SAMPLE_TARGET`` rows (scalar subqueries in the same plan), so they are
-    identical whenever they are evaluated, and every use of the bucket
-    column agrees."""
+    The bounds are percentiles of the ``SAMPLE`` values of smallest hash (one
+    scalar subquery in the same plan, no count), so they are identical
+    whenever they are evaluated, and every use of the bucket column agrees."""
     m = n_buckets - 1
-    if m <= 0:
-        return df.withColumn("_bkt", F.lit(0))
     v = F.col(order_col)
-    n = df.select(F.count(F.lit(1))).scalar()
-    stride = F.greatest(F.lit(1), F.ceil(n / F.lit(float(SAMPLE_TARGET))))
-    sample = df.where(F.pmod(F.xxhash64(v), stride) == 0)
+    sample = (df.where(v.isNotNull()).select(v.alias("_v"), F.xxhash64(v).alias("_h"))
+                .orderBy("_h", "_v").limit(SAMPLE))
     probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
-    bounds = sample.select(F.percentile(v, probs)).scalar()
+    bounds = sample.select(F.percentile("_v", probs)).scalar()
     steps = max(1, math.ceil(math.log2(m + 1)) + 1)
 
     # subqueries may not appear inside a higher-order function: project the
@@ -75,8 +59,8 @@ def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFram
     return df.withColumn("_bkt", bkt.cast("int")).drop("_bounds")
 
 
-def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
-                method: str = "quantile", order_by: list[str] | None = None, key=None) -> DataFrame:
+def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int | None = None,
+                order_by: list[str] | None = None, key=None) -> DataFrame:
     """Adds ``{c}_lt`` = sum of ``c`` over rows that come before the row.
 
     The order is ``order_by`` (default ``[order_col]``; rows must be unique
@@ -84,15 +68,20 @@ def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int =
     expression that never decreases along that order; it is only used to
     form the buckets, so it may be coarse (e.g. a double of a long id)."""
     order_by = order_by or [order_col]
-    key = F.col(order_col) if key is None else key
     base = df.columns
-    k = df.withColumn("_key", key.cast("double"))
-    b = (_quantile_buckets if method == "quantile" else _width_buckets)(k, "_key", n_buckets)
+    if n_buckets is None:
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = (Window.unboundedPreceding, -1)
+    if n_buckets <= 1:
+        w = Window.orderBy(*order_by).rowsBetween(*before)
+        return df.select(*base, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_lt") for c in cols])
+    key = F.col(order_col) if key is None else key
+    b = _quantile_buckets(df.withColumn("_key", key.cast("double")), "_key", n_buckets)
     totals = b.groupBy("_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     # window over at most n_buckets rows (bounded by the parameter, not by the data)
-    wk = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    wk = Window.orderBy("_bkt").rowsBetween(*before)
     offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    wi = Window.partitionBy("_bkt").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    wi = Window.partitionBy("_bkt").orderBy(*order_by).rowsBetween(*before)
     within = b.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0)).alias(f"_w_{c}") for c in cols])
     out = within.join(F.broadcast(offsets), "_bkt", "inner")
     return out.select(*base, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{c}_lt") for c in cols])
@@ -106,7 +95,7 @@ def value_counts(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
         F.count_if(g == F.lit(a)).alias("c_a"), F.count_if(g == F.lit(b)).alias("c_b"))
 
 
-def midranks(df: DataFrame, value: str, group: str, a, b, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def midranks(df: DataFrame, value: str, group: str, a, b, n_buckets: int | None = None) -> DataFrame:
     """E5: tie-averaged rank of each distinct value in the pooled sample."""
     p = prefix_sums(value_counts(df, value, group, a, b), "value", ["c_a", "c_b"], n_buckets)
     below = F.col("c_a_lt") + F.col("c_b_lt")

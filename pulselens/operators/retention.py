@@ -78,12 +78,17 @@ def retention_by_source(feed: DataFrame, as_of, horizon: int = 20) -> DataFrame:
 
 
 def retention_heatmap(feed: DataFrame, source: str | None, as_of, horizon: int = 20,
-                      max_day: int = 30) -> DataFrame:
-    """Cohort x day-offset matrix, columns ``d0..d{max_day}``.
+                      until=None) -> DataFrame:
+    """Cohort x day-offset matrix of activity up to the day ``until``
+    (default ``as_of``), columns ``d0..d{until - (as_of - horizon)}``.
 
-    The pivot values are an explicit list, so Spark does not run an extra
-    job to discover them."""
+    The same bound limits the days and the columns, so every activity day has
+    its column; the pivot values are an explicit list, so Spark does not run
+    an extra job to discover them."""
     df = feed if source is None else feed.where(F.col("source") == F.lit(source))
+    until = as_date(as_of if until is None else until)
+    df = df.where(F.col("time") < F.lit(dt.datetime.combine(until + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz"))
+    max_day = max(0, (until - as_date(as_of)).days + horizon)
     c = cohort_counts(df, as_of, horizon).withColumn("day_n", F.datediff("day", "start_day"))
     return (c.groupBy("start_day")
              .pivot("day_n", list(range(max_day + 1)))
@@ -97,7 +102,8 @@ def campaign_cohort_followup(feed: DataFrame, campaign_day, source: str | None =
     d = as_date(campaign_day)
     ud = user_days(df).where(F.col("start_day") == F.lit(d))
     per_day = ud.select(F.explode("days").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("users"))
-    cohort = ud.select(F.count(F.lit(1)).cast("bigint")).scalar()      # everyone started on day d
+    # everyone started on day d, so its count is the cohort; the window is over one row per day
+    cohort = F.max(F.when(F.col("day") == F.lit(d), F.col("users"))).over(Window.partitionBy())
     return (per_day.withColumn("day_n", F.datediff("day", F.lit(d)))
                    .withColumn("cohort_users", cohort)
                    .withColumn("share", ratio(F.col("users"), F.col("cohort_users"))))

@@ -77,7 +77,6 @@ def _(spark, sf):
     day = P.AS_OF - dt.timedelta(days=1)
     rep = etl.slice_report(_feed(spark, sf), _msgs(spark, sf), day)
     write_slices(rep, path)
-    write_slices(rep, path)          # a retried run: the day is replaced, not doubled
     return read_slices(spark, path)
 
 
@@ -273,7 +272,7 @@ def _(spark, sf):
 
 @q("agg_approx_users")
 def _(spark, sf):
-    return metrics.approx_users(_feed(spark, sf))
+    return metrics.approx_users_check(_feed(spark, sf))
 
 
 # ---- 2.5 windows -----------------------------------------------------------------------------
@@ -381,6 +380,12 @@ def _(spark, sf):
     )
 
 
+@q("fn_explode")
+def _(spark, sf):
+    wk = timeexpr.monday("time")
+    return _feed(spark, sf).select("user_id", "time", F.explode(F.array(wk, F.date_add(wk, 7))).alias("g12_week"))
+
+
 # ---- 2.8 product metrics --------------------------------------------------------------------------
 
 @q("retention_ads")
@@ -405,7 +410,7 @@ def _(spark, sf):
 
 @q("retention_heatmap")
 def _(spark, sf):
-    return retention.retention_heatmap(_feed(spark, sf), "ads", P.RETENTION_AS_OF, P.HORIZON, 30)
+    return retention.retention_heatmap(_feed(spark, sf), "ads", P.RETENTION_AS_OF, P.HORIZON, P.RETENTION_UNTIL)
 
 
 @q("weekly_lifecycle")
@@ -540,7 +545,8 @@ def _(spark, sf):
     users = _ab_users(spark, sf)
     sm = experiments.smoothed_ctr(users, P.ALPHA, P.AB_GROUPS)
     # bucket CTRs: at most 2 x N_BUCKETS values, one ordered partition
-    parts = [(users, "ctr", 4096), (sm, "smoothed_ctr", 4096), (_buckets(spark, sf), "bucket_ctr", 1)]
+    parts = [(users, "ctr", None), (sm, "smoothed_ctr", None),
+             (experiments.bucket_ctr_from_users(users, P.N_BUCKETS), "bucket_ctr", 1)]
     out = None
     for df, col, nb in parts:
         m = experiments.mann_whitney(df, col, *P.AB_GROUPS, n_buckets=nb).select(
@@ -577,7 +583,24 @@ def _(spark, sf):
 
 @q("ab_histogram")
 def _(spark, sf):
-    return round_doubles(experiments.histogram(_ab_users(spark, sf), "ctr", P.HIST_LO, P.HIST_W))
+    a, b = P.AB_GROUPS
+    users = _ab_users(spark, sf)
+    g = F.col("exp_group")
+    boot = experiments.poisson_bootstrap(users, a, b, P.N_BOOT)
+    d = experiments.distribution
+    parts = [
+        d(users, "ctr", F.col("ctr"), g),
+        d(experiments.smoothed_ctr(users, P.ALPHA, P.AB_GROUPS), "smoothed_ctr", F.col("smoothed_ctr"), g),
+        d(experiments.linearized_likes(users, a), "linearized_likes", F.col("linearized_likes"), g),
+        d(experiments.bucket_ctr_from_users(users, P.N_BUCKETS), "bucket_ctr", F.col("bucket_ctr"), g),
+        d(boot, "bootstrap_ctr", F.col("ctr_a"), F.lit(a)), d(boot, "bootstrap_ctr", F.col("ctr_b"), F.lit(b)),
+        d(boot, "bootstrap_diff", F.col("diff"), F.lit("diff")),
+        d(_aa(spark, sf), "aa_p_value", F.col("p_value"), F.lit("aa")),
+    ]
+    values = parts[0]
+    for x in parts[1:]:
+        values = values.unionByName(x)
+    return round_doubles(experiments.histograms(values, P.HIST_BINS))
 
 
 @q("ab_report")
@@ -588,19 +611,23 @@ def _(spark, sf):
 
 # ---- 2.10 impact and anomalies ----------------------------------------------------------------------------
 
+def _impact_days(spark, sf):
+    return impact.daily_metric_long(_feed(spark, sf), first_day=P.PRE[0], last_day=P.POST[1])
+
+
 @q("impact_prepost")
 def _(spark, sf):
-    return round_doubles(impact.impact_prepost(impact.daily_metric_long(_feed(spark, sf)), P.PRE, P.POST))
+    return round_doubles(impact.impact_prepost(_impact_days(spark, sf), P.PRE, P.POST))
 
 
 @q("impact_trend")
 def _(spark, sf):
-    return round_doubles(impact.impact_trend(impact.daily_metric_long(_feed(spark, sf)), P.PRE, P.POST))
+    return round_doubles(impact.impact_trend(_impact_days(spark, sf), P.PRE, P.POST))
 
 
 @q("impact_local_level")
 def _(spark, sf):
-    return impact.impact_local_level(impact.daily_metric_long(_feed(spark, sf)), P.PRE, P.POST)
+    return round_doubles(impact.impact_local_level(_impact_days(spark, sf), P.PRE, P.POST))
 
 
 @q("kpi_15min")

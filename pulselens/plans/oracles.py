@@ -173,24 +173,37 @@ CI_SQL = """SELECT count(diff) AS n_reps, avg(diff) AS mean_diff, quantile_cont(
 
 def aa_cte(name="aa") -> str:
     a, b = P.AA_GROUPS
-    h = md5_uniform_sql("s", "rep", "user_id")
+    k, reps = P.AA_K, P.AA_REPS
+    u = md5_uniform_sql("s", "rep", "j")
+    # the mean number of draws that give k distinct ones, and a length that falls short with odds below e^-40
+    mu = f"(n * ln((n + 0.5) / (n - {k} + 0.5)))"
+    length = f"CAST(ceil(greatest(3.5, 1.0 + 80.0 / ((n - {k} + 1.0) / n * {mu})) * {mu}) AS BIGINT)"
     return f"""{users_cte(*P.AA_PERIOD, P.AA_GROUPS, 'ua')},
 x AS (SELECT user_id, ctr AS v, CASE WHEN exp_group = {a} THEN 1 ELSE 2 END AS s FROM ua WHERE ctr IS NOT NULL),
-y AS (SELECT x.*, least({P.AA_K}, floor(n_pool / 2)) AS k_eff
-      FROM x JOIN (SELECT s, count(*) AS n_pool FROM x GROUP BY s) sz USING (s)),
-z AS (SELECT y.*, CAST(r.rep AS INTEGER) AS rep FROM y, range(1, {P.AA_REPS + 1}) r(rep)),
-d AS (SELECT *, row_number() OVER (PARTITION BY rep, s ORDER BY {h}, user_id) AS rn FROM z),
+xi AS (SELECT s, v, row_number() OVER (PARTITION BY s ORDER BY user_id) - 1 AS idx FROM x),
+sz AS (SELECT s, CAST(count(*) AS DOUBLE) AS n FROM x GROUP BY s),
+reps AS (SELECT unnest(range(1, {reps + 1})) AS rep),
+draws AS (
+  SELECT s, rep, CAST(floor({u} * n) AS BIGINT) AS idx, j
+  FROM (SELECT s, n, rep, unnest(range(1, {length} + 1)) AS j FROM (SELECT * FROM sz WHERE n > {k}), reps)),
+chosen AS (
+  SELECT s, rep, idx FROM (
+    SELECT s, rep, idx, row_number() OVER (PARTITION BY s, rep ORDER BY j) AS rn
+    FROM (SELECT s, rep, idx, min(j) AS j FROM draws GROUP BY s, rep, idx)) WHERE rn <= {k}
+  UNION ALL SELECT s, rep, idx FROM xi JOIN sz USING (s), reps WHERE n = {k}),
+d AS (SELECT s, rep, v FROM chosen JOIN xi USING (s, idx)),
 mom AS (
-  SELECT rep, count(CASE WHEN s = 1 THEN v END) AS n_a, count(CASE WHEN s = 2 THEN v END) AS n_b,
+  SELECT CAST(reps.rep AS INTEGER) AS rep, count(CASE WHEN s = 1 THEN v END) AS n_a, count(CASE WHEN s = 2 THEN v END) AS n_b,
          avg(CASE WHEN s = 1 THEN v END) AS mean_a, avg(CASE WHEN s = 2 THEN v END) AS mean_b,
-         var_samp(CASE WHEN s = 1 THEN v END) AS var_a, var_samp(CASE WHEN s = 2 THEN v END) AS var_b
-  FROM d WHERE rn <= {P.AA_K} AND rn <= k_eff GROUP BY rep),
+         var_samp(CASE WHEN s = 1 THEN v END) AS var_a, var_samp(CASE WHEN s = 2 THEN v END) AS var_b,
+         (SELECT count(*) FROM x WHERE s = 1) AS pool_a, (SELECT count(*) FROM x WHERE s = 2) AS pool_b
+  FROM reps LEFT JOIN d ON d.rep = reps.rep GROUP BY reps.rep),
 tt AS (
   SELECT *, (mean_a - mean_b) / sqrt(nullif(var_a / n_a + var_b / n_b, 0)) AS t,
          (var_a / n_a + var_b / n_b) * (var_a / n_a + var_b / n_b)
            / ((var_a / n_a) * (var_a / n_a) / nullif(n_a - 1, 0) + (var_b / n_b) * (var_b / n_b) / nullif(n_b - 1, 0)) AS df
   FROM mom),
-{name} AS (SELECT rep, n_a, n_b, mean_a, mean_b, t, df, {t_two_sided_p_sql('t', 'df')} AS p_value FROM tt)"""
+{name} AS (SELECT rep, n_a, n_b, mean_a, mean_b, t, df, {t_two_sided_p_sql('t', 'df')} AS p_value, pool_a, pool_b FROM tt)"""
 
 
 # ---- 15-minute KPIs and bands ------------------------------------------------------------------
@@ -535,13 +548,14 @@ c AS (SELECT source, start_day, day, count(user_id) AS users FROM t1 JOIN t2 USI
 d AS (SELECT *, CAST(day - start_day AS INTEGER) AS day_n,
              max(CASE WHEN day = start_day THEN users END) OVER (PARTITION BY source, start_day) AS cohort_users FROM c)
 SELECT *, users / nullif(cohort_users, 0) AS retention FROM d"""
-    pivots = ", ".join(f"max(CASE WHEN day_n = {i} THEN users END) AS d{i}" for i in range(31))
+    pivots = ", ".join(f"max(CASE WHEN day_n = {i} THEN users END) AS d{i}"
+                       for i in range((P.RETENTION_UNTIL - P.RETENTION_AS_OF).days + P.HORIZON + 1))
     O["retention_heatmap"] = f"""{F_},
 t1 AS (SELECT user_id, min(CAST(time AS DATE)) AS start_day FROM feed_actions WHERE source = 'ads' GROUP BY user_id),
 t2 AS (SELECT DISTINCT user_id, CAST(time AS DATE) AS day FROM feed_actions WHERE source = 'ads'),
 c0 AS (SELECT start_day, day, count(user_id) AS users FROM t1 JOIN t2 USING (user_id)
        WHERE start_day >= {date(since)} AND start_day <= {date(P.RETENTION_AS_OF)} GROUP BY start_day, day),
-c1 AS (SELECT start_day, CAST(day - start_day AS INTEGER) AS day_n, users FROM c0)
+c1 AS (SELECT start_day, CAST(day - start_day AS INTEGER) AS day_n, users FROM c0 WHERE day <= {date(P.RETENTION_UNTIL)})
 SELECT start_day, {pivots} FROM c1 GROUP BY start_day"""
     O["dau_by_slice"] = f"""{F_}
 SELECT date, dimension, dimension_value, count(DISTINCT user_id) AS dau
@@ -647,15 +661,26 @@ dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS DAU, count_
     ci_cols = ["mean_diff", "ci_low", "ci_high", "share_below_zero", "share_above_zero"]
     O["ab_bootstrap_diff_ci"] = (f"{ab},\n{boot_cte()}\nSELECT n_reps, {rnd(ci_cols)} FROM ({CI_SQL})")
     O["aa_resample_pvalues"] = (f"{F_},\n{aa_cte()}\nSELECT rep, n_a, n_b, "
-                                f"{rnd(['mean_a', 'mean_b', 't', 'df', 'p_value'])} FROM aa")
+                                f"{rnd(['mean_a', 'mean_b', 't', 'df', 'p_value'])}, pool_a, pool_b FROM aa")
     O["aa_false_positive_rate"] = f"""{F_},\n{aa_cte()}
 SELECT n_reps, round(fpr_pct, 6) AS fpr_pct,
        CASE WHEN fpr_pct <= 5.0 THEN 'split ok' ELSE 'split suspicious' END AS verdict
 FROM (SELECT count(*) AS n_reps, avg(CASE WHEN p_value <= 0.05 THEN 1.0 ELSE 0.0 END) * 100.0 AS fpr_pct FROM aa)"""
-    O["ab_histogram"] = f"""{ab}
-SELECT exp_group, bin, count(*) AS n, round(CAST({P.HIST_LO} AS DOUBLE) + bin * CAST({P.HIST_W} AS DOUBLE), 6) AS bin_lo FROM (
-  SELECT exp_group, CAST(floor((ctr - {P.HIST_LO}) / {P.HIST_W}) AS BIGINT) AS bin FROM u WHERE ctr IS NOT NULL)
-GROUP BY exp_group, bin"""
+    lin_cte = f"""lin AS (SELECT u.*, likes - (SELECT sum(likes) / nullif(sum(views), 0) FROM u WHERE exp_group = {a})
+                 * views AS linearized_likes FROM u)"""
+    dist = [("u", "ctr", "ctr", "exp_group"), ("sm", "smoothed_ctr", "smoothed_ctr", "exp_group"),
+            ("lin", "linearized_likes", "linearized_likes", "exp_group"), ("bk", "bucket_ctr", "bucket_ctr", "exp_group"),
+            ("boot", "bootstrap_ctr", "ctr_a", str(a)), ("boot", "bootstrap_ctr", "ctr_b", str(b)),
+            ("boot", "bootstrap_diff", "diff", "'diff'"), ("aa", "aa_p_value", "p_value", "'aa'")]
+    values = " UNION ALL ".join(
+        f"SELECT '{name}' AS distribution, CAST({grp} AS VARCHAR) AS grp, CAST({col} AS DOUBLE) AS value, "
+        f"CAST({P.HIST_BINS[name][0]} AS DOUBLE) AS lo, CAST({P.HIST_BINS[name][1]} AS DOUBLE) AS width FROM {src}"
+        for src, name, col, grp in dist)
+    O["ab_histogram"] = f"""{ab},\n{smoothed_cte()},\n{bucket_cte()},\n{lin_cte},\n{boot_cte()},\n{aa_cte()},
+vals AS ({values})
+SELECT distribution, grp, bin, count(*) AS n, round(any_value(lo) + bin * any_value(width), 6) AS bin_lo FROM (
+  SELECT *, CAST(floor((value - lo) / width) AS BIGINT) AS bin FROM vals WHERE value IS NOT NULL)
+GROUP BY distribution, grp, bin"""
 
     def rep_welch(src, v, metric):
         return (f"SELECT 'welch' AS test, '{metric}' AS metric, group_a, group_b, n_a, n_b, "
@@ -667,8 +692,6 @@ GROUP BY exp_group, bin"""
                 f"round(u_a, 6) + 0.0 AS statistic, round(p_value, 6) + 0.0 AS p_value, round(p_a_gt_b, 6) + 0.0 AS estimate "
                 f"FROM ({mw_core_sql(src, v, a, b)})")
 
-    lin_cte = """lin AS (SELECT u.*, likes - (SELECT sum(likes) / nullif(sum(views), 0) FROM u WHERE exp_group = 1)
-                 * views AS linearized_likes FROM u)""".replace("exp_group = 1", f"exp_group = {a}")
     boot_row = (f"SELECT 'poisson_bootstrap' AS test, 'global_ctr' AS metric, {a} AS group_a, {b} AS group_b, "
                 f"CAST(NULL AS BIGINT) AS n_a, CAST(NULL AS BIGINT) AS n_b, round(mean_diff, 6) AS statistic, "
                 f"round(least(1.0, 2.0 * least(share_below_zero, share_above_zero)), 6) AS p_value, "
@@ -712,9 +735,53 @@ agg AS (SELECT metric, slope, intercept, count(value) AS n_post, avg(value) AS a
 SELECT metric, {rnd(['slope', 'intercept'])}, n_post, {rnd(['actual', 'predicted'])},
        round(actual - predicted, 6) AS abs_effect, round((actual - predicted) / nullif(predicted, 0), 6) AS rel_effect,
        {rnd(['cum_actual', 'cum_predicted'])} FROM agg"""
+    O["fn_explode"] = f"""{F_}
+SELECT user_id, time, unnest([CAST(date_trunc('week', time) AS DATE), CAST(date_trunc('week', time) AS DATE) + 7]) AS g12_week
+FROM feed_actions"""
+    O["agg_approx_users"] = f"""{F_}
+SELECT CAST(date_trunc('week', time) AS DATE) AS week, count(DISTINCT user_id) AS users, true AS within_3_rsd
+FROM feed_actions GROUP BY 1"""
+    O["impact_local_level"] = local_level_sql(impact_long, in_pre, in_post)
     return O
 
 
+def local_level_sql(long_ctes: str, in_pre: str, in_post: str) -> str:
+    """The Kalman filter as a recursion over the days of each series, for every pair of variances of the grid."""
+    from pulselens.operators.impact import LEVEL_STEPS, OBS_STEPS
+    head = long_ctes.replace("WITH ", "WITH RECURSIVE ", 1)
+    return f"""{head},
+s AS (SELECT metric, count(*) FILTER ({in_pre}) AS n_pre, count(*) FILTER ({in_post}) AS n_post,
+             coalesce(nullif(var_samp(value) FILTER ({in_pre}), 0.0), 1.0) AS scale, avg(value) FILTER ({in_post}) AS actual,
+             sum(value) FILTER ({in_post}) AS cum_actual FROM lg WHERE value IS NOT NULL GROUP BY metric),
+y AS (SELECT metric, value, row_number() OVER (PARTITION BY metric ORDER BY date) AS t FROM lg
+      WHERE value IS NOT NULL AND {in_pre}),
+g AS (SELECT metric, i, j, scale * pow(10.0::DOUBLE, -4.0::DOUBLE + i * (4.5::DOUBLE / {OBS_STEPS - 1})) AS r,
+             scale * CASE WHEN j = 0 THEN 0.0::DOUBLE
+                          ELSE pow(10.0::DOUBLE, -5.0::DOUBLE + (j - 1) * (5.0::DOUBLE / {LEVEL_STEPS - 1})) END AS q
+      FROM s, range(0, {OBS_STEPS}) a(i), range(0, {LEVEL_STEPS + 1}) b(j) WHERE n_pre >= 3 AND n_post > 0),
+k(metric, i, j, r, q, t, ll, mu, p) AS (
+  SELECT g.metric, i, j, r, q, CAST(1 AS BIGINT), 0.0::DOUBLE, y.value, r * 1000.0::DOUBLE FROM g JOIN y ON y.metric = g.metric AND y.t = 1
+  UNION ALL
+  SELECT k.metric, i, j, r, q, k.t + 1,
+         ll - 0.5::DOUBLE * (ln(2.0::DOUBLE * pi() * (p + q + r)) + (y.value - mu) * (y.value - mu) / (p + q + r)),
+         mu + (p + q) / (p + q + r) * (y.value - mu), (1.0::DOUBLE - (p + q) / (p + q + r)) * (p + q)
+  FROM k JOIN y ON y.metric = k.metric AND y.t = k.t + 1),
+best AS (SELECT metric, mu, p, r, q FROM (
+  SELECT k.*, row_number() OVER (PARTITION BY k.metric ORDER BY ll DESC, i, j) AS rn FROM k JOIN s ON s.metric = k.metric AND k.t = s.n_pre)
+  WHERE rn = 1),
+f AS (SELECT s.metric, n_pre, n_post, CASE WHEN mu IS NOT NULL THEN actual END AS actual, mu AS predicted,
+             CASE WHEN mu IS NOT NULL THEN cum_actual END AS cum_actual, mu * n_post AS cum_predicted,
+             sqrt(n_post * n_post * p + q * n_post * (n_post + 1) * (2 * n_post + 1) / 6.0::DOUBLE + n_post * r) AS sd, r, q
+      FROM s LEFT JOIN best USING (metric)),
+z AS (SELECT *, (cum_actual - cum_predicted) / nullif(sd, 0) AS z FROM f)
+SELECT metric, n_pre, n_post, {rnd(['actual', 'predicted'])},
+       round(predicted - 1.959963984540054::DOUBLE * sd / n_post, 6) AS pred_low,
+       round(predicted + 1.959963984540054::DOUBLE * sd / n_post, 6) AS pred_high,
+       round(actual - predicted, 6) AS abs_effect, round((actual - predicted) / nullif(predicted, 0), 6) AS rel_effect,
+       {rnd(['cum_actual', 'cum_predicted'])}, round({normal_two_sided_p_sql('z')}, 6) AS p_value,
+       round(sqrt(r), 6) AS sigma_obs, round(sqrt(q), 6) AS sigma_level FROM z"""
+
+
 def _sround(expr: str, digits: str) -> str:
     """Spark's ``round``: HALF_UP on the shortest decimal text of the double.
     DuckDB rounds ``x * 10^d`` in binary (0.285 -> 0.28 where Spark gives

@@ -6,6 +6,7 @@ AS_OF = dt.date(2024, 1, 31)                 # daily, weekly, ETL, alert queries
 AS_OF_TS = dt.datetime(2024, 1, 31, 0, 0)
 RETENTION_AS_OF = dt.date(2024, 1, 21)       # retention on events
 ORDERS_RETENTION_AS_OF = dt.date(1995, 1, 21)
+RETENTION_UNTIL = dt.date(2024, 1, 30)       # last day of activity that the heatmap shows
 HORIZON = 20
 AA_PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 7))
 AA_GROUPS = (2, 3)
@@ -21,9 +22,11 @@ ALPHA = 5.0
 N_BUCKETS = 50
 N_BOOT = 2000
 AA_REPS = 10000
-AA_K = 500
+AA_K = 100          # users drawn from each group; the test data have a few hundred
 IQR_A = 5.0
 IQR_N = 5
-HIST_LO = 0.0
-HIST_W = 0.05
+HIST_BINS = {       # distribution -> (first bin's start, width)
+    "ctr": (0.0, 0.05), "smoothed_ctr": (0.0, 0.05), "linearized_likes": (0.0, 1.0), "bucket_ctr": (0.0, 0.05),
+    "bootstrap_ctr": (0.0, 0.005), "bootstrap_diff": (0.0, 0.005), "aa_p_value": (0.0, 0.05),
+}
 ROUND = 6

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,7 +33,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     apply_conf(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -48,24 +46,21 @@ def apply_conf(spark: SparkSession) -> None:
             pass
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared folder from ``spark.checkpoint.dir``.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared folder, as ``spark.checkpoint.dir`` gives it (a path without a scheme is on the default
+    file system).  Only sinks and streams ask for it.
 
-    On a cluster this is set by the operator of the cluster; only when it is
-    unset (local tests) a private folder is created and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="pulselens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    It must be set on a cluster; on a local master (tests) a private folder stands in for it."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="pulselens-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if "://" not in base:
-        base = "file://" + os.path.abspath(base) if not base.startswith("/") else "file://" + base
-    return f"{base.rstrip('/')}/pulselens/{name}-{uuid.uuid4().hex[:12]}"
+def shared_dir(spark: SparkSession, name: str, fresh: bool = True) -> str:
+    """A sub-folder of the shared folder: a new one, or (``fresh=False``) the one of that name, which a later run finds
+    again."""
+    return f"{checkpoint_base(spark)}/pulselens/{name}" + (f"-{uuid.uuid4().hex[:12]}" if fresh else "")

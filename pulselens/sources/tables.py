@@ -146,19 +146,16 @@ def read_message_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def write_event_table(df: DataFrame, path: str, mode: str = "overwrite", files_per_day: int = 16,
-                      partitions: int | None = None) -> None:
+def write_event_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store an event table partitioned by day (dynamic overwrite: a rewrite
     replaces only the days present).
 
-    Each day is spread over ``files_per_day`` user-hash buckets, so a day's
-    events are written by that many tasks (not one task per day), and each
-    file holds a disjoint slice of users sorted by user, which keeps per-user
-    aggregations reading compact runs."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64("user_id"), F.lit(files_per_day))
+    Rows are rebalanced by day: adaptive execution splits a day by its size in
+    bytes and joins small days, so a large day has many writers, whatever its
+    users, and files are of even size.  Each file is sorted by user, which
+    keeps per-user aggregations reading compact runs."""
     (df.withColumn("event_date", F.to_date("time"))
-       .repartition(n, "event_date", bucket)
+       .hint("rebalance", "event_date")
        .sortWithinPartitions("event_date", "user_id")
        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy("event_date").parquet(path))

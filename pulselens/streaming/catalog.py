@@ -6,34 +6,41 @@ from __future__ import annotations
 
 from pulselens.plans import params as P
 from pulselens.plans.catalog import round_doubles
+from pulselens.session import shared_dir
+from pulselens.sources import tables
 from pulselens.sources.sink import read_slices
 from pulselens.streaming import jobs
 
 DELAY_MIN = 10
 
 
+def _tagged(spark, sf):
+    return jobs.tagged_events(jobs.stream_events(spark, sf))
+
+
 def _kpi(spark, sf):
-    path, _ = jobs.run_to_parquet(jobs.kpi_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes"), "kpi15")
-    return spark.read.parquet(path)
+    base = shared_dir(spark, "kpi15")
+    return spark.read.parquet(jobs.run_to_parquet(jobs.kpi_stream(_tagged(spark, sf), f"{DELAY_MIN} minutes"), base))
 
 
 def _users(spark, sf):
-    path, _ = jobs.run_to_parquet(
-        jobs.distinct_users_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes"), "users15")
-    return spark.read.parquet(path)
+    base = shared_dir(spark, "users15")
+    return spark.read.parquet(jobs.run_to_parquet(jobs.distinct_users_stream(_tagged(spark, sf), f"{DELAY_MIN} minutes"), base))
 
 
 def _alerts(spark, sf):
-    _, alert_path, _ = jobs.alerts_stream(jobs.stream_events(spark, sf), f"{DELAY_MIN} minutes", P.IQR_A, P.IQR_N)
-    return round_doubles(spark.read.parquet(alert_path).drop("batch_id"))
+    path = jobs.alerts_stream(_tagged(spark, sf), shared_dir(spark, "alerts"), f"{DELAY_MIN} minutes", P.IQR_A, P.IQR_N)
+    return round_doubles(spark.read.parquet(path).drop("batch_id"))
 
 
 def _late(spark, sf):
-    return jobs.late_data_report(spark, sf, f"{DELAY_MIN} minutes")
+    return jobs.late_data_stream(jobs.stream_events(spark, sf), shared_dir(spark, "late"), DELAY_MIN)
 
 
 def _slices(spark, sf):
-    return read_slices(spark, jobs.daily_slices_stream(spark, sf))
+    feed, messages = tables.feed_actions(spark, sf), tables.message_actions(spark, sf)
+    path = jobs.daily_slices_stream(jobs.stream_events(spark, sf), feed, messages, shared_dir(spark, "slices-stream"), "ts")
+    return read_slices(spark, path)
 
 
 STREAM_Q = {
@@ -68,21 +75,24 @@ FROM tg GROUP BY w HAVING w + INTERVAL 15 MINUTE <= (SELECT date_trunc('millisec
     text = (f"'Metric ' || metric || ':' || {O.NL} || 'Current value ' || printf('%.2f', round(value, 2)) || {O.NL} || "
             f"'Deviation from previous value ' || coalesce({O.pct_text_sql('deviation')}, 'n/a')")
     alerts = f"""WITH {tagged},
-k AS (SELECT w AS ts, w + INTERVAL 15 MINUTE AS ts_end, count_if(kind = 'like') AS likes,
-             count_if(kind = 'view') AS views, count_if(kind = 'message') AS sent_messages FROM tg GROUP BY w),
-kpi AS (SELECT ts, ts_end, likes, views, round(likes / nullif(views, 0), 2) AS CTR, sent_messages
-        FROM k WHERE {closed}),
+kpi AS (SELECT w AS ts, count_if(kind = 'like') AS likes, count_if(kind = 'view') AS views,
+               round(count_if(kind = 'like') / nullif(count_if(kind = 'view'), 0), 2) AS CTR,
+               count(DISTINCT CASE WHEN kind <> 'message' THEN user_id END) AS users_feed,
+               count(DISTINCT CASE WHEN kind = 'message' THEN user_id END) AS users_message,
+               count_if(kind = 'message') AS sent_messages
+        FROM tg GROUP BY w HAVING {closed.replace('ts + ', 'w + ', 1)}),
 {lg},
-{O.bands_ctes()}"""
-    alerts += f""",
-al AS (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value,
-              max(ts) OVER (PARTITION BY metric) AS last_ts FROM bands),
+{O.bands_ctes()},
+al AS (SELECT ts, metric, value, q25, q75, up_live AS up, low_live AS low,
+              lag(value) OVER (PARTITION BY metric ORDER BY ts) AS prev_value FROM bands),
 al2 AS (SELECT *, abs(1.0 - value / nullif(prev_value, 0)) AS deviation,
-               coalesce(value < low OR value > up, false) AS is_alert FROM al WHERE ts = last_ts)
+               coalesce(value < low OR value > up, false) AS is_alert FROM al)
 SELECT metric, ts, {O.rnd(['value', 'prev_value', 'deviation', 'q25', 'q75', 'up', 'low'])}, is_alert,
        CASE WHEN is_alert THEN {text} END AS text FROM al2"""
+    late = """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows_read, CAST(0 AS BIGINT) AS late_rows,
+       CAST(NULL AS TIMESTAMP) AS watermark, date_trunc('millisecond', max(ts)) AS newest FROM events"""
     slices = f"WITH {O.FEED},\n{O.MSG},\n{O.joined_ctes('true')}\n{O.slices_sql()}"
-    out = {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts,
+    out = {"stream_kpi_15min": kpi, "stream_distinct_users": users, "stream_alerts": alerts, "stream_late_data": late,
            "stream_daily_slices": slices}
     return {k: O.spark_round(O.bigint_counts(v)) for k, v in out.items()}
 

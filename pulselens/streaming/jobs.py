@@ -5,21 +5,27 @@ maintained incrementally: event time is cast to ``timestamp`` (watermarks
 need it), windows are tumbling 15-minute windows, output mode is ``append``
 (a window is written once, when the watermark passes its end), and the jobs
 run with ``availableNow`` so a scheduler can start them like a batch job.
-Checkpoints and sinks live under the cluster's shared checkpoint folder, so
-a restarted driver or a lost executor resumes from the last committed batch.
+
+Every job takes a base folder, which the driver and all executors share, and
+keeps its checkpoint and its results there: the next run with the same folder
+reads only input it has not seen, and a restarted driver or a lost executor
+resumes from the last committed batch.  State is kept in RocksDB, not on the
+executors' heaps.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselens.operators import anomaly, etl
-from pulselens.session import shared_dir
 from pulselens.sources import tables
 from pulselens.sources.sink import write_slices
 
 KIND = "kind"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None,
@@ -37,13 +43,9 @@ def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None
 
 
 def _is_dir(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
-    except Exception:          # no JVM gateway (e.g. a remote client): assume a single file
-        return False
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(p).isDirectory())          # a missing path is an error
 
 
 def event_time(c: str = "ts") -> Column:
@@ -51,168 +53,161 @@ def event_time(c: str = "ts") -> Column:
     return F.col(c).cast("timestamp")
 
 
-def tagged_activity(events: DataFrame) -> DataFrame:
-    """Feed and message rows of one stream, tagged (``like``/``view``/``message``)
+def tagged_activity(feed: DataFrame, messages: DataFrame) -> DataFrame:
+    """Rows of a feed and a message stream, tagged (``like``/``view``/``message``)
     so that a single aggregation covers both products (no stream-stream join)."""
-    feed = tables.feed_from_events(events).select(
-        "user_id", F.col("time").cast("timestamp").alias("et"), F.col("action").alias(KIND))
-    msgs = events.where(F.col("event_type").isin("purchase", "signup")).select(
-        "user_id", event_time().alias("et"), F.lit("message").alias(KIND))
-    return feed.unionByName(msgs)
+    f = feed.select("user_id", event_time("time").alias("et"), F.col("action").alias(KIND))
+    return f.unionByName(messages.select("user_id", event_time("time").alias("et"), F.lit("message").alias(KIND)))
+
+
+def tagged_events(events: DataFrame) -> DataFrame:
+    """The same rows from one stream that holds both products, in one pass over it."""
+    t = F.col("event_type")
+    kind = (F.when(t == "view", F.lit("view")).when(t == "click", F.lit("like"))
+             .when(t.isin("purchase", "signup"), F.lit("message")))
+    return events.select("user_id", event_time().alias("et"), kind.alias(KIND)).where(F.col(KIND).isNotNull())
+
+
+def _window_columns(w: str) -> list[Column]:
+    return [F.col(f"{w}.start").cast("timestamp_ntz").alias("ts"), F.col(f"{w}.end").cast("timestamp_ntz").alias("ts_end")]
+
 
+CTR = F.round(F.col("likes") / F.nullif(F.col("views"), F.lit(0)), 2).alias("CTR")
 
-def kpi_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+
+def kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Tumbling 15-minute likes, views, CTR and messages."""
-    x = tagged_activity(events).withWatermark("et", delay)
     k = F.col(KIND)
-    agg = x.groupBy(F.window("et", "15 minutes").alias("w")).agg(
+    agg = tagged.withWatermark("et", delay).groupBy(F.window("et", "15 minutes").alias("w")).agg(
         F.count_if(k == "like").alias("likes"), F.count_if(k == "view").alias("views"),
         F.count_if(k == "message").alias("sent_messages"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("ts"),
-                      F.col("w.end").cast("timestamp_ntz").alias("ts_end"),
-                      "likes", "views",
-                      F.round(F.col("likes") / F.nullif(F.col("views"), F.lit(0)), 2).alias("CTR"),
-                      "sent_messages")
+    return agg.select(*_window_columns("w"), "likes", "views", CTR, "sent_messages")
+
+
+def _per_user(tagged: DataFrame, delay: str) -> DataFrame:
+    k = F.col(KIND)
+    return tagged.withWatermark("et", delay).groupBy(F.window("et", "15 minutes").alias("window"), "user_id").agg(
+        F.count_if(k == "like").alias("_l"), F.count_if(k == "view").alias("_v"), F.count_if(k == "message").alias("_m"))
 
 
-def distinct_users_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def distinct_users_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Exact distinct users per window and product.  Distinct counts are
-    not supported on streams, so users are first aggregated per
-    ``(window, product, user)`` and then counted per window (two chained
-    stateful aggregations; the window column carries the event time)."""
-    x = tagged_activity(events).withWatermark("et", delay)
-    prod = F.when(F.col(KIND) == "message", F.lit("message")).otherwise(F.lit("feed"))
-    per_user = x.groupBy(F.window("et", "15 minutes").alias("window"), prod.alias("product"), "user_id").count()
-    per_win = per_user.groupBy("window").agg(
-        F.count_if(F.col("product") == "feed").alias("users_feed"),
-        F.count_if(F.col("product") == "message").alias("users_message"))
-    return per_win.select(F.col("window.start").cast("timestamp_ntz").alias("ts"),
-                          F.col("window.end").cast("timestamp_ntz").alias("ts_end"),
-                          "users_feed", "users_message")
-
-
-def run_to_parquet(df: DataFrame, name: str, trigger_once: bool = True) -> tuple[str, object]:
-    """Run a streaming DataFrame to a Parquet sink until the available input
-    is processed; returns (sink path, query)."""
-    spark = df.sparkSession
-    base = shared_dir(spark, name)
-    q = (df.writeStream.format("parquet").outputMode("append")
-           .option("checkpointLocation", f"{base}/_checkpoint")
-           .trigger(availableNow=True).start(f"{base}/data"))
+    not supported on streams, so rows are first aggregated per
+    ``(window, user)`` and then counted per window (two chained stateful
+    aggregations; the window column carries the event time)."""
+    per_win = _per_user(tagged, delay).groupBy("window").agg(
+        F.count_if(F.col("_l") + F.col("_v") > 0).alias("users_feed"), F.count_if(F.col("_m") > 0).alias("users_message"))
+    return per_win.select(*_window_columns("window"), "users_feed", "users_message")
+
+
+def alert_kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """S3 input: all six KPIs of a window from the same chained aggregation."""
+    per_win = _per_user(tagged, delay).groupBy("window").agg(
+        F.sum("_l").alias("likes"), F.sum("_v").alias("views"), F.sum("_m").alias("sent_messages"),
+        F.count_if(F.col("_l") + F.col("_v") > 0).alias("users_feed"), F.count_if(F.col("_m") > 0).alias("users_message"))
+    return per_win.select(*_window_columns("window"), "likes", "views", CTR, "users_feed", "users_message", "sent_messages")
+
+
+def _run(df: DataFrame, base: str, on_batch=None):
+    """Process the input that is available and not yet done, under ``base``; returns the ended query."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    w = df.writeStream.outputMode("append").option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
+    q = w.foreachBatch(on_batch).start() if on_batch else w.format("parquet").start(f"{base}/data")
     q.awaitTermination()
-    return f"{base}/data", q
+    return q
 
 
-STREAM_KPI_METRICS = ["likes", "views", "CTR", "sent_messages"]
+def run_to_parquet(df: DataFrame, base: str) -> str:
+    """Run a streaming DataFrame to a Parquet sink until the available input
+    is processed; returns the sink's path."""
+    _run(df, base)
+    return f"{base}/data"
+
+
+STREAM_KPI_METRICS = ["likes", "views", "CTR", "users_feed", "users_message", "sent_messages"]
+
+
+def _write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """A retried batch id overwrites its own partition, so a re-run never doubles rows."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
 def alert_batch_writer(hist_path: str, alert_path: str, a: float = 5.0, n: int = 5):
-    """The ``foreachBatch`` body of S3.  A retried batch id overwrites its own
-    partitions of the history and alert tables, so a re-run never doubles rows."""
+    """The ``foreachBatch`` body of S3: every window the batch closes is judged
+    once, by the band a live check at that window sees."""
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(hist_path))
-        hist = batch.sparkSession.read.parquet(hist_path).drop("batch_id")
-        bands = anomaly.iqr_bands(anomaly.kpi_long(hist, STREAM_KPI_METRICS), a, n)
-        alerts = anomaly.latest_alerts(bands).withColumn("batch_id", F.lit(batch_id))
-        (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(alert_path))
+        _write_batch(batch, batch_id, hist_path)
+        hist = batch.sparkSession.read.parquet(hist_path).where(F.col("batch_id") <= batch_id)
+        new = hist.where(F.col("batch_id") == batch_id).select("ts")
+        judged = anomaly.live_alerts(anomaly.iqr_bands(anomaly.kpi_long(hist, STREAM_KPI_METRICS), a, n))
+        _write_batch(judged.join(new, "ts", "left_semi"), batch_id, alert_path)
     return on_batch
 
 
-def alerts_stream(events: DataFrame, delay: str = "10 minutes", a: float = 5.0, n: int = 5,
-                  name: str = "alerts") -> tuple[str, str, object]:
+def alerts_stream(tagged: DataFrame, base: str, delay: str = "10 minutes", a: float = 5.0, n: int = 5) -> str:
     """S3: per micro-batch, newly closed KPI windows are added to a stored
-    window history (partitioned by batch id, overwritten on a retried batch,
-    so the write is idempotent); then the IQR check runs on the stored
-    history and the alert rows of the newest window are stored.  The band
-    is row-based (the previous ``n`` windows that exist), so the history is
-    read whole: it holds one row per 15-minute window (35k rows a year),
+    window history (partitioned by batch id), then the IQR check judges each
+    of them on the stored history; returns the path of the alert rows.  The
+    band is row-based (the previous ``n`` windows that exist), so the history
+    is read whole: it holds one row per 15-minute window (35k rows a year),
     bounded by elapsed time, not by the event volume."""
-    spark = events.sparkSession
-    base = shared_dir(spark, name)
-    hist_path, alert_path = f"{base}/history", f"{base}/alerts"
+    _run(alert_kpi_stream(tagged, delay), base, alert_batch_writer(f"{base}/history", f"{base}/alerts", a, n))
+    return f"{base}/alerts"
 
-    on_batch = alert_batch_writer(hist_path, alert_path, a, n)
 
-    q = (kpi_stream(events, delay).writeStream.outputMode("append")
-         .option("checkpointLocation", f"{base}/_checkpoint")
-         .foreachBatch(on_batch).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return hist_path, alert_path, q
-
-
-def late_data_report(spark: SparkSession, sf_dir: str, delay: str = "10 minutes") -> DataFrame:
-    """How many rows arrive too late for the watermark.
-
-    The events are delivered in two runs of the same stream (same
-    checkpoint): first the later half, then the earlier half, as if that
-    half had been delayed.  The watermark restored from the checkpoint
-    makes the second delivery late; the stateful operator drops its rows
-    (after map-side partial aggregation, so the progress metric
-    ``numRowsDroppedByWatermark`` counts dropped window groups, reported as
-    ``late_groups_dropped``); ``late_rows`` counts the second delivery's rows
-    whose window had already closed under the watermark it met.
-    ``rows_not_counted`` = rows read minus rows in emitted windows (late rows
-    plus rows of windows still open)."""
-    ev = tables.load_events(spark, sf_dir)
-    # a deterministic split point (midpoint of the time range): both delivery
-    # jobs evaluate it, so it must give the same value every time
-    secs = F.col("ts").cast("timestamp").cast("double")
-    mid = ev.select(((F.min(secs) + F.max(secs)) / F.lit(2.0)).cast("timestamp").cast("timestamp_ntz")).scalar()
-    base = shared_dir(spark, "late")
-    src, out, ck = f"{base}/input", f"{base}/windows", f"{base}/_checkpoint"
-    progress, first_run = [], []
-    for i, cond in enumerate([F.col("ts") >= mid, F.col("ts") < mid]):
-        ev.where(cond).write.parquet(f"{src}/delivery={i}")
-        stream = (spark.readStream.schema(tables.EVENTS_SCHEMA)
-                  .option("recursiveFileLookup", "true").parquet(src))
-        counts = (stream.select(event_time().alias("et")).withWatermark("et", delay)
-                  .groupBy(F.window("et", "15 minutes")).count())
-        q = (counts.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
-                   .trigger(availableNow=True).start(out))
-        q.awaitTermination()
-        progress.extend(q.recentProgress)
-        if i == 0:
-            first_run = list(progress)
-    dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
-                  for p in progress)
-    rows_in = sum(p.get("numInputRows", 0) for p in progress)
-    # the watermark the second delivery met (restored from the checkpoint);
-    # its rows whose window had already closed are the late rows
-    marks = [p["eventTime"]["watermark"] for p in progress[len(first_run):]
-             if p.get("numInputRows", 0) > 0 and "watermark" in p.get("eventTime", {})]
-    wm = F.to_timestamp(F.lit(marks[0])).cast("timestamp_ntz") if marks else F.lit(None).cast("timestamp_ntz")
-    late = (spark.read.parquet(f"{src}/delivery=1").select(F.window(event_time(), "15 minutes").end.alias("e"))
-            .where(F.col("e").cast("timestamp_ntz") <= wm).select(F.count(F.lit(1))).scalar())
-    emitted = spark.read.parquet(out)
-    return (emitted.agg(F.count(F.lit(1)).alias("windows_emitted"), F.sum("count").alias("rows_in_windows"))
-                   .select(F.lit(rows_in).cast("bigint").alias("rows_read"),
-                           F.lit(dropped).cast("bigint").alias("late_groups_dropped"),
-                           late.alias("late_rows"),
-                           "windows_emitted", "rows_in_windows",
-                           (F.lit(rows_in) - F.col("rows_in_windows")).cast("bigint").alias("rows_not_counted")))
-
-
-def daily_slices_stream(spark: SparkSession, sf_dir: str, name: str = "slices-stream") -> str:
-    """Incremental daily slice table.  Each micro-batch finds the days it
-    touched, recomputes those whole days from the source tables (a day may
-    span batches) and overwrites exactly those day partitions."""
-    base = shared_dir(spark, name)
+LATE_SCHEMA = "batch_id long, rows_read long, late_rows long, watermark timestamp_ntz, newest timestamp_ntz"
+
+
+def late_data_stream(events: DataFrame, base: str, delay_minutes: int = 10) -> DataFrame:
+    """For each micro-batch how many of its rows came too late for the
+    watermark it met, i.e. whose 15-minute window had closed by then.
+
+    The watermark follows Spark's rule (newest event of all earlier batches
+    less the delay); each batch's count and newest event are stored under
+    ``base``, so the report covers all runs, however many there were."""
+    path = f"{base}/late"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = None
+        if batch_id:
+            newest = (spark.read.schema(LATE_SCHEMA).parquet(path).where(F.col("batch_id") < batch_id)
+                      .agg(F.max("newest")).first()[0])
+        mark = None if newest is None else newest - dt.timedelta(minutes=delay_minutes)
+        wm = F.lit(mark).cast("timestamp_ntz")
+        closed = F.window(event_time(), "15 minutes").end.cast("timestamp_ntz") <= wm
+        _write_batch(batch.withColumn("_closed", closed).agg(
+            F.count(F.lit(1)).alias("rows_read"), F.count_if("_closed").alias("late_rows"), F.lit(mark).cast("timestamp_ntz").alias("watermark"),
+            F.date_trunc("millisecond", F.max("ts")).cast("timestamp_ntz").alias("newest")), batch_id, path)
+
+    _run(events, base, on_batch)
+    return events.sparkSession.read.schema(LATE_SCHEMA).parquet(path)
+
+
+def _day_runs(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """Runs of consecutive days."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for d in sorted(days):
+        if out and d - out[-1][1] == dt.timedelta(days=1):
+            out[-1] = (out[-1][0], d)
+        else:
+            out.append((d, d))
+    return out
+
+
+def daily_slices_stream(changes: DataFrame, feed: DataFrame, messages: DataFrame, base: str, time_col: str = "time") -> str:
+    """Incremental daily slice table.  Each micro-batch of ``changes`` finds
+    the days it touched, recomputes exactly those days from the tables ``feed``
+    and ``messages`` (a day may span batches) and overwrites their partitions."""
     table = f"{base}/table"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
-        if b is None or b["lo"] is None:
-            return
-        feed = tables.feed_actions(batch.sparkSession, sf_dir)
-        msgs = tables.message_actions(batch.sparkSession, sf_dir)
-        write_slices(etl.slice_report(feed, msgs, b["lo"], b["hi"]), table)
+        days = [r.d for r in batch.select(F.to_date(time_col).alias("d")).where("d is not null").distinct().collect()]
+        for first, last in _day_runs(days):
+            write_slices(etl.slice_report(feed, messages, first, last), table)
 
-    q = (stream_events(spark, sf_dir).writeStream
-         .option("checkpointLocation", f"{base}/_checkpoint")
-         .foreachBatch(on_batch).trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(changes, base, on_batch)
     return table
