@@ -72,7 +72,8 @@ def _window_columns(w: str) -> list[Column]:
     return [F.col(f"{w}.start").cast("timestamp_ntz").alias("ts"), F.col(f"{w}.end").cast("timestamp_ntz").alias("ts_end")]
 
 
-CTR = F.round(F.col("likes") / F.nullif(F.col("views"), F.lit(0)), 2).alias("CTR")
+def _ctr() -> Column:
+    return F.round(F.col("likes") / F.nullif(F.col("views"), F.lit(0)), 2).alias("CTR")
 
 
 def kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -81,7 +82,7 @@ def kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
     agg = tagged.withWatermark("et", delay).groupBy(F.window("et", "15 minutes").alias("w")).agg(
         F.count_if(k == "like").alias("likes"), F.count_if(k == "view").alias("views"),
         F.count_if(k == "message").alias("sent_messages"))
-    return agg.select(*_window_columns("w"), "likes", "views", CTR, "sent_messages")
+    return agg.select(*_window_columns("w"), "likes", "views", _ctr(), "sent_messages")
 
 
 def _per_user(tagged: DataFrame, delay: str) -> DataFrame:
@@ -105,7 +106,7 @@ def alert_kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
     per_win = _per_user(tagged, delay).groupBy("window").agg(
         F.sum("_l").alias("likes"), F.sum("_v").alias("views"), F.sum("_m").alias("sent_messages"),
         F.count_if(F.col("_l") + F.col("_v") > 0).alias("users_feed"), F.count_if(F.col("_m") > 0).alias("users_message"))
-    return per_win.select(*_window_columns("window"), "likes", "views", CTR, "users_feed", "users_message", "sent_messages")
+    return per_win.select(*_window_columns("window"), "likes", "views", _ctr(), "users_feed", "users_message", "sent_messages")
 
 
 def _run(df: DataFrame, base: str, on_batch=None):

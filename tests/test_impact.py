@@ -58,3 +58,37 @@ def test_local_level_weekly_season(spark):
     r = impact.impact_local_level(df, PRE, POST, season=7).first()
     assert r.abs_effect == pytest.approx(20.0, abs=1.0)
     assert r.p_value < 0.01
+
+
+def test_local_level_against_plain_kalman(spark):
+    """Any series keys; the same grid search and filter in plain Python."""
+    rnd = random.Random(5)
+    rows = [(m, g, dt.date(2024, 1, 1) + dt.timedelta(days=i), rnd.gauss(50, 5) + i * (m == "a"))
+            for m in ("a", "b") for g in ("x", "y") for i in range(35)]
+    df = spark.createDataFrame(rows + [("c", "x", PRE[0], 1.0)], "metric string, segment string, date date, value double")
+    got = {(r.metric, r.segment): r for r in impact.impact_local_level(df, PRE, POST, keys=("metric", "segment")).collect()}
+    assert got["c", "x"].predicted is None and got["c", "x"].n_pre == 1
+    for key in (("a", "x"), ("b", "y")):
+        y = [v for m, g, d, v in rows if (m, g) == key and d <= PRE[1]]
+        post = [v for m, g, d, v in rows if (m, g) == key and POST[0] <= d <= POST[1]]
+        mean = sum(y) / len(y)
+        scale = sum((v - mean) ** 2 for v in y) / (len(y) - 1)
+        best = None
+        for i in range(impact.OBS_STEPS):
+            for j in range(impact.LEVEL_STEPS + 1):
+                r = scale * 10 ** (-4 + i * 4.5 / (impact.OBS_STEPS - 1))
+                q = scale * (10 ** (-5 + (j - 1) * 5 / (impact.LEVEL_STEPS - 1)) if j else 0)
+                mu, p, ll = y[0], r * 1000, 0.0
+                for v in y[1:]:
+                    f = p + q + r
+                    ll -= 0.5 * (math.log(2 * math.pi * f) + (v - mu) ** 2 / f)
+                    mu, p = mu + (p + q) / f * (v - mu), (1 - (p + q) / f) * (p + q)
+                if best is None or ll > best[0] + 1e-9:
+                    best = ll, mu, p, r, q
+        _, mu, p, r, q = best
+        h = len(post)
+        var = sum(p + min(a, b) * q for a in range(1, h + 1) for b in range(1, h + 1)) + h * r
+        x = got[key]
+        assert x.predicted == pytest.approx(mu) and x.sigma_obs == pytest.approx(math.sqrt(r))
+        assert x.pred_high - x.predicted == pytest.approx(1.959963984540054 * math.sqrt(var) / h)
+        assert x.p_value == pytest.approx(math.erfc(abs(sum(post) - mu * h) / math.sqrt(2 * var)), abs=1e-6)

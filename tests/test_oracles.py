@@ -1,18 +1,19 @@
 """Every registered query equals its DuckDB oracle on the smallest test data
 (the driver runs the same check at sf0.01)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
 
-KEYS = sorted(E.queries())
+#: The training-data operators have tests of their own and may be absent.
+KEYS = sorted(k for k in E.queries() if not re.match(r"op\d+_|pipeline$", k))
 
 
-def test_every_key_has_oracle_or_is_rows_only():
-    rows_only = set(KEYS) - set(E.oracle_sql())
-    assert rows_only == {"agg_approx_users", "impact_local_level", "stream_late_data"}
-    assert set(E.oracle_sql()) <= set(KEYS)
+def test_every_key_has_an_oracle():
+    assert set(KEYS) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
