@@ -5,7 +5,8 @@ proportional to cos(u)^(nu-1) on (-pi/2, pi/2), so
 
     p = int_theta^L cos^(nu-1) / int_0^L cos^(nu-1),  theta = atan(|t|/sqrt(nu)),
 
-with L = min(pi/2, 12/sqrt(nu)) (the mass beyond is below 1e-30) and theta
+with L = min(pi/2, 12/sqrt(nu)) (the mass beyond is below 1e-30, so p is exactly 0
+for |t| above about 12 at large nu) and theta
 clipped to L.  Both integrals are composite Simpson sums over ``STEPS`` steps.
 The normal tail uses exp(-x^2/2) on [|z|, |z|+12] over [0, 12].  The same
 formulas are emitted as DuckDB SQL text for the oracles (``*_sql``).

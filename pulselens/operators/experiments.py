@@ -57,22 +57,24 @@ def welch(df: DataFrame, value: str, a, b, group: str = "exp_group") -> DataFram
 # ---- Mann-Whitney U and probability of superiority ------------------------------
 
 def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, by: list[str] | None = None) -> DataFrame:
     """X5 + X8: two-sided Mann-Whitney U (mid-ranks, tie-corrected variance,
     0.5 continuity correction, normal approximation), plus the exact
-    P(A>B), P(tie), P(B>A) over all pairs.
+    P(A>B), P(tie), P(B>A) over all pairs; one row, or one for each value of
+    ``by`` (e.g. the metric of a long table).
 
     Ranks are never materialised per user: values are first reduced to
     ``(value, count_a, count_b)``, then a two-level prefix sum gives the
     number of B values below each value."""
-    p = prefix_sums(value_counts(df, value, group, a, b), "value", ["c_b"], n_buckets)
+    by = by or []
+    p = prefix_sums(value_counts(df, value, group, a, b, by), "value", ["c_b"], n_buckets, by=by)
     ca, cb = F.col("c_a").cast("double"), F.col("c_b").cast("double")
     lt = F.col("c_b_lt").cast("double")
     t = ca + cb
-    s = p.agg(F.sum("c_a").alias("n_a"), F.sum("c_b").alias("n_b"),
-              F.sum(ca * (lt + cb / F.lit(2.0))).alias("u_a"),
-              F.sum(ca * lt).alias("pairs_gt"), F.sum(ca * cb).alias("pairs_tie"),
-              F.sum(t * t * t - t).alias("tie_term"))
+    s = p.groupBy(*by).agg(F.sum("c_a").alias("n_a"), F.sum("c_b").alias("n_b"),
+                           F.sum(ca * (lt + cb / F.lit(2.0))).alias("u_a"),
+                           F.sum(ca * lt).alias("pairs_gt"), F.sum(ca * cb).alias("pairs_tie"),
+                           F.sum(t * t * t - t).alias("tie_term"))
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     pairs = F.nullif(na * nb, F.lit(0.0))
@@ -84,7 +86,7 @@ def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
              .withColumn("p_a_gt_b", F.col("pairs_gt") / pairs)
              .withColumn("p_tie", F.col("pairs_tie") / pairs)
              .withColumn("p_b_gt_a", F.lit(1.0) - F.col("p_a_gt_b") - F.col("p_tie"))
-             .select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n_a", "n_b", "u_a", "u_b", "z",
+             .select(*by, F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n_a", "n_b", "u_a", "u_b", "z",
                      "p_value", "p_a_gt_b", "p_tie", "p_b_gt_a"))
 
 
@@ -287,16 +289,20 @@ def distribution(df: DataFrame, name: str, value, group) -> DataFrame:
 
 # ---- the side-by-side report ----------------------------------------------------------
 
-def _welch_row(df, value, a, b, metric, test="welch"):
-    w = welch(df, value, a, b)
-    return w.select(F.lit(test).alias("test"), F.lit(metric).alias("metric"), "group_a", "group_b", "n_a", "n_b",
-                    F.col("t").alias("statistic"), "p_value", (F.col("mean_b") - F.col("mean_a")).alias("estimate"))
+def ab_values(users: DataFrame, a, b, alpha: float = 5.0, n_buckets: int = 50) -> DataFrame:
+    """The values that the A/B tests compare as one long table ``(metric, exp_group, value)``."""
+    lin = linearized_likes(smoothed_ctr(users, alpha, [a, b]), a)
+    per_user = lin.select("exp_group", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for m in ("ctr", "smoothed_ctr", "linearized_likes")])).alias("x")).select("x.metric", "exp_group", "x.value")
+    bk = bucket_ctr_from_users(users, n_buckets)
+    return per_user.unionByName(bk.select(F.lit("bucket_ctr").alias("metric"), "exp_group", F.col("bucket_ctr").alias("value")))
 
 
-def _mw_row(df, value, a, b, metric, n_buckets=None):
-    m = mann_whitney(df, value, a, b, n_buckets=n_buckets)
-    return m.select(F.lit("mann_whitney").alias("test"), F.lit(metric).alias("metric"), "group_a", "group_b",
-                    "n_a", "n_b", F.col("u_a").alias("statistic"), "p_value", F.col("p_a_gt_b").alias("estimate"))
+def ab_superiority(users: DataFrame, a, b, alpha: float = 5.0, n_buckets: int = 50) -> DataFrame:
+    """X8 for the three metrics of the Mann-Whitney tests, through one prefix sum."""
+    values = ab_values(users, a, b, alpha, n_buckets).where(F.col("metric") != "linearized_likes")
+    return mann_whitney(values, "value", a, b, by=["metric"]).select("metric", "p_a_gt_b", "p_tie", "p_b_gt_a")
 
 
 def ab_report(feed: DataFrame, first_day, last_day, a, b, alpha: float = 5.0, n_boot: int = 2000,
@@ -307,9 +313,15 @@ def ab_report(feed: DataFrame, first_day, last_day, a, b, alpha: float = 5.0, n_
     ``p_value`` is the two-sided share ``2 * min(P(diff < 0), P(diff > 0))``."""
     from pulselens.operators.metrics import user_ctr
     users = user_ctr(feed, first_day, last_day, [a, b])
-    sm = smoothed_ctr(users, alpha, [a, b])
-    lin = linearized_likes(users, a)
-    bk = bucket_ctr_from_users(users, n_buckets)
+    values = ab_values(users, a, b, alpha, n_buckets)
+    g, v = F.col("exp_group"), F.col("value")
+    t = welch_columns(values.groupBy("metric").agg(*_moments(v, g, a, b))).select(
+        F.lit("welch").alias("test"), "metric", F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n_a", "n_b",
+        F.col("t").alias("statistic"), "p_value", (F.col("mean_b") - F.col("mean_a")).alias("estimate"))
+    # one prefix sum for all metrics
+    mw = mann_whitney(values.where(F.col("metric") != "linearized_likes"), "value", a, b, by=["metric"]).select(
+        F.lit("mann_whitney").alias("test"), "metric", "group_a", "group_b", "n_a", "n_b",
+        F.col("u_a").alias("statistic"), "p_value", F.col("p_a_gt_b").alias("estimate"))
     ci = bootstrap_diff_ci(poisson_bootstrap(users, a, b, n_boot))
     boot = ci.select(F.lit("poisson_bootstrap").alias("test"), F.lit("global_ctr").alias("metric"),
                      F.lit(a).alias("group_a"), F.lit(b).alias("group_b"),
@@ -317,18 +329,4 @@ def ab_report(feed: DataFrame, first_day, last_day, a, b, alpha: float = 5.0, n_
                      F.col("mean_diff").alias("statistic"),
                      F.least(F.lit(1.0), F.lit(2.0) * F.least("share_below_zero", "share_above_zero")).alias("p_value"),
                      F.col("mean_diff").alias("estimate"))
-    parts = [
-        _welch_row(users, "ctr", a, b, "ctr"),
-        _mw_row(users, "ctr", a, b, "ctr"),
-        _welch_row(sm, "smoothed_ctr", a, b, "smoothed_ctr"),
-        _mw_row(sm, "smoothed_ctr", a, b, "smoothed_ctr"),
-        _welch_row(bk, "bucket_ctr", a, b, "bucket_ctr"),
-        # at most 2 x n_buckets values: one ordered partition, no bucketing subqueries
-        _mw_row(bk, "bucket_ctr", a, b, "bucket_ctr", n_buckets=1),
-        _welch_row(lin, "linearized_likes", a, b, "linearized_likes"),
-        boot,
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*REPORT_COLS)
+    return t.unionByName(mw).unionByName(boot).select(*REPORT_COLS)

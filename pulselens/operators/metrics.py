@@ -313,3 +313,13 @@ def digest_app_changes(feed: DataFrame, messages: DataFrame, as_of, n_days: int
     return (ch.where(F.col("date") == F.lit(report_day))
               .withColumn("text", text)
               .select("date", "metric", "value", "prev_value", "pct_change", "text"))
+
+
+def digest_app_message(feed: DataFrame, messages: DataFrame, as_of, n_days: int = 7) -> DataFrame:
+    """The report day's lines of all app metrics, in their order, as one dated message."""
+    lines = digest_app_changes(feed, messages, as_of, n_days)
+    order = F.array_position(F.array(*[F.lit(m) for m in APP_METRICS]), F.col("metric"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("i"), "text"))), lambda x: x["text"]), "\n")
+    return (lines.groupBy("date").agg(body.alias("_body"))
+                 .select("date", F.concat(F.lit("App metrics for "), F.date_format("date", "dd-MM-yyyy"), F.lit(":\n\n"),
+                                          F.col("_body")).alias("message")))

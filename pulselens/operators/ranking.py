@@ -60,38 +60,39 @@ def _quantile_buckets(df: DataFrame, order_col: str, n_buckets: int) -> DataFram
 
 
 def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int | None = None,
-                order_by: list[str] | None = None, key=None) -> DataFrame:
+                order_by: list[str] | None = None, key=None, by: list[str] | None = None) -> DataFrame:
     """Adds ``{c}_lt`` = sum of ``c`` over rows that come before the row.
 
     The order is ``order_by`` (default ``[order_col]``; rows must be unique
     and non-NULL in it).  ``key`` (default ``order_col``) is a numeric
     expression that never decreases along that order; it is only used to
-    form the buckets, so it may be coarse (e.g. a double of a long id)."""
-    order_by = order_by or [order_col]
+    form the buckets, so it may be coarse (e.g. a double of a long id).
+    ``by`` starts the sums anew for each of its (few) values."""
+    order_by, by = order_by or [order_col], by or []
     base = df.columns
     if n_buckets is None:
         n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     before = (Window.unboundedPreceding, -1)
     if n_buckets <= 1:
-        w = Window.orderBy(*order_by).rowsBetween(*before)
+        w = (Window.partitionBy(*by) if by else Window).orderBy(*order_by).rowsBetween(*before)
         return df.select(*base, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_lt") for c in cols])
     key = F.col(order_col) if key is None else key
     b = _quantile_buckets(df.withColumn("_key", key.cast("double")), "_key", n_buckets)
-    totals = b.groupBy("_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    # window over at most n_buckets rows (bounded by the parameter, not by the data)
-    wk = Window.orderBy("_bkt").rowsBetween(*before)
-    offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    wi = Window.partitionBy("_bkt").orderBy(*order_by).rowsBetween(*before)
+    totals = b.groupBy(*by, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    # window over at most n_buckets rows for each value of `by` (bounded by the parameter, not by the data)
+    wk = (Window.partitionBy(*by) if by else Window).orderBy("_bkt").rowsBetween(*before)
+    offsets = totals.select(*by, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    wi = Window.partitionBy(*by, "_bkt").orderBy(*order_by).rowsBetween(*before)
     within = b.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0)).alias(f"_w_{c}") for c in cols])
-    out = within.join(F.broadcast(offsets), "_bkt", "inner")
+    out = within.join(F.broadcast(offsets), [*by, "_bkt"], "inner")
     return out.select(*base, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{c}_lt") for c in cols])
 
 
-def value_counts(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
-    """One row per distinct value with the counts from groups ``a`` and ``b``."""
+def value_counts(df: DataFrame, value: str, group: str, a, b, by: list[str] | None = None) -> DataFrame:
+    """One row per distinct value (and ``by``) with the counts from groups ``a`` and ``b``."""
     g = F.col(group)
     x = df.where(g.isin(a, b) & F.col(value).isNotNull())
-    return x.groupBy(F.col(value).alias("value")).agg(
+    return x.groupBy(*(by or []), F.col(value).alias("value")).agg(
         F.count_if(g == F.lit(a)).alias("c_a"), F.count_if(g == F.lit(b)).alias("c_b"))
 
 

@@ -485,6 +485,11 @@ def _(spark, sf):
     return round_doubles(metrics.digest_app_changes(_feed(spark, sf), _msgs(spark, sf), P.AS_OF))
 
 
+@q("digest_app_message")
+def _(spark, sf):
+    return metrics.digest_app_message(_feed(spark, sf), _msgs(spark, sf), P.AS_OF)
+
+
 @q("kpi_long_series")
 def _(spark, sf):
     wide = metrics.digest_feed_week(_feed(spark, sf), P.AS_OF)
@@ -542,17 +547,7 @@ def _(spark, sf):
 
 @q("ab_prob_superiority")
 def _(spark, sf):
-    users = _ab_users(spark, sf)
-    sm = experiments.smoothed_ctr(users, P.ALPHA, P.AB_GROUPS)
-    # bucket CTRs: at most 2 x N_BUCKETS values, one ordered partition
-    parts = [(users, "ctr", None), (sm, "smoothed_ctr", None),
-             (experiments.bucket_ctr_from_users(users, P.N_BUCKETS), "bucket_ctr", 1)]
-    out = None
-    for df, col, nb in parts:
-        m = experiments.mann_whitney(df, col, *P.AB_GROUPS, n_buckets=nb).select(
-            F.lit(col).alias("metric"), "p_a_gt_b", "p_tie", "p_b_gt_a")
-        out = m if out is None else out.unionByName(m)
-    return round_doubles(out)
+    return round_doubles(experiments.ab_superiority(_ab_users(spark, sf), *P.AB_GROUPS, P.ALPHA, P.N_BUCKETS))
 
 
 @q("ab_poisson_bootstrap")

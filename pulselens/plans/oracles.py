@@ -627,6 +627,12 @@ SELECT date, metric, {rnd(['value', 'prev_value', 'pct_change'])},
                                ELSE CAST(CAST(value AS BIGINT) AS VARCHAR) END
        || ' (' || coalesce({pct_text_sql('pct_change')}, 'n/a') || ' change vs 1 day before)' AS text
 FROM z"""
+    places = " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(app_metrics))
+    head, tail = O["digest_app_changes"].rsplit("\nSELECT", 1)
+    O["digest_app_message"] = f"""{head.rstrip()},
+m AS (SELECT{tail})
+SELECT date, 'App metrics for ' || strftime(date, '%d-%m-%Y') || ':' || {NL} || {NL} ||
+       string_agg(text, {NL} ORDER BY CASE metric {places} END) AS message FROM m GROUP BY date"""
     O["kpi_long_series"] = f"""{F_},
 dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS DAU, count_if(action = 'like') AS likes,
               count_if(action = 'view') AS views,
