@@ -419,6 +419,12 @@ def _(spark, sf):
     return lifecycle.weekly_lifecycle(o, o.select(F.date_add(F.to_date(F.max("time")), 1)).scalar())
 
 
+@q("weekly_lifecycle_closed")
+def _(spark, sf):
+    o = _orders(spark, sf)
+    return lifecycle.weekly_lifecycle(o, o.select(F.date_add(F.to_date(F.max("time")), 1)).scalar(), drop_open_week=True)
+
+
 @q("weekly_lifecycle_strict")
 def _(spark, sf):
     o = _orders(spark, sf)
@@ -460,6 +466,11 @@ def _(spark, sf):
     return etl.slice_report(_feed(spark, sf), _msgs(spark, sf), P.AS_OF - dt.timedelta(days=1))
 
 
+@q("slice_report_filled")
+def _(spark, sf):
+    return etl.slice_report(_feed(spark, sf), _msgs(spark, sf), P.AS_OF - dt.timedelta(days=1), fill_bins=True)
+
+
 @q("slice_report_daily_strict")
 def _(spark, sf):
     return etl.slice_report_strict(_feed(spark, sf), _msgs(spark, sf), P.AS_OF - dt.timedelta(days=1))
@@ -571,6 +582,12 @@ def _(spark, sf):
     return round_doubles(_aa(spark, sf))
 
 
+@q("aa_same_group")
+def _(spark, sf):
+    users = metrics.user_ctr(_feed(spark, sf), *P.AA_PERIOD, P.AA_GROUPS)
+    return round_doubles(experiments.aa_resample_pvalues(users, *P.AA_GROUPS, P.AA_REPS, P.AA_K, same_group=True))
+
+
 @q("aa_false_positive_rate")
 def _(spark, sf):
     return round_doubles(experiments.aa_false_positive_rate(_aa(spark, sf)))

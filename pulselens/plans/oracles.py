@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pulselens.functions.bins import cut_sql
+from pulselens.functions.bins import AGE_LABELS, cut_sql
 from pulselens.functions.hashing import md5_uniform_sql, poisson1_from_uniform_sql, user_bucket_sql
 from pulselens.functions.stats import normal_two_sided_p_sql, t_two_sided_p_sql
 from pulselens.plans import params as P
@@ -171,15 +171,17 @@ CI_SQL = """SELECT count(diff) AS n_reps, avg(diff) AS mean_diff, quantile_cont(
        avg(CASE WHEN diff > 0 THEN 1.0 ELSE 0.0 END) AS share_above_zero FROM boot"""
 
 
-def aa_cte(name="aa") -> str:
+def aa_cte(name="aa", same_group: bool = False) -> str:
     a, b = P.AA_GROUPS
+    side = (f"SELECT user_id, ctr AS v, unnest([1, 2]) AS s FROM ua WHERE ctr IS NOT NULL AND exp_group = {a}" if same_group else
+            f"SELECT user_id, ctr AS v, CASE WHEN exp_group = {a} THEN 1 ELSE 2 END AS s FROM ua WHERE ctr IS NOT NULL")
     k, reps = P.AA_K, P.AA_REPS
     u = md5_uniform_sql("s", "rep", "j")
     # the mean number of draws that give k distinct ones, and a length that falls short with odds below e^-40
     mu = f"(n * ln((n + 0.5) / (n - {k} + 0.5)))"
     length = f"CAST(ceil(greatest(3.5, 1.0 + 80.0 / ((n - {k} + 1.0) / n * {mu})) * {mu}) AS BIGINT)"
     return f"""{users_cte(*P.AA_PERIOD, P.AA_GROUPS, 'ua')},
-x AS (SELECT user_id, ctr AS v, CASE WHEN exp_group = {a} THEN 1 ELSE 2 END AS s FROM ua WHERE ctr IS NOT NULL),
+x AS ({side}),
 xi AS (SELECT s, v, row_number() OVER (PARTITION BY s ORDER BY user_id) - 1 AS idx FROM x),
 sz AS (SELECT s, CAST(count(*) AS DOUBLE) AS n FROM x GROUP BY s),
 reps AS (SELECT unnest(range(1, {reps + 1})) AS rep),
@@ -379,6 +381,14 @@ def build() -> dict[str, str]:
     O["src_all_activity"] = (f"{FM} SELECT CAST(time AS DATE) AS date, user_id, os FROM feed_actions "
                              f"UNION ALL SELECT CAST(time AS DATE) AS date, user_id, os FROM message_actions")
     O["slice_report_daily"] = f"{FM},\n{joined_ctes(yday)}\n{slices_sql()}"
+    labels = ", ".join(f"'{x}'" for x in AGE_LABELS)
+    O["slice_report_filled"] = f"""{FM},\n{joined_ctes(yday)},
+sl AS ({slices_sql()}),
+grid AS (SELECT 'age' AS dimension, unnest([{labels}]) AS dimension_value, event_date FROM (SELECT DISTINCT event_date FROM sl))
+SELECT * FROM sl UNION ALL
+SELECT dimension, dimension_value, event_date, {', '.join('CAST(0 AS BIGINT)' for _ in COUNTS)} FROM grid
+WHERE NOT EXISTS (SELECT 1 FROM sl WHERE sl.dimension = grid.dimension AND sl.dimension_value = grid.dimension_value
+                  AND sl.event_date = grid.event_date)"""
     O["sink_slice_table"] = O["slice_report_daily"]
     O["set_concat_slices"] = O["slice_report_daily"]
     O["slice_report_daily_strict"] = f"{FM},\n{strict_ctes(yday)}\n{slices_sql()}"
@@ -462,6 +472,10 @@ SELECT f.date, likes, views, CTR, messages FROM f JOIN mm ON f.date = mm.date"""
     O["agg_weekly_status_counts"] = f"WITH {LIFE_CTES}\n{current_sql()}"
     O["set_union_status"] = f"WITH {LIFE_CTES}\n{GONE_SQL}\nUNION ALL\n{current_sql()}"
     O["weekly_lifecycle"] = O["set_union_status"]
+    O["weekly_lifecycle_closed"] = (
+        f"WITH {LIFE_CTES},\nlc AS ({GONE_SQL}\nUNION ALL\n{current_sql()})\n"
+        f"SELECT * FROM lc WHERE status <> 'gone' OR this_week <> CAST(date_trunc('week', "
+        f"(SELECT max(CAST(time AS DATE)) + 1 FROM act)) AS DATE)")
     O["weekly_lifecycle_strict"] = f"WITH {LIFE_CTES}\n{GONE_SQL}\nUNION ALL\n{current_sql(True)}"
     O["agg_retention_counts"] = retention_sql("true", P.ORDERS_RETENTION_AS_OF, "act", ORD, strings=False)
     O["retention_orders"] = retention_sql("true", P.ORDERS_RETENTION_AS_OF, "act", ORD)
@@ -668,6 +682,7 @@ dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS DAU, count_
     O["ab_bootstrap_diff_ci"] = (f"{ab},\n{boot_cte()}\nSELECT n_reps, {rnd(ci_cols)} FROM ({CI_SQL})")
     O["aa_resample_pvalues"] = (f"{F_},\n{aa_cte()}\nSELECT rep, n_a, n_b, "
                                 f"{rnd(['mean_a', 'mean_b', 't', 'df', 'p_value'])}, pool_a, pool_b FROM aa")
+    O["aa_same_group"] = O["aa_resample_pvalues"].replace(aa_cte(), aa_cte(same_group=True))
     O["aa_false_positive_rate"] = f"""{F_},\n{aa_cte()}
 SELECT n_reps, round(fpr_pct, 6) AS fpr_pct,
        CASE WHEN fpr_pct <= 5.0 THEN 'split ok' ELSE 'split suspicious' END AS verdict
