@@ -6,12 +6,10 @@ stage's ``docs``.  All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from pulselens.llm import stages
-from pulselens.llm.common import shared_dir
+from pulselens.session import shared_dir
 
 STAGES = [
     ("language_id", stages.language_id),
@@ -27,7 +25,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; intermediate tables go to the shared folder in ``spark.checkpoint.dir``."""
-    base = f"{shared_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex[:12]}"
+    base = shared_dir(spark, "corpus-pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{base}/{i}-{name}"

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pulselens.session import checkpoint_base
+
 #: Bytes of text that one numpy pass handles at a time; a longer single text is a pass of its own.
 SLICE_BYTES = 1 << 22
 
@@ -20,25 +21,11 @@ def ship_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share.
-
-    Only where it is unset and the master is local (tests) a folder of its own is made; on a cluster it must be set.
-    """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if base is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="pulselens-llm-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base)
-    return base
-
-
 def saved(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows are written to the shared checkpoint folder and read from there."""
-    shared_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_base(df.sparkSession))
     return df.checkpoint()
 
 
