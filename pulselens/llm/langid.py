@@ -162,11 +162,11 @@ def fit(counts: dict[str, dict[bytes, int]], pieces: list[bytes], rounds: int =
 def word_counts(docs: DataFrame, docs_per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """``(lang, word, n)`` over a bounded sample: of each language the ``docs_per_lang`` rows of smallest hash."""
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-                        F.xxhash64(F.col(id_col)).alias("h")).where("lang is not null")
+                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).where("lang is not null")
     by_hash = Window.partitionBy("lang").orderBy("h")
-    last = (known.select("lang", "h").withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs_per_lang)
+    last = (known.select("lang", "h").distinct().withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs_per_lang)
             .groupBy("lang").agg(F.max("h").alias("last")))  # one row a language
-    top = known.join(F.broadcast(last), "lang").where("h <= last")
+    top = known.join(F.broadcast(last), "lang").where("h <= last").dropDuplicates(["lang", "h"])
 
     def run(batches):
         for batch in batches:
