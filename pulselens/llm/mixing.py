@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import n_partitions
+from .common import n_partitions, saved
 
 #: Hex digits of the hash that name a range.
 _DIGITS = 7
@@ -53,6 +53,7 @@ def schedule(weights: DataFrame, period: int = 1000, max_sources: int = 5000) ->
     """
     w = (weights.where("weight > 0").select(source_key(F.col("source").cast("string")).alias("key"),
                                             F.col("weight").cast("long").alias("w")).groupBy("key").agg(F.max("w").alias("w")))
+    w = saved(w)  # a row a source: the weights may come from a scan of all documents, which is made once
     n = w.count()
     if n > max_sources:
         raise ValueError(f"{n} sources; the schedule is made for at most {max_sources}")
@@ -79,7 +80,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = 8,
     spark = docs.sparkSession
     out = ("mix_rank", "mix_slot", "mix_pos", "mix_on_target")
     columns = [F.col(f"`{c}`") for c in docs.columns if c not in out]
-    plan = schedule(root_weights(docs, source_col) if weights is None else weights, period, max_sources)
+    plan = saved(schedule(root_weights(docs, source_col) if weights is None else weights, period, max_sources))
     n = n_partitions(spark)
     keyed = docs.select(*columns, source_key(F.col(source_col).cast("string")).alias("_mx_key"),
                         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_mx_hash"))
