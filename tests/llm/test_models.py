@@ -337,6 +337,26 @@ def test_held_out_layouts(spark, trees):
     assert right >= 0.97 * total
 
 
+def test_hand_written_pages(trees):
+    """Layouts that were not generated; every block of the article says MAIN."""
+    p = "Thheouble heenwh on reti ingeser erster that anha the of are haedre anti the a theaatnd or it ing thshst."
+    pages = [
+        f"<body><header><h1>Site</h1><nav><a href=/>Home</a> <a href=/a>About</a></nav></header><main><article><h1>MAIN0</h1>"
+        f"<p>MAIN1 {p}</p><p>MAIN2</p><aside class='related'><p>Related: {p}</p></aside><p>MAIN3 {p}</p></article></main>"
+        f"<section class='comments'><h2>Comments</h2><div class='comment'><p>I agree {p}</p></div></section><footer>2024</footer>",
+        f"<body><div id='cookie-banner'><p>We use cookies. {p}</p><button>OK</button></div><div class='content'><h2>MAIN0</h2>"
+        f"<p>MAIN1 {p}</p><ul><li>MAIN2 one</li><li>MAIN3 two</li></ul><form action=/s><label>Mail</label><input></form>"
+        f"<p>MAIN4 {p}</p></div><div class='sidebar'><ul><li><a href=1>x</a></li><li><a href=2>y</a></li></ul><p>{p}</p></div>",
+        f"<table><tr><td class=menu><a href=1>a</a><br><a href=2>b</a></td><td class=main><p>MAIN0 {p}</p><p>MAIN1 {p}</p>"
+        f"<blockquote>MAIN2 {p}</blockquote></td></tr></table>",
+        f"<body><div><div><div class='notice'>Notice: {p}</div><p>MAIN0 {p}</p><div class='advert'><p>Buy {p}</p></div>"
+        f"<p>MAIN1 {p}</p></div></div><div id='disqus_thread'><p>reader {p}</p></div></body>",
+    ]
+    for html_, n in zip(pages, (4, 5, 3, 2)):
+        got = htmltext.main_texts([html_], trees)[0].split("\n")
+        assert [x.split()[0] for x in got] == [f"MAIN{i}" for i in range(n)]
+
+
 def test_decoding_is_the_best_consistent_labelling():
     r = random.Random(0)
     for _ in range(200):
