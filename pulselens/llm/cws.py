@@ -101,7 +101,7 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     n = 4 * n_partitions(spark)
     base = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    cuts = docs.select(F.percentile_approx(F.col(id_col).cast("long").cast("double"), [i / n for i in range(1, n)], 1000)).first()[0]
+    cuts = docs.select(F.percentile_approx(F.col(id_col).cast("long").cast("double"), [i / n for i in range(1, n)], 10 * n)).first()[0]
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     by_id = Bucketizer(splits=splits if len(splits) > 2 else [float("-inf"), 0.0, float("inf")], inputCol="at",
                        outputCol="bucket", handleInvalid="keep")
@@ -132,8 +132,9 @@ def fingerprints(docs: DataFrame, samples: int = 64, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = _ordered(docs, id_col, text_col).repartition(n_partitions(spark), "range").sortWithinPartitions(
-        "range", "last", "place", "text")
+    n = n_partitions(spark)
+    rows = (_ordered(docs, id_col, text_col).repartitionById(n, F.pmod("range", F.lit(n)).cast("int"))
+            .sortWithinPartitions("range", "last", "place", "text"))  # four whole ranges to a partition
 
     def compare(ids: list, texts: list, keep: list[bool]) -> pa.RecordBatch:
         """Rows but the last, which is only the next of the one before; ``keep`` is false for repeated heads."""
