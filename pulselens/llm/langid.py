@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import SLICE_BYTES, ship_package
 from .textkit import NON_LETTERS, slices, utf8, word_hashes, words
@@ -160,13 +160,13 @@ def fit(counts: dict[str, dict[bytes, int]], pieces: list[bytes], rounds: int =
 
 
 def word_counts(docs: DataFrame, docs_per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(lang, word, n)`` over a bounded sample: of each language the ``docs_per_lang`` rows of smallest hash."""
+    """``(lang, word, n)`` over a bounded sample: of each language the rows whose hash falls in the share of all hashes
+    that ``docs_per_lang`` is of its rows (all rows of a smaller language); rows that repeat count once."""
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                         F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).where("lang is not null")
-    by_hash = Window.partitionBy("lang").orderBy("h")
-    last = (known.select("lang", "h").distinct().withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= docs_per_lang)
-            .groupBy("lang").agg(F.max("h").alias("last")))  # one row a language
-    top = known.join(F.broadcast(last), "lang").where("h <= last").dropDuplicates(["lang", "h"])
+    share = known.groupBy("lang").agg((F.lit(float(docs_per_lang)) / F.count("*")).alias("share"))  # one row a language
+    top = (known.join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * float(1 << 40))
+           .dropDuplicates(["lang", "h"]))
 
     def run(batches):
         for batch in batches:
@@ -185,7 +185,8 @@ def word_counts(docs: DataFrame, docs_per_lang: int, id_col: str, text_col: str,
 
 def learn(docs: DataFrame, pieces: list[bytes], docs_per_lang: int = 250, rounds: int = 3, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Fit on a sample whose bound, ``docs_per_lang``, does not grow with the table; its word counts go to the driver."""
+    """Fit on a sample of about ``docs_per_lang`` documents a language, which does not grow with the table; its word
+    counts go to the driver."""
     ship_package(docs.sparkSession)
     counts: dict[str, dict[bytes, int]] = {}
     for r in word_counts(docs, docs_per_lang, id_col, text_col, lang_col).toLocalIterator():
