@@ -506,13 +506,12 @@ def training_rows(blocks: list[str], pages: int, seed: int = 7) -> tuple[np.ndar
 
 def learn(pages: DataFrame, sample_pages: int = 150, layouts: int = 400, id_col: str = "page_id",
           html_col: str = "html") -> Boosted:
-    """Train on layouts of the blocks of ``sample_pages`` pages (those of smallest hash); both bounds are fixed.
-
-    The hashes alone find where the sample ends; then only its pages go to the driver."""
+    """Train on layouts of the blocks of about ``sample_pages`` pages, those whose hash falls in that share of all hashes
+    (all pages of a smaller table); neither bound grows with the table, and rows that repeat count once."""
     rows = pages.select(F.xxhash64(F.col(id_col), F.col(html_col)).alias("h"), F.col(html_col).cast("string").alias("html")
                         ).where("html is not null")
-    last = rows.select("h").distinct().orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
-    some = sorted(rows.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).collect())
+    share = min(1.0, sample_pages / max(1, pages.count()))
+    some = sorted(rows.where(F.pmod("h", F.lit(1 << 40)) < F.lit(share * (1 << 40))).dropDuplicates(["h"]).collect())
     blocks = [s for r in some for s in parse(r.html).text if s]
     return boost(*training_rows(blocks, layouts))
 
