@@ -291,8 +291,9 @@ def distribution(df: DataFrame, name: str, value, group) -> DataFrame:
 
 def ab_values(users: DataFrame, a, b, alpha: float = 5.0, n_buckets: int = 50) -> DataFrame:
     """The values that the A/B tests compare as one long table ``(metric, exp_group, value)``."""
-    lin = linearized_likes(smoothed_ctr(users, alpha, [a, b]), a)
-    per_user = lin.select("exp_group", F.explode(F.array(*[
+    # the control CTR comes from the per-user table as it is, so that its exchange is reused, not made again
+    both = smoothed_ctr(linearized_likes(users, a), alpha, [a, b])
+    per_user = both.select("exp_group", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in ("ctr", "smoothed_ctr", "linearized_likes")])).alias("x")).select("x.metric", "exp_group", "x.value")
     bk = bucket_ctr_from_users(users, n_buckets)
