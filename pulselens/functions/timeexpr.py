@@ -54,10 +54,6 @@ def time_range(df: DataFrame, start, end, col: str = "time", partition_col: str
     return out
 
 
-def day_of(c) -> Column:
-    return F.to_date(c)
-
-
 def monday(c) -> Column:
     """``toMonday``: the Monday of the week (ISO weeks, Monday first)."""
     return F.date_trunc("week", F.to_date(c)).cast("date")

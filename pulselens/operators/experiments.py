@@ -261,18 +261,9 @@ def aa_false_positive_rate(pvals: DataFrame, alpha: float = 0.05) -> DataFrame:
                                     .otherwise(F.lit("split suspicious")))
 
 
-def histogram(df: DataFrame, value: str, lo: float, width: float, group: str = "exp_group") -> DataFrame:
-    """Counts per group and fixed-width bin ``floor((x - lo) / width)``."""
-    b = F.floor((F.col(value) - F.lit(lo)) / F.lit(width)).cast("bigint")
-    return (df.where(F.col(value).isNotNull())
-              .groupBy(group, b.alias("bin"))
-              .agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(width)))
-
-
 def histograms(values: DataFrame, bins: dict[str, tuple[float, float]]) -> DataFrame:
-    """X13 for several distributions in one pass: ``values (distribution, grp, value)``; ``bins`` gives each
-    distribution's ``(lo, width)``."""
+    """Counts per distribution, group and fixed-width bin ``floor((x - lo) / width)`` in one pass over ``values
+    (distribution, grp, value)``; ``bins`` gives each distribution's ``(lo, width)``."""
     d, v = F.col("distribution"), F.col("value")
     lo = F.coalesce(*[F.when(d == k, F.lit(float(x))) for k, (x, _) in bins.items()])
     width = F.coalesce(*[F.when(d == k, F.lit(float(w))) for k, (_, w) in bins.items()])
