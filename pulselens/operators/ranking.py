@@ -84,7 +84,8 @@ def prefix_sums(df: DataFrame, order_col: str, cols: list[str], n_buckets: int |
     offsets = totals.select(*by, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wk), F.lit(0)).alias(f"_o_{c}") for c in cols])
     wi = Window.partitionBy(*by, "_bkt").orderBy(*order_by).rowsBetween(*before)
     within = b.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0)).alias(f"_w_{c}") for c in cols])
-    out = within.join(F.broadcast(offsets), [*by, "_bkt"], "inner")
+    # at most n_buckets rows; with `by` their number depends on the data, so adaptive execution decides
+    out = within.join(offsets if by else F.broadcast(offsets), [*by, "_bkt"], "inner")
     return out.select(*base, *[(F.col(f"_w_{c}") + F.col(f"_o_{c}")).alias(f"{c}_lt") for c in cols])
 
 
