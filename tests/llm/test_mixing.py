@@ -72,6 +72,23 @@ def test_mix_of_odd_tables(spark, messy, none, messy_rows):
     assert mixing.mix(none, w).collect() == [] and mixing.mix(none).collect() == []
 
 
+@pytest.mark.parametrize("weights, period", [(None, 1000), ({"hot": 1407, **{f"s{i}": 451 + i for i in range(19)}}, 50)])
+def test_shares_follow_the_given_weights(spark, weights, period):
+    """A third of the rows in one source: no rounding of the weights may add up over the periods."""
+    sizes = {"hot": 7000, **{f"s{i}": 700 + i for i in range(19)}}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    given = mixing.root_weights(docs) if weights is None else spark.createDataFrame(list(weights.items()), "source string, weight long")
+    w = {r.source: r.weight for r in given.collect()}
+    total, n = sum(w.values()), collections.Counter()
+    rows = mixing.mix(docs, given, block_docs=1, period=period).collect()
+    assert len(rows) == sum(sizes.values()) and len({r.mix_pos for r in rows}) == len(rows)
+    on = sorted((r.mix_slot, r.source) for r in rows if r.mix_on_target)
+    assert len(on) > 8000 and [t for t, _ in on] == list(range(len(on)))
+    for t, s in on:
+        n[s] += 1
+        assert all(abs(n[x] * total - (t + 1) * w[x]) < total for x in ("hot", "s0", "s18", s))
+
+
 def test_place_does_not_depend_on_partitions(spark, messy):
     one = None
     for n in ("3", "17"):
