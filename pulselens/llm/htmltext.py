@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import ship_package
 
-#: Elements whose content is no text of the page.
-_SKIPPED = {"script", "style", "noscript", "template", "svg", "iframe", "select", "textarea", "button", "title", "object",
-            "canvas", "audio", "video", "math", "datalist"}
+#: Elements whose content is no markup: it goes on to the closing tag, whatever it looks like.
+_RAW = {"script", "style", "iframe", "textarea", "title"}
+#: Elements whose content is no text of the page; one that is not closed ends with the element it is in.
+_SKIPPED = {"noscript", "template", "svg", "select", "button", "object", "canvas", "audio", "video", "math", "datalist"}
+_CELLS = {"td", "th", "tr", "tbody", "thead", "tfoot"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
            "kbd", "label", "mark", "nobr", "output", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
@@ -52,7 +55,9 @@ _OTHER_STEMS = ("nav", "menu", "header", "masthead", "footer", "sidebar", "aside
 _MAIN_STEMS = ("article", "content", "main", "post", "entry", "story", "body", "text", "prose", "page")
 _WHOLE = {"nav", "ad", "ads", "form", "more", "top", "bottom", "rail", "tags", "page", "text", "skip", "dfp", "links", "body"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: A quote opens a value only where the value starts; a quoted value may hold ``>``.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>"
+                    r"|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|style|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -97,6 +102,9 @@ def parse(page: str) -> Tree:
     buffer: list[str] = []
     linked = 0
     link_at = -1
+    inline: Counter[str] = Counter()  # inline elements that are open
+    skip: list[str] = []  # open elements from a dropped one on
+    inside: Counter[str] = Counter()  # how many of each tag are in it
 
     def add(group: str, other: int, main: int) -> int:
         n = len(t.parent)
@@ -158,12 +166,19 @@ def parse(page: str) -> Tree:
         if link_at > len(stack):
             link_at = -1
 
+    def unskip(tag: str) -> None:
+        while True:
+            last = skip.pop()
+            inside[last] -= 1
+            if last == tag:
+                return
+
     push("html", "")
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if m.start() > at:
+        if m.start() > at and not skip:
             piece = page[at:m.start()]
             buffer.append(piece)
             if link_at >= 0:
@@ -172,12 +187,38 @@ def parse(page: str) -> Tree:
         if m[2] is None:
             continue
         tag, closing = m[2].lower(), m[1]
-        if tag in _SKIPPED and not closing:
+        if tag in _RAW and not closing and not (tag == "title" and skip and (inside["svg"] or inside["math"])):
             if not m[3].endswith("/"):
                 # everything up to the closing tag is its content, whatever it looks like
                 found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = found.end() if found else len(page)
             continue
+        if skip:
+            if closing and inside[tag]:
+                unskip(tag)
+                continue
+            if closing:
+                if not inline[tag] and all(x[0] != tag for x in stack):
+                    continue
+                ended = True
+            else:
+                ended = tag in _CELLS and not inside["table"] and any(x[0] == "table" for x in stack)
+            if not ended:
+                if tag in ("button", "select") and inside[tag]:  # one does not hold another
+                    unskip(tag)
+                if tag not in _VOID and not m[3].endswith("/"):
+                    skip.append(tag)
+                    inside[tag] += 1
+                continue
+            skip.clear()
+            inside.clear()
+        if tag in _SKIPPED and not closing:
+            if not m[3].endswith("/"):
+                skip.append(tag)
+                inside[tag] += 1
+            continue
+        if tag in _INLINE and tag not in _VOID:
+            inline[tag] = max(0, inline[tag] + (-1 if closing else 1))
         if tag == "a":
             link_at = -1 if closing else len(stack)
             continue
@@ -206,7 +247,7 @@ def parse(page: str) -> Tree:
         if stack[-1][0] == "p" or stack[-1][0][:1] == "h" and stack[-1][0][1:].isdigit() and tag[:1] == "h" and tag[1:].isdigit():
             pop()
         push(tag, m[3])
-    if at < len(page):
+    if at < len(page) and not skip:
         rest = page[at:]
         cut = rest.rfind("<")
         buffer.append(rest if cut < 0 or not re.match(r"</?[a-zA-Z!]", rest[cut:]) else rest[:cut])

@@ -357,6 +357,23 @@ def test_hand_written_pages(trees):
         assert [x.split()[0] for x in got] == [f"MAIN{i}" for i in range(n)]
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<form><button>Go</form><article><p>First.</p><p>Second.</p></article>", ["First.", "Second."]),
+    ("<p title=it's>First.</p><p>Don't drop.</p>", ["First.", "Don't drop."]),
+    ("<p title='a > b' data-x=\"c > d\">First.</p><p class = 'x'>Second.</p>", ["First.", "Second."]),
+    ("<a href=/q?a='b>link</a><p>It's here.</p>", ["link", "It's here."]),
+    ("<span><button>Go</span><p>First.</p>", ["First."]),
+    ("<div><button>Go<button>Stop</button><p>First.</p></div>", ["First."]),
+    ("<table><tr><td><button>Go<td>First.</table>", ["First."]),
+    ("<div>a <svg><title>icon<g><path/></g></svg> b<select><option>x<option>y</div><p>First.</p>", ["a b", "First."]),
+    ("<div><object><div>in</div>still in</object>out</div><script>if (a</b/.x) '<p>no'</script><p>First.</p>", ["out", "First."]),
+    ("<p>First.</p><script>never closed <p>no</p>", ["First."]),
+] + [(f"<div><{tag}>Go</div><p>First.</p><{tag}>x</{tag}><p>Second.</p>", ["First.", "Second."]) for tag in (
+    "button", "select", "object", "svg", "canvas", "audio", "video", "math", "datalist", "template")])
+def test_broken_markup_loses_no_other_text(page, texts):
+    assert [s for s in htmltext.parse(page).text if s] == texts
+
+
 def test_decoding_is_the_best_consistent_labelling():
     r = random.Random(0)
     for _ in range(200):
