@@ -34,7 +34,8 @@ def _alerts(spark, sf):
 
 
 def _late(spark, sf):
-    return jobs.late_data_stream(jobs.stream_events(spark, sf), shared_dir(spark, "late"), DELAY_MIN)
+    # a batch a part file, in order of arrival: later ones meet a watermark
+    return jobs.late_data_stream(jobs.stream_events(spark, sf, max_files=1), shared_dir(spark, "late"), DELAY_MIN)
 
 
 def _slices(spark, sf):

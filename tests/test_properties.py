@@ -10,6 +10,7 @@ from pulselens.operators import anomaly, etl, experiments, lifecycle, metrics, r
 from pulselens.plans import params as P
 from pulselens.sources import tables
 from pulselens.streaming import jobs
+from pulselens.streaming.catalog import STREAM_Q
 
 from conftest import SF01
 
@@ -186,6 +187,15 @@ def test_late_rows_are_counted_over_runs(spark, tmp_path):
     assert late() == [(0, 2, 0), (1, 4, 2)]
 
 
+def test_registered_late_data_meets_a_watermark(spark, tmp_path):
+    src = f"{tmp_path}/events.parquet"
+    _event_rows(spark, [(1, "view", 2, 12, 0), (2, "view", 2, 12, 20)]).coalesce(1).write.parquet(src)
+    _event_rows(spark, [(1, "view", 1, 9, 0), (1, "view", 2, 11, 59), (1, "view", 2, 12, 5), (1, "view", 2, 13, 0)]
+                ).coalesce(1).write.mode("append").parquet(src)
+    got = sorted((r.batch_id, r.rows_read, r.late_rows, r.watermark) for r in STREAM_Q["stream_late_data"](spark, str(tmp_path)).collect())
+    assert got == [(0, 2, 0, None), (1, 4, 2, dt.datetime(2024, 1, 2, 12, 10))]
+
+
 def test_daily_slices_rewrite_only_touched_days(spark, feed, msgs, tmp_path, monkeypatch):
     done = []
     monkeypatch.setattr(jobs, "write_slices", lambda df, table: done.append(sorted({r.event_date for r in df.select("event_date").collect()})))
