@@ -63,15 +63,22 @@ def _majority(digests: bytes, n: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long.  A null or wordless text gives 0."""
+    return _fingerprints(id_text(docs, id_col, text_col), shingle)
+
+
+def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    """``fp`` in place of ``text``; columns after ``text`` are kept."""
     ship_package(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             fp = [fingerprint(t, shingle) for t in texts_of(b)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                [b.column(0), pa.array(np.array(fp, np.uint64).view(np.int64)), *b.columns[2:]],
+                names=["doc_id", "fp", *b.schema.names[2:]])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[2:])
+    return docs.mapInArrow(run, f"doc_id long, fp long{more}")
 
 
 # ---------------------------------------------------------------- Golay keys
@@ -268,11 +275,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS,
     component's name (null if the component has no other); repeated rows stay, each with its component; an empty table
     gives no rows; other columns are not read.
     """
-    fp = saved(fingerprints(docs, shingle, id_col, text_col))
+    return _labelled(fingerprints(docs, shingle, id_col, text_col), max_bits, max_run).select("doc_id", "fp", "component_id")
+
+
+def labelled_texts(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS, max_run: int = 200_000,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with ``content``, a hash of the text, and ``root``, which tells components of one smallest
+    ``doc_id`` apart."""
+    texts = id_text(docs, id_col, text_col).withColumn("content", F.xxhash64("text"))
+    return _labelled(_fingerprints(texts, shingle), max_bits, max_run)
+
+
+def _labelled(fingerprinted: DataFrame, max_bits: int, max_run: int) -> DataFrame:
+    fp = saved(fingerprinted)
     classes = fp.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(classes, max_bits, max_run))
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     low = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    label = named.select("fp", "root").join(low, "root").select("fp", "component_id")
-    return fp.join(label, "fp").select("doc_id", "fp", "component_id")
+    label = named.select("fp", "root").join(low, "root").select("fp", "root", "component_id")
+    return fp.join(label, "fp")

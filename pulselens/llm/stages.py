@@ -6,7 +6,7 @@ stage needs for itself start with ``_pl_`` and cannot clash with columns of ``do
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from . import decontaminate, langid, mixing, simhash, substring
 
@@ -55,14 +55,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, once.
 
-    Rows without doc_id stay, as no id names them as copies.
+    Rows of one doc_id whose texts are no near-duplicates are documents of their own: each group they are the smallest
+    of keeps one.  Of several texts under a group's smallest doc_id the one with the smallest hash stays; of rows that
+    repeat id and text the first by their other columns.  Rows without doc_id stay, as no id names them as copies.
     """
-    out = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    lost = out.where("component_id <> doc_id").select(F.col("doc_id").alias("_pl_id")).distinct()
+    out = simhash.labelled_texts(docs, shingle=4, max_bits=4)
+    kept = (out.where("component_id = doc_id").groupBy("root").agg(F.min("component_id").alias("_pl_id"), F.min("content").alias("_pl_hash"))
+            .select("_pl_id", "_pl_hash").distinct())
     # a scan of its own for rows without id: the filter reaches Parquet, which skips row groups that have none
     known, unknown = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    rest = known.join(lost, F.col("doc_id") == F.col("_pl_id"), "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("doc_id")
+    known = known.withColumn("_pl_content", F.xxhash64("text"))
+    rest = known.join(kept, (F.col("doc_id") == F.col("_pl_id")) & (F.col("_pl_content") == F.col("_pl_hash")), "left_semi")
+    order = [F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id", "_pl_content").orderBy(*order, "doc_id")
     once = rest.withColumn("_pl_n", F.row_number().over(first)).where("_pl_n = 1").select(*_columns(docs))
     return once.unionAll(unknown)
 

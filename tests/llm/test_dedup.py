@@ -295,6 +295,16 @@ def test_near_dedup_stage_keeps_one_of_each_group(spark, messy, messy_rows):
     assert got.count(None) == sum(i is None for i, _, _, _ in messy_rows)
 
 
+def test_near_dedup_stage_with_one_id_for_several_texts(spark):
+    r = random.Random(11)
+    a, b, c = (sentence(r, 60) for _ in range(3))
+    # 7 names two clean texts; 8 a copy of 1 and a clean text; 9 a clean text twice, with other columns
+    rows = [(1, a, "en", "x"), (7, b, "en", "x"), (7, c, "en", "x"), (8, a, "en", "x"), (8, d := sentence(r, 60), "en", "x"),
+            (9, e := sentence(r, 60), "en", "y"), (9, e, "en", "x")]
+    got = sorted((x.doc_id, x.text, x.source) for x in stages.simhash_near_dedup(spark, make_docs(spark, rows), "").collect())
+    assert got == sorted([(1, a, "x"), (7, b, "x"), (7, c, "x"), (8, d, "x"), (9, e, "x")])
+
+
 def test_substring_stage_changes_only_texts_with_repeats(spark, messy, messy_rows):
     got = sorted(((r.doc_id, r.text, r.n_chars) for r in stages.substring_dedup(spark, messy, "").collect()), key=str)
     want = {i: (n, k) for i, _, n, k in plain_cut(messy_rows, 13)}
