@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, stages, substring, tokencount
+from pulselens.session import shared_dir
+
+from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, stages, substring, tokencount, tokenfile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,6 +82,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.array_max("matches.n_words"), F.lit(0)).alias("longest_overlap"))
 
 
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written in blocks to the shared folder and read back."""
+    import public_tokenizers
+    path = shared_dir(spark, "token-ids")
+    tokenfile.write_ids(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
+    return tokenfile.read_documents(spark, path)
+
+
 Q = {
     "op1_html_extract": op1_html_extract,
     "op2_token_counts": op2_token_counts,
@@ -91,6 +101,7 @@ Q = {
     "op7_chat_format": op7_chat_format,
     "op8_quality_qda": op8_quality_qda,
     "op9_simhash_golay": op9_simhash_golay,
+    "op13_token_ids": op13_token_ids,
 }
 
 ORACLES = {

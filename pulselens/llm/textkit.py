@@ -11,12 +11,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
-#: Any odd multiplier has an inverse modulo 2**64; prefix sums then give the hash of every range.
+#: Any odd multiplier has an inverse modulo 2**64; prefix sums then give the hash of every range of words.
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-#: Bytes whose powers are kept; larger ranges get tables of their own.
+#: Words whose powers are kept.
 _RANGE = 1 << 18
+#: The bytes of a word that are hashed eight at a time.
+_LONG = 512
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 #: The six white-space bytes that separate words.
 SPACES = np.zeros(256, bool)
@@ -102,25 +106,22 @@ def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES[base]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes."""
-    out = np.empty(len(starts), U64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _RANGE - 1, "right")))
-        low = starts[i]
-        part = data[low:ends[j - 1]].astype(U64)
-        part += U64(1)
-        power, inverse = _tables(_BYTE_BASE, len(part) + 1)
-        part *= power[:len(part)]
-        total = np.zeros(len(part) + 1, U64)
-        np.cumsum(part, out=total[1:])
-        s, e = starts[i:j] - low, ends[i:j] - low
-        h = (total[e] - total[s]) * inverse[s]
-        h += (e - s).astype(U64) * U64(0xD6E8FEB86659FD93)
-        out[i:j] = mix(h)
-        i = j
-    return out
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, whatever its place: a bijection is applied after each eight bytes, so words of
+    up to eight bytes and equal length never share a hash, and no pattern of repeated characters cancels out.  Words of
+    more than ``_LONG`` bytes take XXH64."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    h = mix(size.astype(U64) * U64(_BYTE_BASE) + U64(seed * 2 + 1))
+    rows, at, left = np.arange(len(starts)), starts, size
+    while len(rows):
+        h[rows] = mix(h[rows] ^ (lanes[at] & _KEEP[np.minimum(left, 8)]))
+        go = np.flatnonzero((left > 8) & (size[rows] <= _LONG))
+        rows, at, left = rows[go], at[go] + 8, left[go] - 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]].tobytes(), seed)
+    return h
 
 
 def run_hashes(h: np.ndarray, n: int) -> np.ndarray:

@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 
 #: Names that operators use for their own columns, here as extra columns of the input.
 CLASHES = ["fp", "component_id", "score", "lang_pred", "block", "low", "key", "n_words", "matches", "content", "h", "range",
-           "last", "place", "bucket", "at", "held_out", "label", "f0", "mix_pos", "mix_slot", "source_key", "kept"]
+           "last", "place", "bucket", "at", "held_out", "label", "f0", "mix_pos", "mix_slot", "source_key", "kept",
+           "part", "tie", "ids", "word", "n", "phrase", "form", "root", "start", "first"]
 
 _SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                         T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
