@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulselens.session import shared_dir
 
-from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, stages, substring, tokencount, tokenfile
+from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, spelling, stages, substring, tokencount, tokenfile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.array_max("matches.n_words"), F.lit(0)).alias("longest_overlap"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents (one run in 97 misspelt by rule) with the near word that is their form, and its root."""
+    return spelling.variants(_read(spark, sf_dir, "documents"), misspell=97)
+
+
 def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in blocks to the shared folder and read back."""
     import public_tokenizers
@@ -101,6 +106,7 @@ Q = {
     "op7_chat_format": op7_chat_format,
     "op8_quality_qda": op8_quality_qda,
     "op9_simhash_golay": op9_simhash_golay,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_token_ids": op13_token_ids,
 }
 

@@ -61,10 +61,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words(data: np.ndarray, at: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and for each text the index of its first word (with one more at the end)."""
-    if not len(data):
+    return runs(~separators[data], at)
+
+
+def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the maximal runs of bytes that are ``inside``, within each text."""
+    if not len(inside):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    inside = ~separators[data]
-    edge = np.empty(len(data) + 1, bool)
+    edge = np.empty(len(inside) + 1, bool)
     edge[0] = True
     edge[1:] = ~inside
     edge[at] = True  # a text's first byte never continues a word of the text before it
@@ -76,6 +80,29 @@ def words(data: np.ndarray, at: np.ndarray, separators: np.ndarray = SPACES) ->
     return starts, ends, np.searchsorted(starts, at)
 
 
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words grouped exactly: the first word of each group, each word's group, and two hashes of each group.
+
+    The second hash is the length of words of up to eight bytes, whose first hash tells them apart at equal length.
+    Where two words of the batch share the first hash and not the second, groups are made by the bytes themselves.
+    """
+    h = word_hashes(data, starts, ends)
+    check = (ends - starts).astype(U64)
+    long = np.flatnonzero(check > 8)
+    check[long] = word_hashes(data, starts[long], ends[long], 1)
+    coded = pa.array(h).dictionary_encode()
+    group = coded.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[group[::-1]] = np.arange(len(group) - 1, -1, -1)
+    if (check != check[first][group]).any():  # a shared first hash: group by the bytes themselves
+        raw = data.tobytes()
+        seen: dict[bytes, int] = {}
+        group = np.fromiter((seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
+        first = np.empty(len(seen), np.int64)
+        first[group[::-1]] = np.arange(len(group) - 1, -1, -1)
+    return first, group, h[first], check[first]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit, in place."""
     h ^= h >> U64(30)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import SLICE_BYTES, id_text, n_partitions, ship_package
-from .textkit import SPACES, slices, utf8, word_hashes, words
+from .textkit import SPACES, distinct, slices, utf8, words
 
 #: Ids of a block (positions of exceptions are one byte), and the least ids of a segment.
 BLOCK, SEGMENT = 128, 4096
@@ -205,20 +205,13 @@ class Encoder:
         if self.pieces:
             data, at = utf8(column)
             data, s, e, plain = cut_pieces(data, at)
-            h = word_hashes(data, s, e)
-            check = (e - s).astype(np.uint64)  # equal hashes of up to eight bytes and equal length are equal pieces
-            long = np.flatnonzero(check > 8)
-            check[long] = word_hashes(data, s[long], e[long], 1)
-            found = pa.array(h).dictionary_encode()
-            back = found.indices.to_numpy().astype(np.int64)
-            where = np.empty(len(found.dictionary), np.int64)
-            where[back[::-1]] = np.arange(len(back) - 1, -1, -1)  # where each hash comes first
-            if (check == check[where][back]).all():  # no two pieces of this slice share a hash
-                order = np.argsort(h[where])
-                rank = np.empty_like(order)
-                rank[order] = np.arange(len(order))
-                where = where[order]
-                ids, size = self._known(h[where], check[where], rank[back], lambda new: (data, s[where[new]], e[where[new]], plain(where[new])))
+            where, back, h, check = distinct(data, s, e)
+            order = np.argsort(h)
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            where, h, check = where[order], h[order], check[order]
+            if (h[1:] != h[:-1]).all():  # else two pieces share a hash, and the library sees the whole texts
+                ids, size = self._known(h, check, rank[back], lambda new: (data, s[where[new]], e[where[new]], plain(where[new])))
                 ends = np.concatenate([[0], np.cumsum(size)])
                 return ids, np.diff(ends[np.searchsorted(s, at)])
         found = self._library([x or "" for x in column.to_pylist()])
