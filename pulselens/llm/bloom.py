@@ -56,7 +56,7 @@ def gather(keys: DataFrame, n_blocks: int) -> bytearray:
 
     out = bytearray(n_blocks * BLOCK_BITS // 8)
     rows = keys.selectExpr("block", "h", f"block div {REGION} as region").groupBy("region").applyInArrow(build, "first long, bits binary")
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         at = r.first * (BLOCK_BITS // 8)
         part = bytes(r.bits)[:len(out) - at]
         out[at:at + len(part)] = part

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulselens.session import shared_dir
 
-from . import chat, cws, decontaminate, htmltext, langid, mixing, quality, simhash, spelling, stages, substring, tokencount, tokenfile
+from . import chat, cws, decontaminate, htmltext, langid, mixing, phrases, quality, simhash, spelling, stages, substring, tokencount, tokenfile
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -87,6 +87,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_read(spark, sf_dir, "documents"), misspell=97)
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words that occur together more than their parts do."""
+    return phrases.collocations(_read(spark, sf_dir, "documents"), threshold=30, max_words=4, top=2000, share=80)
+
+
 def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in blocks to the shared folder and read back."""
     import public_tokenizers
@@ -107,10 +112,34 @@ Q = {
     "op8_quality_qda": op8_quality_qda,
     "op9_simhash_golay": op9_simhash_golay,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_token_ids": op13_token_ids,
 }
 
 ORACLES = {
+    "op12_phrase_mining": r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, w[i:i + m - 1] AS g FROM (
+        SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, range(1, 5) r(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, g, count(*) AS f FROM g GROUP BY lang, m, g HAVING count(*) >= 30),
+c AS (SELECT lang, m, g, f AS a FROM f WHERE m >= 2),
+cuts AS (SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, k,
+                CAST(2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f::HUGEINT) AS BIGINT) AS score
+         FROM c, range(1, 4) s(k) JOIN f x ON x.lang = c.lang AND x.m = k AND x.g = c.g[1:k]
+              JOIN f y ON y.lang = c.lang AND y.m = c.m - k AND y.g = c.g[k + 1:c.m] WHERE k < c.m),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+around AS (SELECT lang, g[i:i + q - 1] AS g, max(a) AS longer
+           FROM (SELECT lang, g, a, m, q, unnest(range(1, m - q + 2)) AS i FROM c, range(2, 4) z(q) WHERE q < m) GROUP BY 1, 2),
+kept AS (SELECT scored.*, array_to_string(scored.g, ' ') AS phrase FROM scored LEFT JOIN around USING (lang, g)
+         WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+""",
     "op4_source_mix": """
 WITH RECURSIVE counts AS (
   SELECT coalesce('=' || source, '') AS key, any_value(source) AS source, count(*) AS n,
