@@ -29,7 +29,9 @@ _CLASS[48:58] = 3
 
 def statistics(column: pa.Array) -> np.ndarray:
     """``(texts, statistics)``: shares as log-odds, counts as logarithms; a text without words has a zero vector's values
-    of its shares (no symbols, no repeats, all words distinct)."""
+    of its shares (no symbols, no repeats, all words distinct).
+
+    Shares are of a text's bytes or of its words, so none passes 1 and every statistic is finite."""
     data, at = utf8(column)
     n = len(column)
     size = np.diff(at)
@@ -64,8 +66,8 @@ def statistics(column: pa.Array) -> np.ndarray:
     for i, x in enumerate((
             np.log1p(size), odds(per_text(kind == 1), size), odds(per_text(kind == 2), size),
             odds(per_text(kind == 3), size), odds(per_word(again), count), odds(np.bincount(doc[order][new], minlength=n), count),
-            odds(per_word(bare), count), np.log1p(size / np.maximum(count, 1)), odds(per_text(data == 46), count + 1),
-            odds(per_text(data == 10), count + 1), odds(most, count))):
+            odds(per_word(bare), count), np.log1p(size / np.maximum(count, 1)), odds(per_text(data == 46), size),
+            odds(per_text(data == 10), size), odds(most, count))):
         out[:, i] = x
     return out
 
