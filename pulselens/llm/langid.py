@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import SLICE_BYTES, ship_package
-from .textkit import NON_LETTERS, slices, utf8, word_hashes, words
+from .textkit import NON_LETTERS, distinct, slices, utf8, words
 
 #: Probability of a single byte that no piece explains, the same in all languages.
 BYTE_FLOOR = 1e-7
@@ -91,6 +91,33 @@ def _by_length(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield rows, np.frombuffer(raw, np.uint8).reshape(len(rows), -1)
 
 
+#: Bytes of a word that are segmented together; a longer word is a sequence of such parts.
+PART = 64
+
+
+def parts(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every part of the words, and the word each belongs to.
+
+    A word of at most ``PART`` bytes is one part.  A longer one is cut after that many bytes, or up to three before, so
+    that no character is cut; its pieces do not reach over a cut, which keeps unbroken texts linear.
+    """
+    long = np.flatnonzero(e - s > PART)
+    if not len(long):
+        return s, e, np.arange(len(s))
+    cuts, owner = [], []
+    for w in long.tolist():
+        at = np.arange(s[w] + PART, e[w], PART)
+        for _ in range(3):  # back to the first byte of a character
+            at = np.where((data[at] & 0xC0) == 0x80, at - 1, at)
+        cuts.append(at)
+        owner.append(np.full(len(at), w))
+    start, word = np.concatenate([s, *cuts]), np.concatenate([np.arange(len(s)), *owner])
+    order = np.lexsort((start, word))
+    start, word = start[order], word[order]
+    last = np.append(word[1:] != word[:-1], True)
+    return start, np.where(last, e[word], np.append(start[1:], 0)), word
+
+
 def forward(trie: Trie, prob: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """Log-likelihood of each text (with its leading space) in each language, over all segmentations."""
     out = np.zeros((len(texts), prob.shape[1]))
@@ -122,14 +149,14 @@ def _advance(alpha: np.ndarray, scale: np.ndarray, at: int, longest: int) -> int
 def fit(counts: dict[str, dict[bytes, int]], pieces: list[bytes], rounds: int = 3) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the probability of every piece in each, from word counts by EM over all segmentations.
 
-    The training words are shorter than 64 bytes; longer ones add nothing to the estimate.
+    The words are parts (see ``parts``), with a leading space where a word begins.
     """
     trie = Trie(pieces)
     langs = sorted(counts)
-    every = sorted({w for c in counts.values() for w in c if len(w) < 64})
+    every = sorted({w for c in counts.values() for w in c})
     weight = np.array([[counts[x].get(w, 0) for x in langs] for w in every], float).reshape(len(every), len(langs))
     groups = []
-    for rows, text in _by_length([b" " + w for w in every]):
+    for rows, text in _by_length(every):
         groups.append((rows, text.shape, list(trie.spans(text))))
     prob = np.full((len(pieces), len(langs)), 1 / max(1, len(pieces)))
     for _ in range(rounds):
@@ -159,6 +186,11 @@ def fit(counts: dict[str, dict[bytes, int]], pieces: list[bytes], rounds: int =
     return langs, prob
 
 
+def _spelt(data: np.ndarray, start: np.ndarray, end: np.ndarray, head: np.ndarray) -> list[bytes]:
+    """Parts as bytes, with a leading space where a word begins."""
+    return [b" " * h + data[x:y].tobytes() for x, y, h in zip(start.tolist(), end.tolist(), head.tolist())]
+
+
 def word_counts(docs: DataFrame, docs_per_lang: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """``(lang, word, n)`` over a bounded sample: of each language the rows whose hash falls in the share of all hashes
     that ``docs_per_lang`` is of its rows (all rows of a smaller language); rows that repeat count once."""
@@ -174,10 +206,9 @@ def word_counts(docs: DataFrame, docs_per_lang: int, id_col: str, text_col: str,
                 data, at = utf8(pc.utf8_lower(b.column(1)))
                 s, e, first = words(data, at, NON_LETTERS)
                 lang = np.repeat(np.asarray(b.column(0).to_pylist(), object), np.diff(first))
-                raw = data.tobytes()
+                x, y, word = parts(data, s, e)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array([raw[x:y] for x, y in zip(s.tolist(), e.tolist())], pa.binary())],
-                    names=["lang", "word"])
+                    [pa.array(lang[word], pa.string()), pa.array(_spelt(data, x, y, x == s[word]), pa.binary())], names=["lang", "word"])
 
     return (top.select("lang", "text").mapInArrow(run, "lang string, word binary")
             .groupBy("lang", "word").agg(F.count("*").alias("n")))
@@ -195,28 +226,29 @@ def learn(docs: DataFrame, pieces: list[bytes], docs_per_lang: int = 250, rounds
 
 
 class _Scorer:
-    """Scores texts; remembers the likelihoods of up to ``room`` distinct words by hash."""
+    """Scores texts; remembers the likelihoods of up to ``room`` distinct parts of words by two hashes."""
 
-    def __init__(self, model: tuple[list[bytes], list[str], np.ndarray], room: int = 400_000):
+    def __init__(self, model: tuple[list[bytes], list[str], np.ndarray], room: int = 200_000):
         pieces, self.langs, self.prob = model
         self.trie, self.room = Trie(pieces), room
-        self.key, self.value = np.zeros(0, np.uint64), np.zeros((0, len(self.langs)), np.float32)
+        self.key = self.check = np.zeros(0, np.uint64)
+        self.value = np.zeros((0, len(self.langs)), np.float32)
 
-    def words(self, h: np.ndarray, spell) -> np.ndarray:
-        """Log-likelihoods of the distinct hashes ``h`` (sorted); ``spell(i)`` gives the i-th word's bytes."""
+    def likelihoods(self, h: np.ndarray, check: np.ndarray, spell) -> np.ndarray:
+        """Log-likelihoods of the parts with the ascending hashes ``h``; ``spell(rows)`` gives their bytes."""
         at = np.minimum(np.searchsorted(self.key, h), max(len(self.key) - 1, 0))
-        have = self.key[at] == h if len(self.key) else np.zeros(len(h), bool)
+        have = (self.key[at] == h) & (self.check[at] == check) if len(self.key) else np.zeros(len(h), bool)
         out = np.empty((len(h), len(self.langs)), np.float32)
         out[have] = self.value[at[have]]
         new = np.flatnonzero(~have)
         if len(new):
-            out[new] = forward(self.trie, self.prob, [b" " + spell(i) for i in new.tolist()])
+            out[new] = forward(self.trie, self.prob, spell(new))
             if len(self.key) + len(new) > self.room:
-                self.key, self.value = h, out
+                self.key, self.check, self.value = h, check, out
             else:
-                key = np.concatenate([self.key, h[new]])
-                order = np.argsort(key)
-                self.key, self.value = key[order], np.concatenate([self.value, out[new]])[order]
+                at = np.searchsorted(self.key, h[new])
+                self.key, self.check = np.insert(self.key, at, h[new]), np.insert(self.check, at, check[new])
+                self.value = np.insert(self.value, at, out[new], axis=0)
         return out
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -227,11 +259,19 @@ class _Scorer:
         n = len(low)
         if not self.langs:
             return np.full(n, -1), np.zeros(n)
-        h, where, back = np.unique(word_hashes(data, s, e), return_index=True, return_inverse=True)
-        like = self.words(h, lambda i: data[s[where[i]]:e[where[i]]].tobytes())
-        total = np.zeros((len(s) + 1, len(self.langs)))
-        np.cumsum(like[back], axis=0, out=total[1:])
-        text = total[first[1:]] - total[first[:-1]]
+        start, end, word = parts(data, s, e)
+        head = start == s[word]
+        where, group, h, check = distinct(data, start, end, head)
+        order = np.argsort(h, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        where = where[order]
+        like = self.likelihoods(h[order], check[order], lambda rows: _spelt(data, *(x[where[rows]] for x in (start, end, head))))
+        edge = np.searchsorted(start, at)
+        text = np.zeros((n, len(self.langs)))
+        full = np.flatnonzero(np.diff(edge))
+        if len(full):
+            text[full] = np.add.reduceat(like[rank[group]], edge[full], axis=0, dtype=np.float64)
         best = text.argmax(axis=1)
         post = 1 / np.exp(text - text.max(axis=1, keepdims=True)).sum(axis=1)
         # bytes of non-ASCII characters count as letters above; only texts without ASCII letters need a closer look
@@ -260,7 +300,7 @@ def _judged(docs: DataFrame, model: tuple[list[bytes], list[str], np.ndarray], t
         scorer = _Scorer(shared.value)
         langs = np.array([*scorer.langs, "und"], object)
         for batch in batches:
-            for b in slices(batch, f"k{text}", SLICE_BYTES):
+            for b in slices(batch, f"k{text}", SLICE_BYTES >> 2):
                 best, post = scorer.texts(b.column(text))
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[:len(kept)], pa.array(langs[best], pa.string()), pa.array(np.asarray(post, float))],

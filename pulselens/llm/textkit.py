@@ -80,8 +80,10 @@ def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, at)
 
 
-def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words grouped exactly: the first word of each group, each word's group, and two hashes of each group.
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+             flag: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words grouped exactly: the first word of each group, each word's group, and two hashes of each group.  Words of
+    unequal ``flag``, where one is given, are not equal.
 
     The second hash is the length of words of up to eight bytes, whose first hash tells them apart at equal length.
     Where two words of the batch share the first hash and not the second, groups are made by the bytes themselves.
@@ -90,14 +92,19 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     check = (ends - starts).astype(U64)
     long = np.flatnonzero(check > 8)
     check[long] = word_hashes(data, starts[long], ends[long], 1)
+    if flag is not None:
+        h ^= flag.astype(U64) * U64(0x9FB21C651E98DF25)
+        check ^= flag.astype(U64) << U64(63)
     coded = pa.array(h).dictionary_encode()
     group = coded.indices.to_numpy().astype(np.int64)
     first = np.empty(len(coded.dictionary), np.int64)
     first[group[::-1]] = np.arange(len(group) - 1, -1, -1)
     if (check != check[first][group]).any():  # a shared first hash: group by the bytes themselves
         raw = data.tobytes()
-        seen: dict[bytes, int] = {}
-        group = np.fromiter((seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
+        seen: dict[tuple[bytes, bool], int] = {}
+        flags = [False] * len(starts) if flag is None else flag.tolist()
+        group = np.fromiter((seen.setdefault((raw[a:b], f), len(seen)) for a, b, f in zip(starts.tolist(), ends.tolist(), flags)),
+                            np.int64, len(starts))
         first = np.empty(len(seen), np.int64)
         first[group[::-1]] = np.arange(len(group) - 1, -1, -1)
     return first, group, h[first], check[first]

@@ -5,6 +5,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from pulselens.llm import chat, cws, htmltext, langid, quality, queries, stages, tokencount
+from pulselens.llm import chat, cws, htmltext, langid, quality, queries, stages, textkit, tokencount
 from tests.conftest import SF001
 from tests.llm.conftest import make_docs, sentence
 
@@ -67,6 +68,26 @@ def test_token_table(messy, none, messy_rows, library):
 
 # ---------------------------------------------------------------- language ID
 
+def test_parts_of_long_words():
+    texts = ["a" * 64, "b" * 65 + " c", "\u00e9" * 100, "\u65e5" * 50 + "x", "short"]
+    data, at = textkit.utf8(pa.array(texts))
+    s, e, _ = textkit.words(data, at, textkit.NON_LETTERS)
+    x, y, word = langid.parts(data, s, e)
+    assert (y - x <= langid.PART + 3).all() and (y > x).all() and len(set(word.tolist())) == len(s)
+    got = [data[a:b].tobytes().decode() for a, b in zip(x, y)]
+    assert ["".join(g for g, w in zip(got, word) if w == i) for i in range(len(s))] == [t for t in " ".join(texts).split()]
+
+
+def test_unbroken_texts_take_linear_time():
+    pieces = [b" ", *(bytes([c]) for c in range(97, 123)), b"ab", b" ab", b"\xe6\x97\xa5"]
+    scorer = langid._Scorer((pieces, ["x", "y"], np.full((len(pieces), 2), 1 / len(pieces))))
+    r = random.Random(4)
+    text = "".join(r.choice("ab\u65e5") for _ in range(500_000))
+    t0 = time.perf_counter()
+    best, post = scorer.texts(pa.array([text, "ab"]))
+    assert time.perf_counter() - t0 < 20 and best.tolist() == [0, 0] and post == pytest.approx([0.5, 0.5])
+
+
 def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(0)
     pieces = [b" ", b" a", b"a", b"ab", b"aba", b"b", b"ba"]
@@ -256,7 +277,7 @@ def plain_statistics(text):
     return [np.log1p(len(raw)), odds(len(sym), len(raw)), odds(len(re.findall("[A-Z]", text)), len(raw)),
             odds(len(re.findall("[0-9]", text)), len(raw)), odds(sum(a == b for a, b in zip(w, w[1:])), len(w)),
             odds(len(set(w)), len(w)), odds(sum(all(c in sym for c in x) for x in w), len(w)),
-            np.log1p(len(raw) / max(len(w), 1)), odds(text.count("."), len(w) + 1), odds(text.count("\n"), len(w) + 1),
+            np.log1p(len(raw) / max(len(w), 1)), odds(text.count("."), len(raw)), odds(text.count("\n"), len(raw)),
             odds(max(collections.Counter(w).values(), default=0), len(w))]
 
 
@@ -264,7 +285,28 @@ def test_statistics(messy_rows):
     texts = [t for _, t, _, _ in messy_rows] + ["a a a b!! ||| 12\nX.", "$$$ $$$"]
     got = quality.statistics(pa.array(texts))
     for t, row in zip(texts, got):
-        assert row == pytest.approx(plain_statistics(t or ""), nan_ok=True), t
+        assert row == pytest.approx(plain_statistics(t or "")), t
+
+
+DOTTED = [".....", "a...... b", "1.2.3.4.5.6.7.8 ...", "\n\n\n\n\n", "...\n...\n", "3.14", "."]
+
+
+@given(st.text(alphabet=".\n a1$A\u00e9", max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_statistics_are_finite(text):
+    assert np.isfinite(quality.statistics(pa.array([text, None]))).all()
+
+
+def test_texts_of_dots_change_no_other_score(spark, messy, messy_rows):
+    rows = [(i, t, None, None) for i, t, _, _ in messy_rows if i is not None and i < 50]
+    labels = [(i, i % 2) for i in range(40)]
+    more = rows + [(900 + i, t, None, None) for i, t in enumerate(DOTTED)]
+    score = lambda docs, marks: {r.doc_id: r.score for r in quality.score_quality(
+        make_docs(spark, docs), spark.createDataFrame(marks, "doc_id long, quality int"), stages.held_out(0, 5)).collect()}
+    before, after = score(rows, labels), score(more, labels + [(904, 1)])
+    assert all(0 <= x <= 1 for x in after.values()) and len(after) == len(more)
+    held = score(more, labels)
+    assert max(abs(held[i] - before[i]) for i in before) < 1e-9
 
 
 def test_discriminant_against_plain_formulas(spark):
