@@ -49,6 +49,19 @@ def test_word_hashes_do_not_depend_on_place():
     assert len({int(x) for x, n in zip(h, names) if n == big.encode()}) == 1
 
 
+def test_patterned_words_keep_apart(spark):
+    """Thue-Morse words and their mirrors cancel out in hashes that are sums of powers."""
+    import pyarrow as pa
+    bits = [i.bit_count() % 2 for i in range(4096)]
+    for n in (64, 256, 512, 1024, 4096):
+        one, two = "".join("ab"[b] for b in bits[:n]), "".join("ba"[b] for b in bits[:n])
+        data, at = textkit.utf8(pa.array([one, two]))
+        s, e, _ = textkit.words(data, at)
+        assert len(set(textkit.word_hashes(data, s, e).tolist())) == 2
+        docs = make_docs(spark, [(1, "w " * 12 + one, None, None), (2, "w " * 12 + two, None, None)])
+        assert [r.n_removed for r in substring.factors(docs).orderBy("doc_id").collect()] == [0, 0]
+
+
 # ---------------------------------------------------------------- SimHash
 
 def plain_fingerprint(text, k=4):
