@@ -79,3 +79,73 @@ def user_bucket(user: Column, n: int = 50, method: str = "md5") -> Column:
 
 def user_bucket_sql(user: str, n: int = 50) -> str:
     return f"CAST(CAST(('0x' || substr(md5(CAST({user} AS VARCHAR)), 1, 8)) AS BIGINT) % {n} AS INTEGER)"
+
+
+# ---- sums of many Poisson(1) weights ---------------------------------------------------------------
+
+#: Binary digits up to this one have a table; Poisson(2**b) of a higher one is close enough to normal for an expansion.
+TABLE_BITS = 10
+
+
+def poisson_table(bit: int) -> tuple[int, list[float]]:
+    """For X ~ Poisson(2**bit): the smallest value that u can tell from impossible, and P(X <= k) from there on, until the
+    rest is below the resolution of u."""
+    lam = float(2 ** bit)
+    p = lambda k: math.exp(k * math.log(lam) - lam - math.lgamma(k + 1))
+    wide = int(9 * math.sqrt(lam)) + 30
+    low = max(0, int(lam) - wide)
+    total, first, out = 0.0, None, []
+    for k in range(low, int(lam) + wide):
+        total += p(k)
+        if first is None and total >= 2.0 ** -U_BITS:
+            first = k
+        if first is not None:
+            out.append(min(total, 1.0))
+        if 1.0 - total < 2.0 ** -U_BITS:
+            break
+    return first, out
+
+
+def _normal_quantile(u: Column) -> Column:
+    """The inverse of the normal distribution function by Acklam's rational approximation (relative error 1.2e-9)."""
+    # fixed values of the approximation
+    a = (-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02, 1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00)
+    b = (-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02, 6.680131188771972e+01, -1.328068155288572e+01, 1.0)
+    c = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00, -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00)
+    d = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00, 1.0)
+
+    def poly(x: Column, co) -> Column:
+        out = F.lit(co[0])
+        for v in co[1:]:
+            out = out * x + F.lit(v)
+        return out
+
+    v = F.least(F.greatest(u, F.lit(2.0 ** -(U_BITS + 1))), F.lit(1.0 - 2.0 ** -(U_BITS + 1)))
+    side = F.least(v, F.lit(1.0) - v)
+    r = F.sqrt(F.lit(-2.0) * F.log(side))
+    tail = poly(r, c) / poly(r, d) * F.when(v < 0.5, F.lit(1.0)).otherwise(F.lit(-1.0))
+    m = v - F.lit(0.5)
+    return F.when(side < 0.02425, tail).otherwise(poly(m * m, a) * m / poly(m * m, b))
+
+
+def poisson_power_from_uniform(u: Column, bit: Column) -> Column:
+    """X ~ Poisson(2**bit) from u: by table up to ``TABLE_BITS``, beyond by the Cornish-Fisher expansion, whose mean and
+    variance are right to a few parts in a million there."""
+    out = None
+    for b in range(TABLE_BITS + 1):
+        first, cdf = poisson_table(b)
+        draw = F.size(F.filter(F.array(*[F.lit(c) for c in cdf]), lambda c: c <= u)) + F.lit(first)
+        out = F.when(bit == b, draw) if out is None else out.when(bit == b, draw)
+    lam = F.pow(F.lit(2.0), bit.cast("double"))
+    z, s = _normal_quantile(u), F.sqrt(lam)
+    wide = F.floor(lam + s * z + (z * z - 1) / 6 - (z * z * z - z) / (F.lit(72.0) * s) + F.lit(0.5))
+    return out.otherwise(F.greatest(wide, F.lit(0))).cast("bigint")
+
+
+def poisson_power_from_uniform_sql(u: str, bit: str) -> str:
+    """The same for the digits that have a table."""
+    arms = []
+    for b in range(TABLE_BITS + 1):
+        first, cdf = poisson_table(b)
+        arms.append(f"WHEN {b} THEN {first} + len(list_filter([{', '.join(f'{c!r}::DOUBLE' for c in cdf)}], lambda c: c <= {u}))")
+    return f"(CASE {bit} {' '.join(arms)} END)"

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselens.functions.hashing import poisson1_from_uniform, uniform, user_bucket
+from pulselens.functions.hashing import poisson1_from_uniform, poisson_power_from_uniform, uniform, user_bucket
 from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p, with_t_p_values
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import group_ctr, likes_expr, ratio, views_expr
@@ -174,6 +174,31 @@ def poisson_bootstrap(users: DataFrame, a, b, n_boot: int = 2000, partitions: in
                .withColumn("diff", F.col("ctr_b") - F.col("ctr_a")))
 
 
+def poisson_bootstrap_counts(users: DataFrame, a, b, n_boot: int = 2000, partitions: int | None = None,
+                             hash_method: str = "md5") -> DataFrame:
+    """X9 on sufficient statistics: the same replicates' distribution as ``poisson_bootstrap``, without a row a user.
+
+    A group's users of equal likes and views are one cell.  The weights of a cell of ``n`` users add up to a Poisson(n)
+    variable, drawn as a sum over the binary digits of ``n``: for each digit that is set, one Poisson(2**digit) from its
+    own uniform number.  Work is cells x replicates x digits: it depends on how many different users there are, not on how
+    many users.  Replicates are reproducible, but not those of ``poisson_bootstrap``, which hashes user ids.
+    """
+    g = F.col("exp_group")
+    cells = users.where(g.isin(a, b)).groupBy("exp_group", "likes", "views").agg(F.count(F.lit(1)).alias("n"))
+    cells = cells.repartition(partitions or _default_partitions(users), "exp_group", "likes", "views")
+    digits = F.filter(F.sequence(F.lit(0), F.lit(62)), lambda i: F.getbit("n", i) == 1)
+    x = cells.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"), digits.alias("_digits"))
+    x = x.select("exp_group", "likes", "views", "rep", F.explode("_digits").alias("digit"))
+    x = x.withColumn("_u", uniform("rep", "exp_group", "likes", "views", "digit", method=hash_method))
+    x = x.withColumn("_w", poisson_power_from_uniform(F.col("_u"), F.col("digit"))).drop("_u")
+    w = F.col("_w")
+    agg = x.groupBy("rep").agg(*[F.sum(F.when(g == F.lit(k), w * F.col(c))).alias(f"{c}_{n}")
+                                 for k, n in ((a, "a"), (b, "b")) for c in ("likes", "views")])
+    return (agg.withColumn("ctr_a", ratio("likes_a", "views_a"))
+               .withColumn("ctr_b", ratio("likes_b", "views_b"))
+               .withColumn("diff", F.col("ctr_b") - F.col("ctr_a")))
+
+
 def bootstrap_diff_ci(boot: DataFrame, level: float = 0.95) -> DataFrame:
     """Mean, percentile interval and sign shares of ``ctr_b - ctr_a``."""
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2

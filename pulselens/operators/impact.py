@@ -8,10 +8,10 @@ series keys (metric, metric x segment).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselens.functions.stats import normal_two_sided_p, t_two_sided_p
+from pulselens.functions.stats import normal_cdf_sql, normal_two_sided_p, t_two_sided_p
 from pulselens.functions.timeexpr import as_date
 from pulselens.operators.filters import fixed_period
 from pulselens.operators.metrics import daily_posts_dau, long_series, ratio
@@ -104,15 +104,8 @@ def _without_season(x: DataFrame, keys, season: int, p0) -> DataFrame:
     return x.withColumn("season", F.when(F.col("_all") >= 2 * season, F.col("_eff") - centre).otherwise(F.lit(0.0)))
 
 
-def impact_local_level(long_df: DataFrame, pre, post, keys=("metric",), season: int | None = None) -> DataFrame:
-    """Local-level model (a random-walk level plus noise) fitted on the
-    pre-period of every series by maximum likelihood over the variance grid;
-    forecast of the post-period with a 95 % interval for its mean, effect,
-    cumulative effect and a two-sided p-value of the summed effect.
-    ``season=7`` adds weekly effects (estimated on the pre-period, removed
-    before the filter, added back to the forecast).  Series with fewer than
-    three pre-period days or no post-period day get NULL results."""
-    keys = list(keys)
+def _local_level_grid(long_df: DataFrame, pre, post, keys, season: int | None) -> tuple[DataFrame, DataFrame, Column]:
+    """Each series' sums, its filter for every pair of variances of the grid, and whether a series can be fitted."""
     (p0, p1), (q0, q1) = _periods(pre, post)
     d = F.col("date")
     x = (long_df.where(F.col("value").isNotNull())
@@ -138,6 +131,19 @@ def impact_local_level(long_df: DataFrame, pre, post, keys=("metric",), season:
              .withColumn("r", obs * F.col("scale")).withColumn("q", level * F.col("scale"))
              .withColumn("fit", F.expr(f"aggregate(slice(ys, 2, size(ys)), named_struct('ll', 0D, 'mu', ys[0], "
                                        f"'p', r * 1000D), (acc, y) -> {_STEP})")))
+    return s, grid, able
+
+
+def impact_local_level(long_df: DataFrame, pre, post, keys=("metric",), season: int | None = None) -> DataFrame:
+    """Local-level model (a random-walk level plus noise) fitted on the
+    pre-period of every series by maximum likelihood over the variance grid;
+    forecast of the post-period with a 95 % interval for its mean, effect,
+    cumulative effect and a two-sided p-value of the summed effect.
+    ``season=7`` adds weekly effects (estimated on the pre-period, removed
+    before the filter, added back to the forecast).  Series with fewer than
+    three pre-period days or no post-period day get NULL results."""
+    keys = list(keys)
+    s, grid, able = _local_level_grid(long_df, pre, post, keys, season)
     best = grid.groupBy(*keys).agg(F.max_by(F.struct("fit.mu", "fit.p", "r", "q"),
                                             F.struct(F.col("fit.ll"), -F.col("i"), -F.col("j"))).alias("b"))
     h, r, q = F.col("n_post").cast("double"), F.col("b.r"), F.col("b.q")
@@ -155,3 +161,57 @@ def impact_local_level(long_df: DataFrame, pre, post, keys=("metric",), season:
                       ratio(F.col("abs_effect"), F.col("predicted")).alias("rel_effect"), "cum_actual", "cum_predicted",
                       normal_two_sided_p(F.col("z")).alias("p_value"), F.sqrt(r).alias("sigma_obs"),
                       F.sqrt(q).alias("sigma_level"))
+
+
+# ---- Y3: posterior over the variances ----------------------------------------------------
+
+#: Halvings of the bracket of a quantile.
+HALVINGS = 50
+
+
+def impact_posterior(long_df: DataFrame, pre, post, keys=("metric",), season: int | None = None, level: float = 0.95) -> DataFrame:
+    """Y3 with the uncertainty of the variances: the local-level model averaged over its whole grid.
+
+    Every pair of variances is weighted by its likelihood on the pre-period under a prior that is flat on the grid, i.e. on
+    the logarithms of both variances (and one point without level noise).  The post-period's mean, had nothing happened,
+    then has a mixture of normal distributions: ``predicted`` is its mean, ``pred_low`` and ``pred_high`` its quantiles (by
+    bisection), ``p_tail`` the smaller of the probabilities of a mean as high, or as low, as the actual one, and
+    ``prob_effect`` is 1 - ``p_tail``.  Cumulative values are those of the mean times the days.  Series with fewer than
+    three pre-period days or no post-period day get NULL results.
+
+    ``impact_local_level`` takes the best pair for certain; on a short series whose best pair has little level noise this
+    interval is the wider one.
+    """
+    keys = list(keys)
+    s, grid, _ = _local_level_grid(long_df, pre, post, keys, season)
+    sums = s.select(*keys, F.col("n_post").cast("double").alias("h"), F.col("season").alias("_season"))
+    var = "h * h * fit.p + q * h * (h + 1) * (2 * h + 1) / 6 + h * r"
+    pairs = grid.join(sums, keys).select(*keys, "i", "j", F.col("fit.ll").alias("ll"), (F.col("fit.mu") + F.col("_season")).alias("mean"),
+                                         F.expr(f"sqrt({var}) / h").alias("sd"))
+    fits = pairs.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "j", "ll", "mean", "sd"))).alias("c"), F.max("ll").alias("top"),
+                                    F.min(F.expr("mean - 10D * sd")).alias("lo"), F.max(F.expr("mean + 10D * sd")).alias("hi"))
+    fits = fits.withColumn("c", F.expr("transform(c, x -> named_struct('w', exp(x.ll - top), 'mean', x.mean, 'sd', x.sd))"))
+    fits = fits.withColumn("all", F.expr("aggregate(c, 0D, (a, x) -> a + x.w)"))
+
+    def below(x: str) -> str:
+        return f"aggregate(c, 0D, (a, x) -> a + x.w * {normal_cdf_sql(f'(({x}) - x.mean) / x.sd', 'D')}) / all"
+
+    def quantile(q: float) -> Column:
+        mid = "(b.lo + b.hi) / 2D"
+        return F.expr(f"aggregate(sequence(1, {HALVINGS}), named_struct('lo', lo, 'hi', hi), (b, k) -> "
+                      f"if({below(mid)} < {q!r}D, named_struct('lo', {mid}, 'hi', b.hi), named_struct('lo', b.lo, 'hi', {mid})), "
+                      f"b -> (b.lo + b.hi) / 2D)")
+
+    fits = fits.withColumn("predicted", F.expr("aggregate(c, 0D, (a, x) -> a + x.w * x.mean) / all"))
+    fits = fits.withColumn("pred_low", quantile((1 - level) / 2)).withColumn("pred_high", quantile(1 - (1 - level) / 2))
+    x = s.join(fits, keys, "left")
+    known = F.col("predicted").isNotNull()
+    x = (x.withColumn("actual", F.when(known, F.col("actual"))).withColumn("cum_actual", F.when(known, F.col("cum_actual")))
+          .withColumn("_below", F.when(known, F.expr(below("actual")))).withColumn("p_tail", F.least("_below", 1 - F.col("_below"))))
+    n = F.col("n_post")
+    return x.select(*keys, "n_pre", "n_post", "actual", "predicted", "pred_low", "pred_high",
+                    (F.col("actual") - F.col("predicted")).alias("abs_effect"), (F.col("actual") - F.col("pred_high")).alias("effect_low"),
+                    (F.col("actual") - F.col("pred_low")).alias("effect_high"),
+                    ratio(F.col("actual") - F.col("predicted"), F.col("predicted")).alias("rel_effect"), "cum_actual",
+                    (F.col("predicted") * n).alias("cum_predicted"), (F.col("pred_low") * n).alias("cum_low"),
+                    (F.col("pred_high") * n).alias("cum_high"), "p_tail", (1 - F.col("p_tail")).alias("prob_effect"))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulselens.functions import bins, hashing, timeexpr
-from pulselens.operators import anomaly, etl, experiments, filters, impact, lifecycle, metrics, ranking, retention
+from pulselens.operators import anomaly, etl, experiments, filters, impact, lifecycle, metrics, ranking, retention, rollups
 from pulselens.plans import params as P
+from pulselens.session import shared_dir
 from pulselens.sources import tables
 
 
@@ -436,6 +437,26 @@ def _(spark, sf):
     return metrics.dau_by_slice(_feed(spark, sf))
 
 
+@q("weekly_lifecycle_sketch")
+def _(spark, sf):
+    o = _orders(spark, sf)
+    path = rollups.write_rollup(rollups.weekly_sketches(o), shared_dir(spark, "week-sketches"), "week")
+    as_of = o.select(F.date_add(F.to_date(F.max("time")), 1)).scalar()
+    return rollups.sketch_lifecycle_check(o, spark.read.parquet(path), as_of)
+
+
+@q("users_by_period_bitmap")
+def _(spark, sf):
+    path = rollups.write_rollup(rollups.user_bitmaps(_feed(spark, sf)), shared_dir(spark, "user-bitmaps"))
+    return rollups.period_users(spark.read.parquet(path), P.PERIODS)
+
+
+@q("dau_by_slice_bitmap")
+def _(spark, sf):
+    path = rollups.write_rollup(rollups.user_bitmaps(_feed(spark, sf), ("os", "source")), shared_dir(spark, "user-bitmaps"))
+    return rollups.bitmap_users(spark.read.parquet(path), ["date", "os", "source"])
+
+
 @q("campaign_cohort_followup")
 def _(spark, sf):
     return retention.campaign_cohort_followup(_feed(spark, sf), P.CAMPAIGN_DAY, "ads")
@@ -566,6 +587,11 @@ def _(spark, sf):
     return round_doubles(experiments.poisson_bootstrap(_ab_users(spark, sf), *P.AB_GROUPS, P.N_BOOT))
 
 
+@q("ab_bootstrap_counts")
+def _(spark, sf):
+    return round_doubles(experiments.poisson_bootstrap_counts(_ab_users(spark, sf), *P.AB_GROUPS, P.N_BOOT))
+
+
 @q("ab_bootstrap_diff_ci")
 def _(spark, sf):
     boot = experiments.poisson_bootstrap(_ab_users(spark, sf), *P.AB_GROUPS, P.N_BOOT)
@@ -642,6 +668,11 @@ def _(spark, sf):
     return round_doubles(impact.impact_local_level(_impact_days(spark, sf), P.PRE, P.POST))
 
 
+@q("impact_posterior")
+def _(spark, sf):
+    return round_doubles(impact.impact_posterior(_impact_days(spark, sf), P.PRE, P.POST))
+
+
 @q("kpi_15min")
 def _(spark, sf):
     return anomaly.kpi_15min(_feed(spark, sf), _msgs(spark, sf), P.AS_OF_TS)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pulselens.functions.bins import AGE_LABELS, cut_sql
-from pulselens.functions.hashing import md5_uniform_sql, poisson1_from_uniform_sql, user_bucket_sql
+from pulselens.functions.hashing import md5_uniform_sql, poisson1_from_uniform_sql, poisson_power_from_uniform_sql, user_bucket_sql
 from pulselens.functions.stats import normal_two_sided_p_sql, t_two_sided_p_sql
 from pulselens.plans import params as P
 
@@ -763,6 +763,29 @@ FROM feed_actions"""
 SELECT CAST(date_trunc('week', time) AS DATE) AS week, count(DISTINCT user_id) AS users, true AS within_3_rsd
 FROM feed_actions GROUP BY 1"""
     O["impact_local_level"] = local_level_sql(impact_long, in_pre, in_post)
+    O["impact_posterior"] = posterior_sql(impact_long, in_pre, in_post)
+    u = md5_uniform_sql("rep", "exp_group", "likes", "views", "digit")
+    O["ab_bootstrap_counts"] = f"""{ab},
+cell AS (SELECT exp_group, likes, views, count(*) AS n FROM u WHERE exp_group IN ({P.AB_GROUPS[0]}, {P.AB_GROUPS[1]}) GROUP BY 1, 2, 3),
+dr AS (SELECT CAST(rep AS INTEGER) AS rep, exp_group, likes, views, digit, {u} AS x
+       FROM cell, range(1, {P.N_BOOT + 1}) r(rep), range(0, 11) z(digit) WHERE (n >> digit) & 1 = 1),
+wt AS (SELECT *, {poisson_power_from_uniform_sql('x', 'digit')} AS w FROM dr),
+sm AS (SELECT rep, CAST(sum(w * likes) FILTER (exp_group = {P.AB_GROUPS[0]}) AS BIGINT) AS likes_a,
+              CAST(sum(w * views) FILTER (exp_group = {P.AB_GROUPS[0]}) AS BIGINT) AS views_a,
+              CAST(sum(w * likes) FILTER (exp_group = {P.AB_GROUPS[1]}) AS BIGINT) AS likes_b,
+              CAST(sum(w * views) FILTER (exp_group = {P.AB_GROUPS[1]}) AS BIGINT) AS views_b FROM wt GROUP BY rep)
+SELECT rep, likes_a, views_a, likes_b, views_b, round(likes_a / nullif(views_a, 0), 6) AS ctr_a,
+       round(likes_b / nullif(views_b, 0), 6) AS ctr_b,
+       round(likes_b / nullif(views_b, 0) - likes_a / nullif(views_a, 0), 6) + 0.0 AS diff FROM sm"""
+    O["weekly_lifecycle_sketch"] = (f"SELECT this_week, previous_week, status, num_users, true AS within_4_errors "
+                                    f"FROM ({O['weekly_lifecycle']})")
+    wanted = ", ".join(f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in P.PERIODS)
+    O["users_by_period_bitmap"] = f"""{F_},
+pd(period, a, b) AS (VALUES {wanted})
+SELECT period, os, grouping(os) = 1 AS all_slices, count(DISTINCT user_id) AS users
+FROM feed_actions JOIN pd ON CAST(time AS DATE) BETWEEN a AND b GROUP BY GROUPING SETS ((period, os), (period))"""
+    O["dau_by_slice_bitmap"] = f"""{F_}
+SELECT CAST(time AS DATE) AS date, os, source, count(DISTINCT user_id) AS users FROM feed_actions GROUP BY 1, 2, 3"""
     return O
 
 
@@ -803,6 +826,36 @@ SELECT metric, n_pre, n_post, {rnd(['actual', 'predicted'])},
        round(sqrt(r), 6) AS sigma_obs, round(sqrt(q), 6) AS sigma_level FROM z"""
 
 
+def posterior_sql(long_ctes: str, in_pre: str, in_post: str, level: float = 0.95) -> str:
+    """The mixture over the grid: the recursion of ``local_level_sql`` up to its ``best``, then weights and bisection."""
+    from pulselens.functions.stats import normal_cdf_sql
+    from pulselens.operators.impact import HALVINGS
+    head = local_level_sql(long_ctes, in_pre, in_post).split("best AS (", 1)[0]
+    below = lambda x: (f"list_sum(list_transform(cs, lambda x: x.w * {normal_cdf_sql(f'(({x}) - x.mean) / x.sd')})) / total")
+    return head + f"""cp AS (
+  SELECT k.metric, ll, k.mu AS mean, i, j, n_pre, n_post,
+         sqrt(n_post * n_post * p + q * n_post * (n_post + 1) * (2 * n_post + 1) / 6.0::DOUBLE + n_post * r) / n_post AS sd
+  FROM k JOIN s ON s.metric = k.metric AND k.t = s.n_pre),
+wt AS (SELECT *, exp(ll - max(ll) OVER (PARTITION BY metric)) AS w FROM cp),
+mx AS (SELECT metric, list({{'w': w, 'mean': mean, 'sd': sd}} ORDER BY i, j) AS cs, sum(w) AS total, sum(w * mean) / sum(w) AS predicted,
+              min(mean - 10.0::DOUBLE * sd) AS lo, max(mean + 10.0::DOUBLE * sd) AS hi FROM wt GROUP BY metric),
+bi(metric, target, n, cs, total, lo, hi) AS (
+  SELECT metric, target, 0, cs, total, lo, hi FROM mx, (VALUES ({(1 - level) / 2!r}::DOUBLE), ({1 - (1 - level) / 2!r}::DOUBLE)) v(target)
+  UNION ALL
+  SELECT metric, target, n + 1, cs, total, CASE WHEN {below('(lo + hi) / 2.0::DOUBLE')} < target THEN (lo + hi) / 2.0::DOUBLE ELSE lo END,
+         CASE WHEN {below('(lo + hi) / 2.0::DOUBLE')} < target THEN hi ELSE (lo + hi) / 2.0::DOUBLE END
+  FROM bi WHERE n < {HALVINGS}),
+qt AS (SELECT metric, min((lo + hi) / 2.0::DOUBLE) AS pred_low, max((lo + hi) / 2.0::DOUBLE) AS pred_high FROM bi WHERE n = {HALVINGS} GROUP BY metric),
+f AS (SELECT s.metric, n_pre, n_post, predicted, pred_low, pred_high, CASE WHEN predicted IS NOT NULL THEN actual END AS actual,
+             CASE WHEN predicted IS NOT NULL THEN cum_actual END AS cum_actual, {below('actual')} AS b
+      FROM s LEFT JOIN mx USING (metric) LEFT JOIN qt USING (metric))
+SELECT metric, n_pre, n_post, {rnd(['actual', 'predicted', 'pred_low', 'pred_high'])}, round(actual - predicted, 6) + 0.0 AS abs_effect,
+       round(actual - pred_high, 6) + 0.0 AS effect_low, round(actual - pred_low, 6) + 0.0 AS effect_high,
+       round((actual - predicted) / nullif(predicted, 0), 6) + 0.0 AS rel_effect, {rnd(['cum_actual'])},
+       round(predicted * n_post, 6) AS cum_predicted, round(pred_low * n_post, 6) AS cum_low, round(pred_high * n_post, 6) AS cum_high,
+       round(least(b, 1 - b), 6) AS p_tail, round(1 - least(b, 1 - b), 6) AS prob_effect FROM f"""
+
+
 def _sround(expr: str, digits: str) -> str:
     """Spark's ``round``: HALF_UP on the shortest decimal text of the double.
     DuckDB rounds ``x * 10^d`` in binary (0.285 -> 0.28 where Spark gives

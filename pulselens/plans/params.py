@@ -30,3 +30,7 @@ HIST_BINS = {       # distribution -> (first bin's start, width)
     "bootstrap_ctr": (0.0, 0.005), "bootstrap_diff": (0.0, 0.005), "aa_p_value": (0.0, 0.05),
 }
 ROUND = 6
+PERIODS = [         # periods of days whose distinct users come from stored bitmaps; they overlap
+    ("first_week", dt.date(2024, 1, 1), dt.date(2024, 1, 7)), ("second_week", dt.date(2024, 1, 8), dt.date(2024, 1, 14)),
+    ("fortnight", dt.date(2024, 1, 1), dt.date(2024, 1, 14)), ("month", dt.date(2024, 1, 1), dt.date(2024, 1, 31)),
+]

@@ -109,10 +109,10 @@ def alert_kpi_stream(tagged: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return per_win.select(*_window_columns("window"), "likes", "views", _ctr(), "users_feed", "users_message", "sent_messages")
 
 
-def _run(df: DataFrame, base: str, on_batch=None):
+def _run(df: DataFrame, base: str, on_batch=None, mode: str = "append"):
     """Process the input that is available and not yet done, under ``base``; returns the ended query."""
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    w = df.writeStream.outputMode("append").option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
     q = w.foreachBatch(on_batch).start() if on_batch else w.format("parquet").start(f"{base}/data")
     q.awaitTermination()
     return q

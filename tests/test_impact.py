@@ -92,3 +92,59 @@ def test_local_level_against_plain_kalman(spark):
         assert x.predicted == pytest.approx(mu) and x.sigma_obs == pytest.approx(math.sqrt(r))
         assert x.pred_high - x.predicted == pytest.approx(1.959963984540054 * math.sqrt(var) / h)
         assert x.p_value == pytest.approx(math.erfc(abs(sum(post) - mu * h) / math.sqrt(2 * var)), abs=1e-6)
+
+
+def _series(spark, values, name="m"):
+    import datetime as dt
+    return spark.createDataFrame([(name, dt.date(2024, 1, 1) + dt.timedelta(days=i), float(v)) for i, v in enumerate(values)],
+                                 "metric string, date date, value double")
+
+
+def test_posterior_widens_the_interval_of_a_short_series(spark):
+    from pulselens.operators import impact
+    # the likeliest pair has no level noise; the others, which are nearly as likely, have some
+    long_df = _series(spark, [10, 13, 9, 12, 10, 30, 31])
+    pre, post = ("2024-01-01", "2024-01-05"), ("2024-01-06", "2024-01-07")
+    one, = impact.impact_local_level(long_df, pre, post).collect()
+    all_, = impact.impact_posterior(long_df, pre, post).collect()
+    assert one.sigma_level < 0.2 * one.sigma_obs
+    assert all_.pred_high - all_.pred_low > 1.1 * (one.pred_high - one.pred_low)
+    assert all_.pred_low < all_.predicted < all_.pred_high
+    assert all_.effect_low == all_.actual - all_.pred_high and 0 <= all_.p_tail < 0.05
+
+
+def test_posterior_against_the_plain_mixture(spark):
+    import math
+
+    import numpy as np
+
+    from pulselens.operators import impact
+    values = [5.0, 7.0, 6.5, 6.0, 8.0, 7.5, 7.0, 9.0, 8.5, 8.0]
+    pre, post = ("2024-01-01", "2024-01-07"), ("2024-01-08", "2024-01-10")
+    got, = impact.impact_posterior(_series(spark, values), pre, post).collect()
+    y, h = values[:7], 3
+    scale = np.var(y, ddof=1)
+    comps = []
+    for i in range(impact.OBS_STEPS):
+        for j in range(impact.LEVEL_STEPS + 1):
+            r = scale * 10 ** (-4 + i * 4.5 / (impact.OBS_STEPS - 1))
+            q = scale * (0 if j == 0 else 10 ** (-5 + (j - 1) * 5 / (impact.LEVEL_STEPS - 1)))
+            mu, p, ll = y[0], r * 1000, 0.0
+            for v in y[1:]:
+                f = p + q + r
+                ll -= 0.5 * (math.log(2 * math.pi * f) + (v - mu) ** 2 / f)
+                mu, p = mu + (p + q) / f * (v - mu), (1 - (p + q) / f) * (p + q)
+            comps.append((ll, mu, math.sqrt(h * h * p + q * h * (h + 1) * (2 * h + 1) / 6 + h * r) / h))
+    top = max(c[0] for c in comps)
+    w = np.array([math.exp(c[0] - top) for c in comps])
+    w /= w.sum()
+    cdf = lambda x: sum(a * 0.5 * math.erfc((m - x) / (s * math.sqrt(2))) for a, (_, m, s) in zip(w, comps))
+    assert abs(got.predicted - sum(a * m for a, (_, m, _) in zip(w, comps))) < 1e-9
+    assert abs(cdf(got.pred_low) - 0.025) < 1e-6 and abs(cdf(got.pred_high) - 0.975) < 1e-6
+    assert abs(got.p_tail - min(cdf(got.actual), 1 - cdf(got.actual))) < 1e-6
+
+
+def test_posterior_without_enough_days_is_null(spark):
+    from pulselens.operators import impact
+    got, = impact.impact_posterior(_series(spark, [1, 2, 3]), ("2024-01-01", "2024-01-02"), ("2024-01-03", "2024-01-03")).collect()
+    assert got.n_pre == 2 and got.predicted is None and got.p_tail is None and got.actual is None

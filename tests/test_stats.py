@@ -219,3 +219,55 @@ def test_xxhash_buckets(spark):
     assert set(got) == set(range(50)) and max(got.values()) <= 1.2 * 1000 and min(got.values()) >= 0.8 * 1000
     again = spark.range(10).select(user_bucket(F.col("id"), 50, "xxhash64").alias("b")).collect()
     assert again == spark.range(10).repartition(3).orderBy("id").select(user_bucket(F.col("id"), 50, "xxhash64").alias("b")).collect()
+
+
+# ---- bootstrap on sufficient statistics ---------------------------------------------------------
+
+def test_poisson_tables_are_the_distribution():
+    import math
+
+    from pulselens.functions.hashing import TABLE_BITS, poisson_table
+    for bit in (0, 3, TABLE_BITS):
+        lam = 2 ** bit
+        first, cdf = poisson_table(bit)
+        p = [cdf[0]] + [b - a for a, b in zip(cdf, cdf[1:])]
+        mean = sum((first + k) * x for k, x in enumerate(p))
+        var = sum((first + k - lam) ** 2 * x for k, x in enumerate(p))
+        assert abs(mean - lam) < 1e-9 * lam and abs(var - lam) < 1e-6 * lam
+        assert abs(cdf[lam - first] - math.fsum(math.exp(k * math.log(lam) - lam - math.lgamma(k + 1)) for k in range(lam + 1))) < 1e-12
+
+
+def test_draws_of_every_digit_have_poisson_mean_and_variance(spark):
+    from pyspark.sql import functions as F
+
+    from pulselens.functions.hashing import poisson_power_from_uniform
+    n = 4000
+    grid = spark.range(n).selectExpr("(id + 0.5D) / 4000D as u", "explode(array(0, 1, 2, 5, 10, 11, 16, 24)) as bit")
+    got = grid.withColumn("x", poisson_power_from_uniform(F.col("u"), F.col("bit"))).groupBy("bit").agg(F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+    for r in got.collect():
+        lam = 2.0 ** r.bit
+        assert abs(r.m - lam) < 0.02 * lam ** 0.5 + 1e-9 * lam and abs(r.v / lam - 1) < 0.02, r
+
+
+def test_count_bootstrap_has_the_moments_of_the_user_bootstrap(spark):
+    from pyspark.sql import functions as F
+
+    from pulselens.operators import experiments
+    users = spark.range(3000).selectExpr("cast(id % 2 as int) as exp_group", "id as user_id", "id % 3 as likes", "4L + id % 2 as views")
+    boot = experiments.poisson_bootstrap_counts(users, 0, 1, 600).agg(
+        F.count("*").alias("n"), F.avg("views_a").alias("m"), F.var_samp("views_a").alias("v"), F.corr("likes_a", "views_a").alias("c"),
+        F.corr("views_a", "views_b").alias("between")).first()
+    assert boot.n == 600
+    # 1500 users of four views: the sum of Poisson weights times four
+    assert abs(boot.m - 6000) < 4 * (1500 * 16 / 600) ** 0.5 and abs(boot.v / (1500 * 16) - 1) < 0.25
+    assert boot.c > 0.5 and abs(boot.between) < 0.2
+
+
+def test_count_bootstrap_work_does_not_follow_the_users(spark):
+    from pulselens.operators import experiments
+    small = spark.range(1000).selectExpr("0 as exp_group", "id as user_id", "1L as likes", "2L as views")
+    large = spark.range(1_000_000).selectExpr("0 as exp_group", "id as user_id", "1L as likes", "2L as views")
+    for users, n in ((small, 1000), (large, 1_000_000)):
+        got = experiments.poisson_bootstrap_counts(users, 0, 1, 50).collect()
+        assert len(got) == 50 and all(abs(r.likes_a - n) < 6 * n ** 0.5 and r.views_a == 2 * r.likes_a for r in got)
+        assert all(r.likes_b is None for r in got)
