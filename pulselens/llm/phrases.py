@@ -122,6 +122,26 @@ class _Scan:
         return np.flatnonzero(out)
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    """What summaries and filters keep of a hash: its upper 48 bits.  N-grams that share them are merely counted as one in
+    the first pass, so more may survive."""
+    return h & U64(0xFFFFFFFFFFFF0000)
+
+
+def _coded(key: np.ndarray) -> bytes:
+    """Ascending short hashes: the first, then steps of as many bytes as the widest asks for."""
+    step = np.diff(key >> U64(16))
+    width = max(1, -(-int(step.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + key[:1].tobytes() + step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _decoded(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    step = np.zeros((1 + (len(raw) - 9) // width, 8), np.uint8)
+    step[1:, :width] = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
+    return (np.cumsum(step.view("<u8")[:, 0], dtype=U64) << U64(16)) + np.frombuffer(raw, U64, 1, 1)
+
+
 def _merged(held: list[tuple[np.ndarray, np.ndarray]], most: int) -> tuple[np.ndarray, np.ndarray]:
     key, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
     return key, np.minimum(np.bincount(back, np.concatenate([n for _, n in held]), len(key)), most).astype(np.int64)
@@ -135,7 +155,7 @@ def _passing(scan: _Scan, filters: list[np.ndarray], n: int, pairs: np.ndarray |
     """Places of the n-grams that the filters hold (the first has words and pairs, the second longer ones)."""
     place = scan.words() if n == 1 else scan.pairs() if n == 2 else scan.longer(pairs, n)
     bits = filters[0 if n < 3 else 1]
-    h = scan.key(place, n)
+    h = _short(scan.key(place, n))
     return place[bloom.holds(bits, h, bloom.block_of(h, len(bits) * 8 // bloom.BLOCK_BITS))]
 
 
@@ -156,7 +176,7 @@ def _survivors(texts: DataFrame, sizes: tuple[int, ...], threshold: int, filter_
         total = np.concatenate([[0], np.cumsum(n)])
         rows = [(p, 0, int(total[b] - total[a]), b"", b"") for p, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
         for p, (a, b) in enumerate(zip(edge.tolist(), edge[1:].tolist())):
-            rows += [(p, 1, 0, key[i:min(i + _SENT, b)].tobytes(), n[i:min(i + _SENT, b)].astype("<u4" if threshold > 255 else "u1").tobytes())
+            rows += [(p, 1, 0, _coded(key[i:min(i + _SENT, b)]), n[i:min(i + _SENT, b)].astype("<u4" if threshold > 255 else "u1").tobytes())
                      for i in range(a, b, _SENT)]
         for i in range(0, len(rows), 500):
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i:i + 500]), _SUMMARY)], names=_NAMES)
@@ -173,7 +193,7 @@ def _survivors(texts: DataFrame, sizes: tuple[int, ...], threshold: int, filter_
                 else:
                     pairs = _passing(scan, [bits], 2, None)
                     keys = [scan.key(scan.longer(pairs, n), n) for n in sizes]
-                key = np.concatenate(keys)
+                key = _short(np.concatenate(keys))
                 held.append(_merged([(key, np.ones(len(key), np.int64))], threshold))
                 size += len(held[-1][0])
                 if size > _HELD:
@@ -194,7 +214,7 @@ def _survivors(texts: DataFrame, sizes: tuple[int, ...], threshold: int, filter_
                     mass += m.as_py()
                     continue
                 summary = summary or MisraGries(SLACK * mass // threshold + 1)
-                summary.merge(np.frombuffer(key.as_buffer(), U64),
+                summary.merge(_decoded(key.as_py()),
                               np.frombuffer(n.as_buffer(), "<u4" if threshold > 255 else "u1").astype(np.int64))
         if summary is not None:
             h = summary.survivors(threshold)

@@ -109,3 +109,10 @@ def test_no_frequent_key_is_lost(summaries, threshold, eager):
     assert mg.lost < threshold
     held = dict(zip(mg.key.tolist(), mg.n.tolist()))
     assert all(held.get(k, 0) <= n <= held.get(k, 0) + mg.lost for k, n in true.items())
+
+
+@given(st.sets(st.integers(0, 2**48 - 1), min_size=1, max_size=300))
+@settings(max_examples=100, deadline=None)
+def test_sent_hashes_come_back(keys):
+    key = np.array(sorted(keys), np.uint64) << np.uint64(16)
+    assert phrases._decoded(phrases._coded(key)).tolist() == key.tolist()
