@@ -67,17 +67,99 @@ def poisson1_from_uniform_sql(u: str) -> str:
     return "(" + " + ".join(f"(CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END)" for c in poisson1_cdf()) + ")"
 
 
+# ---- XXH64 of integers, as other engines give it ------------------------------------------------
+
+# fixed values of the hash: its five primes
+XXH_PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+_WORD = 1 << 64
+#: The seed that Spark's ``xxhash64`` starts from.
+SPARK_SEED = 42
+
+
+def _rotl(x: int, r: int) -> int:
+    return ((x << r) | (x >> (64 - r))) % _WORD
+
+
+def _unshift(x: int, r: int) -> int:
+    """The y of which x = y ^ (y >> r)."""
+    y = x
+    for _ in range(64 // r):
+        y = x ^ (y >> r)
+    return y
+
+
+def long_with_hash(target: int, seed: int = SPARK_SEED) -> int:
+    """The 64-bit integer (signed) whose XXH64 under ``seed`` is ``target``: every step of the hash of eight bytes can be
+    undone, so there is exactly one."""
+    p1, p2, p3, p4, p5 = XXH_PRIMES
+    inv = lambda p: pow(p, -1, _WORD)
+    x = _unshift(target % _WORD, 32)
+    x = _unshift(x * inv(p3) % _WORD, 29)
+    x = _unshift(x * inv(p2) % _WORD, 33)
+    x = _rotl((x - p4) * inv(p1) % _WORD, 64 - 27)
+    x ^= (seed + p5 + 8) % _WORD
+    x = _rotl(x * inv(p1) % _WORD, 64 - 31) * inv(p2) % _WORD
+    return x - _WORD if x >= _WORD // 2 else x
+
+
+def xxh64_int(value: Column, width: int = 8, seed: int = 0) -> Column:
+    """XXH64 of an integer's ``width`` bytes (4 or 8, little-endian) under ``seed``, as a signed bigint; NULL for NULL.
+
+    Spark's ``xxhash64`` of several values takes the hash of the earlier ones as the seed of the next, so a first value
+    whose hash is ``seed`` gives that seed to the second.  Everything stays one codegen'd expression.  Four bytes hold
+    -2**31 to 2**32 - 1 (a value from 2**31 on is unsigned); others give NULL.
+    """
+    start = F.lit(long_with_hash(seed)).cast("bigint")
+    v = value.cast("bigint")
+    if width == 4:
+        low = F.when(v.between(-2**31, 2**31 - 1), v).when(v.between(2**31, 2**32 - 1), v - F.lit(2**32))
+        v = low.cast("int")
+    elif width != 8:
+        raise ValueError("width must be 4 or 8")
+    return F.when(v.isNotNull(), F.xxhash64(start, v))
+
+
+def unsigned_mod(h: Column, n: int) -> Column:
+    """The remainder of a bigint taken as an unsigned 64-bit number."""
+    r = F.pmod(h, F.lit(n).cast("bigint"))
+    return F.when(h >= 0, r).otherwise(F.pmod(r + F.lit(_WORD % n).cast("bigint"), F.lit(n).cast("bigint")))
+
+
+def xxh64_int_sql(value: str, width: int = 8, seed: int = 0) -> str:
+    """XXH64 as unsigned arithmetic in SQL on UHUGEINT (for values from 0 on)."""
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in XXH_PRIMES)
+    word = f"{_WORD}::UHUGEINT"
+    rot = lambda x, r: f"list_transform([{x}], lambda q: (q * {2 ** r}::UHUGEINT) % {word} + q // {2 ** (64 - r)}::UHUGEINT)[1]"
+    shift = lambda x, r: f"list_transform([{x}], lambda q: xor(q, q // {2 ** r}::UHUGEINT))[1]"
+    begin = f"{(seed + XXH_PRIMES[4] + width) % _WORD}::UHUGEINT"
+    v = f"CAST({value} AS UHUGEINT)"
+    if width == 8:
+        mixed = rot(f"({v} * {p2}) % {word}", 31)
+        h = f"(({rot(f'xor({begin}, ({mixed} * {p1}) % {word})', 27)} * {p1}) % {word} + {p4}) % {word}"
+    else:
+        h = f"(({rot(f'xor({begin}, ({v} * {p1}) % {word})', 23)} * {p2}) % {word} + {p3}) % {word}"
+    h = f"({shift(h, 33)} * {p2}) % {word}"
+    h = f"({shift(h, 29)} * {p3}) % {word}"
+    return shift(h, 32)
+
+
 def user_bucket(user: Column, n: int = 50, method: str = "md5") -> Column:
-    """Hash bucket of a user.  ``md5`` is reproducible in SQL oracles;
-    ``xxhash64`` is cheaper (no string round trip) but not bit-equal to any
-    other engine's xxHash64 because of its seed."""
+    """Hash bucket of a user.  ``md5`` is reproducible in SQL oracles; ``xxhash64`` is Spark's own hash (seed 42);
+    ``xxh64_4`` and ``xxh64_8`` are the unsigned XXH64 with seed 0 of the id's four or eight bytes, bit-equal to
+    engines that hash 32-bit or 64-bit ids that way, at the cost of ``xxhash64``."""
     if method == "xxhash64":
         return F.pmod(F.xxhash64(user), F.lit(n)).cast("int")
+    if method in ("xxh64_4", "xxh64_8"):
+        return unsigned_mod(xxh64_int(user, int(method[-1])), n).cast("int")
+    if method != "md5":
+        raise ValueError(f"unknown method {method!r}")
     hex8 = F.substring(F.md5(user.cast("string")), 1, 8)
     return F.pmod(F.conv(hex8, 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
-def user_bucket_sql(user: str, n: int = 50) -> str:
+def user_bucket_sql(user: str, n: int = 50, method: str = "md5") -> str:
+    if method in ("xxh64_4", "xxh64_8"):
+        return f"CAST({xxh64_int_sql(user, int(method[-1]))} % {n}::UHUGEINT AS INTEGER)"
     return f"CAST(CAST(('0x' || substr(md5(CAST({user} AS VARCHAR)), 1, 8)) AS BIGINT) % {n} AS INTEGER)"
 
 

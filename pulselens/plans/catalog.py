@@ -226,6 +226,11 @@ def _(spark, sf):
     return experiments.bucket_ctr(_feed(spark, sf), *P.AB_PERIOD, P.AB_GROUPS, P.N_BUCKETS)
 
 
+@q("agg_bucket_ctr_xxh64")
+def _(spark, sf):
+    return experiments.bucket_ctr(_feed(spark, sf), *P.AB_PERIOD, P.AB_GROUPS, P.N_BUCKETS, method="xxh64_4")
+
+
 def _yesterday_joined(spark, sf):
     return etl.feed_with_messages(filters.on_day(_feed(spark, sf), P.AS_OF, -1),
                                   filters.on_day(_msgs(spark, sf), P.AS_OF, -1))
@@ -560,6 +565,12 @@ def _(spark, sf):
     return round_doubles(experiments.welch(_buckets(spark, sf), "bucket_ctr", *P.AB_GROUPS))
 
 
+@q("ab_welch_bucket_xxh64")
+def _(spark, sf):
+    buckets = experiments.bucket_ctr(_feed(spark, sf), *P.AB_PERIOD, P.AB_GROUPS, P.N_BUCKETS, method="xxh64_4")
+    return round_doubles(experiments.welch(buckets, "bucket_ctr", *P.AB_GROUPS))
+
+
 @q("ab_mannwhitney_ctr")
 def _(spark, sf):
     return round_doubles(experiments.mann_whitney(_ab_users(spark, sf), "ctr", *P.AB_GROUPS))

@@ -142,10 +142,10 @@ def smoothed_cte(src="u", name="sm", alpha=P.ALPHA) -> str:
   USING (exp_group))"""
 
 
-def bucket_cte(name="bk", groups=P.AB_GROUPS, first=P.AB_PERIOD[0], last=P.AB_PERIOD[1]) -> str:
+def bucket_cte(name="bk", groups=P.AB_GROUPS, first=P.AB_PERIOD[0], last=P.AB_PERIOD[1], method="md5") -> str:
     g = ", ".join(str(x) for x in groups)
     return f"""{name} AS (
-  SELECT exp_group, {user_bucket_sql('user_id', P.N_BUCKETS)} AS bucket,
+  SELECT exp_group, {user_bucket_sql('user_id', P.N_BUCKETS, method)} AS bucket,
          count_if(action = 'like') AS likes, count_if(action = 'view') AS views,
          count_if(action = 'like') / nullif(count_if(action = 'view'), 0) AS bucket_ctr
   FROM feed_actions WHERE {period(first, last)} AND exp_group IN ({g}) GROUP BY 1, 2)"""
@@ -469,6 +469,7 @@ SELECT f.date, likes, views, CTR, messages FROM f JOIN mm ON f.date = mm.date"""
                           f"CAST(sum(views) AS BIGINT) AS views, sum(likes) / nullif(sum(views), 0) AS global_ctr "
                           f"FROM u GROUP BY exp_group")
     O["agg_bucket_ctr"] = f"{F_},\n{bucket_cte()}\nSELECT * FROM bk"
+    O["agg_bucket_ctr_xxh64"] = f"{F_},\n{bucket_cte(method='xxh64_4')}\nSELECT * FROM bk"
     O["agg_weekly_status_counts"] = f"WITH {LIFE_CTES}\n{current_sql()}"
     O["set_union_status"] = f"WITH {LIFE_CTES}\n{GONE_SQL}\nUNION ALL\n{current_sql()}"
     O["weekly_lifecycle"] = O["set_union_status"]
@@ -671,6 +672,8 @@ dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS DAU, count_
     O["ab_welch_bucket"] = f"{bk}\n{welch_sql('bk', 'bucket_ctr', a, b)}"
     O["ab_mannwhitney_ctr"] = f"{ab}\n{mw_sql('u', 'ctr', a, b)}"
     O["ab_mannwhitney_smoothed"] = f"{ab},\n{smoothed_cte()}\n{mw_sql('sm', 'smoothed_ctr', a, b)}"
+    bx = f"{F_},\n{bucket_cte(method='xxh64_4')}"
+    O["ab_welch_bucket_xxh64"] = f"{bx}\n{welch_sql('bk', 'bucket_ctr', a, b)}"
     O["ab_mannwhitney_bucket"] = f"{bk}\n{mw_sql('bk', 'bucket_ctr', a, b)}"
     sup = "\nUNION ALL\n".join(
         f"SELECT '{v}' AS metric, {rnd(['p_a_gt_b', 'p_tie', 'p_b_gt_a'])} FROM ({mw_core_sql(s, v, a, b)})"
