@@ -104,6 +104,35 @@ def iqr_bands(long_df: DataFrame, a: float = 5.0, n: int = 5, order: str = "ts",
              .drop("_up", "_low"))
 
 
+def iqr_bands_by_range(long_df: DataFrame, width: str | Column, a: float = 5.0, n: int = 5, order: str = "ts",
+                       partition=("metric",)) -> DataFrame:
+    """Z2/E1/E2 for long series: the rows of ``iqr_bands``, with each series split into ranges of ``order``.
+
+    ``width`` is a length of time (such as ``"7 days"``, for a time ``order``) or an expression that numbers the ranges and
+    never decreases along ``order``.  A window function then runs for each range, so no task holds a whole series: each range
+    also gets the rows that its windows reach into on either side (``n + n // 2`` before, ``(n - 1) // 2`` after), whichever
+    ranges those are in.  They come from the first and last rows of all ranges, a table of at most ``2n`` rows a range.
+    Rows are unique in ``order`` within a series and not null in it; gaps of any length are allowed.
+    """
+    part, cols = list(partition), long_df.columns
+    before, after = n + n // 2, max(1, (n - 1) // 2)
+    number = F.window(F.col(order).cast("timestamp"), width).start.cast("long") if isinstance(width, str) else width
+    x = long_df.withColumn("_range", number)
+    keys = [*part, "_range"]
+    up, down = Window.partitionBy(*keys).orderBy(order), Window.partitionBy(*keys).orderBy(F.desc(order))
+    edges = (x.withColumn("_i", F.row_number().over(up)).withColumn("_j", F.row_number().over(down))
+              .where((F.col("_i") <= F.lit(after)) | (F.col("_j") <= F.lit(before))))
+    # the last `before` rows ahead of a range's first row are all in the edge table, whether one range holds them or many
+    row = F.struct(*cols)
+    series = Window.partitionBy(*part).orderBy(order)
+    edges = (edges.withColumn("_before", F.when(F.col("_i") == 1, F.collect_list(row).over(series.rowsBetween(-before, -1))))
+                  .withColumn("_after", F.when(F.col("_j") == 1, F.collect_list(row).over(series.rowsBetween(1, after)))))
+    near = F.explode(F.concat(F.coalesce("_before", F.array()), F.coalesce("_after", F.array())))
+    halo = edges.where("_i = 1 or _j = 1").select("_range", near.alias("_r")).select("_r.*", "_range", F.lit(True).alias("_halo"))
+    both = x.select(*cols, "_range", F.lit(False).alias("_halo")).unionByName(halo)
+    return iqr_bands(both, a, n, order, keys).where(~F.col("_halo")).drop("_range", "_halo")
+
+
 def _outside(v, lo, hi):
     return F.coalesce((F.col(v) < F.col(lo)) | (F.col(v) > F.col(hi)), F.lit(False))
 
@@ -113,7 +142,7 @@ def anomaly_bands(kpi: DataFrame, metrics=KPI_METRICS, a: float = 5.0, n: int =
     return iqr_bands(kpi_long(kpi, metrics), a, n)
 
 
-def _alert_rows(x: DataFrame, part: list[str], order: str, low: str, up: str) -> DataFrame:
+def _alert_rows(x: DataFrame, part: list[str], order: str, low: str, up: str, extra=()) -> DataFrame:
     """The change vs the previous window (``prev_value``), the alert flag (strict comparison; a NULL band never alerts)
     and the alert text when it fires."""
     x = x.withColumn("deviation", F.abs(F.lit(1.0) - ratio(F.col("value"), F.col("prev_value"))))
@@ -123,14 +152,15 @@ def _alert_rows(x: DataFrame, part: list[str], order: str, low: str, up: str) ->
     return (x.withColumn("is_alert", alert)
              .withColumn("text", F.when(alert, text))
              .select(*part, order, "value", "prev_value", "deviation", "q25", "q75", F.col(up).alias("up"),
-                     F.col(low).alias("low"), "is_alert", "text"))
+                     F.col(low).alias("low"), "is_alert", "text", *extra))
 
 
-def live_alerts(bands: DataFrame, partition=("metric",), order: str = "ts") -> DataFrame:
-    """Every window of every series as it was judged when it was the newest one (trailing band)."""
+def live_alerts(bands: DataFrame, partition=("metric",), order: str = "ts", extra=()) -> DataFrame:
+    """Every window of every series as it was judged when it was the newest one (trailing band); ``extra`` columns are
+    kept."""
     part = list(partition)
     w = Window.partitionBy(*part).orderBy(order)
-    return _alert_rows(bands.withColumn("prev_value", F.lag("value").over(w)), part, order, "low_live", "up_live")
+    return _alert_rows(bands.withColumn("prev_value", F.lag("value").over(w)), part, order, "low_live", "up_live", extra)
 
 
 def latest_alerts(bands: DataFrame, partition=("metric",), order: str = "ts") -> DataFrame:

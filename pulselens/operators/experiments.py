@@ -56,8 +56,43 @@ def welch(df: DataFrame, value: str, a, b, group: str = "exp_group") -> DataFram
 
 # ---- Mann-Whitney U and probability of superiority ------------------------------
 
+#: The exact distribution of U is used up to this size of the smaller sample, and of both together (the counts of
+#: arrangements then fit in a bigint).
+EXACT_SMALLER, EXACT_BOTH = 8, 500
+
+
+def exact_u_p(u_min: Column, n_a: Column, n_b: Column) -> Column:
+    """Two-sided p-value of the smaller U of two samples without ties, from the exact distribution: the arrangements with
+    U = 0, 1, ... are the coefficients of the product over i = 1..m of (1 - q^(n + i)) / (1 - q^i), m <= n the sizes.
+
+    Twice the share of arrangements with U at most ``u_min`` (the distribution is symmetric), at most 1."""
+    m, n = F.least(n_a, n_b).cast("int"), F.greatest(n_a, n_b).cast("int")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    start = F.transform(F.sequence(F.lit(0), u_min.cast("int")), lambda u: F.when(u == 0, one).otherwise(zero))
+
+    def step(c, s):
+        i = F.floor((s + F.lit(1)) / F.lit(2)).cast("int")       # steps 1, 2 are factor 1, steps 3, 4 factor 2, ...
+        times = F.transform(c, lambda v, u: v - F.when(u >= n + i, F.get(c, u - n - i)).otherwise(zero))
+        over = F.transform(c, lambda _v, u: F.aggregate(
+            F.sequence(F.lit(0), F.floor(u / i).cast("int")), zero, lambda acc, k: acc + F.get(c, u - k * i)))
+        return F.when(s % 2 == 1, times).otherwise(over)
+
+    counts = F.aggregate(F.sequence(F.lit(1), m * 2), start, step)
+    below = F.aggregate(counts, zero, lambda acc, v: acc + v)
+    # the number of all arrangements, (n + m) over m; every quotient is whole
+    total = F.aggregate(F.sequence(F.lit(1), m), one, lambda acc, i: F.floor((acc * (n + i)).cast("decimal(38,0)") / i).cast("bigint"))
+    return F.least(F.lit(1.0), F.lit(2.0) * below.cast("double") / total.cast("double"))
+
+
+def daily_group_ctr(feed: DataFrame, first_day, last_day, groups) -> DataFrame:
+    """CTR of each group and day: few values a group, for tests of small samples."""
+    df = fixed_period(feed, first_day, last_day).where(F.col("exp_group").isin(list(groups)))
+    return (df.groupBy("exp_group", F.to_date("time").alias("date"))
+              .agg(likes_expr().alias("likes"), views_expr().alias("views")).withColumn("ctr", ratio("likes", "views")))
+
+
 def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
-                 n_buckets: int | None = None, by: list[str] | None = None) -> DataFrame:
+                 n_buckets: int | None = None, by: list[str] | None = None, method: str = "asymptotic") -> DataFrame:
     """X5 + X8: two-sided Mann-Whitney U (mid-ranks, tie-corrected variance,
     0.5 continuity correction, normal approximation), plus the exact
     P(A>B), P(tie), P(B>A) over all pairs; one row, or one for each value of
@@ -65,7 +100,12 @@ def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
 
     Ranks are never materialised per user: values are first reduced to
     ``(value, count_a, count_b)``, then a two-level prefix sum gives the
-    number of B values below each value."""
+    number of B values below each value.
+
+    ``method="auto"`` takes the p-value from the exact distribution of U where there are no ties, the smaller sample has at
+    most ``EXACT_SMALLER`` values and both at most ``EXACT_BOTH``, and adds a column ``exact`` that says where."""
+    if method not in ("asymptotic", "auto"):
+        raise ValueError("method must be 'asymptotic' or 'auto'")
     by = by or []
     p = prefix_sums(value_counts(df, value, group, a, b, by), "value", ["c_b"], n_buckets, by=by)
     ca, cb = F.col("c_a").cast("double"), F.col("c_b").cast("double")
@@ -81,13 +121,20 @@ def mann_whitney(df: DataFrame, value: str, a, b, group: str = "exp_group",
     sigma = F.sqrt(na * nb / F.lit(12.0) * ((n + F.lit(1.0)) - F.col("tie_term") / F.nullif(n * (n - F.lit(1.0)), F.lit(0.0))))
     u_b = na * nb - F.col("u_a")
     z = (F.greatest(F.col("u_a"), u_b) - na * nb / F.lit(2.0) - F.lit(0.5)) / F.nullif(sigma, F.lit(0.0))
-    return (s.withColumn("u_b", u_b).withColumn("z", z)
-             .withColumn("p_value", F.when(F.col("z") <= 0, F.lit(1.0)).otherwise(normal_two_sided_p(F.col("z"))))
+    p_value = F.when(F.col("z") <= 0, F.lit(1.0)).otherwise(normal_two_sided_p(F.col("z")))
+    s = s.withColumn("u_b", u_b).withColumn("z", z)
+    more = []
+    if method == "auto":
+        small = F.least("n_a", "n_b").between(1, EXACT_SMALLER) & (F.col("n_a") + F.col("n_b") <= EXACT_BOTH)
+        s = s.withColumn("exact", F.coalesce(small & (F.col("tie_term") == 0), F.lit(False)))
+        p_value = F.when(F.col("exact"), exact_u_p(F.least("u_a", "u_b"), F.col("n_a"), F.col("n_b"))).otherwise(p_value)
+        more = ["exact"]
+    return (s.withColumn("p_value", p_value)
              .withColumn("p_a_gt_b", F.col("pairs_gt") / pairs)
              .withColumn("p_tie", F.col("pairs_tie") / pairs)
              .withColumn("p_b_gt_a", F.lit(1.0) - F.col("p_a_gt_b") - F.col("p_tie"))
              .select(*by, F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n_a", "n_b", "u_a", "u_b", "z",
-                     "p_value", "p_a_gt_b", "p_tie", "p_b_gt_a"))
+                     "p_value", "p_a_gt_b", "p_tie", "p_b_gt_a", *more))
 
 
 # ---- derived per-user metrics -----------------------------------------------------

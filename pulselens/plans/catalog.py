@@ -588,6 +588,13 @@ def _(spark, sf):
     return round_doubles(experiments.mann_whitney(_buckets(spark, sf), "bucket_ctr", *P.AB_GROUPS, n_buckets=1))
 
 
+@q("ab_mannwhitney_daily")
+def _(spark, sf):
+    days = experiments.daily_group_ctr(_feed(spark, sf), *P.AB_PERIOD, P.AB_GROUPS)
+    # a value for each group and day of the period: one ordered partition
+    return round_doubles(experiments.mann_whitney(days, "ctr", *P.AB_GROUPS, n_buckets=1, method="auto"))
+
+
 @q("ab_prob_superiority")
 def _(spark, sf):
     return round_doubles(experiments.ab_superiority(_ab_users(spark, sf), *P.AB_GROUPS, P.ALPHA, P.N_BUCKETS))
@@ -694,6 +701,12 @@ def _(spark, sf):
     return round_doubles(_bands(spark, sf))
 
 
+@q("anomaly_iqr_ranges")
+def _(spark, sf):
+    kpi = anomaly.kpi_15min(_feed(spark, sf), _msgs(spark, sf), P.AS_OF_TS, history_days=P.LONG_HISTORY)
+    return round_doubles(anomaly.iqr_bands_by_range(anomaly.kpi_long(kpi), P.RANGE, P.IQR_A, P.IQR_N))
+
+
 @q("anomaly_iqr_strict")
 def _(spark, sf):
     return round_doubles(_bands(spark, sf, strict=True))

@@ -498,6 +498,9 @@ SELECT f.date, likes, views, CTR, messages FROM f JOIN mm ON f.date = mm.date"""
     strict_bands = f"{FM},\n{kpi_ctes(ALERT_START, ALERT_END, strict=True)},\n{bands_ctes()}"
     O["anomaly_iqr_strict"] = (f"{strict_bands}\nSELECT ts, metric, "
                                f"{rnd(['value', 'q25', 'q75', 'iqr', 'up', 'low', 'up_live', 'low_live'])} FROM bands")
+    long_start = ALERT_END - dt.timedelta(days=P.LONG_HISTORY)
+    O["anomaly_iqr_ranges"] = (f"{FM},\n{kpi_ctes(long_start, ALERT_END)},\n{bands_ctes()}\nSELECT ts, metric, "
+                               f"{rnd(['value', 'q25', 'q75', 'iqr', 'up', 'low', 'up_live', 'low_live'])} FROM bands")
     O["anomaly_backtest"] = (f"{bands}\nSELECT ts, metric, {rnd(['value', 'up_live', 'low_live'])}, "
                              f"coalesce(value < low_live OR value > up_live, false) AS is_alert FROM bands")
     text = (f"'Metric ' || metric || ':' || {NL} || 'Current value ' || printf('%.2f', round(value, 2)) || {NL} || "
@@ -672,6 +675,20 @@ dk AS (SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS DAU, count_
     O["ab_welch_bucket"] = f"{bk}\n{welch_sql('bk', 'bucket_ctr', a, b)}"
     O["ab_mannwhitney_ctr"] = f"{ab}\n{mw_sql('u', 'ctr', a, b)}"
     O["ab_mannwhitney_smoothed"] = f"{ab},\n{smoothed_cte()}\n{mw_sql('sm', 'smoothed_ctr', a, b)}"
+    # the exact distribution by listing all arrangements of the ranks
+    O["ab_mannwhitney_daily"] = f"""{F_},
+dc AS (SELECT exp_group, CAST(time AS DATE) AS date, count_if(action = 'like') / nullif(count_if(action = 'view'), 0) AS ctr
+       FROM feed_actions WHERE {period(*P.AB_PERIOD)} AND exp_group IN ({a}, {b}) GROUP BY 1, 2),
+mw AS ({mw_core_sql('dc', 'ctr', a, b)}),
+masks AS (SELECT unnest(range(0, (SELECT CAST(1 AS BIGINT) << (n_a + n_b) FROM mw))) AS mask),
+bits AS (SELECT unnest(range(0, (SELECT n_a + n_b FROM mw))) AS bit),
+us AS (SELECT mask, sum(bit + 1) - any_value(n_a * (n_a + 1) / 2) AS u FROM masks, bits, mw
+       WHERE (mask >> bit) & 1 = 1 GROUP BY mask HAVING count(*) = any_value(n_a)),
+ex AS (SELECT count_if(us.u <= least(mw.u_a, mw.u_b)) / count(*) AS share FROM us, mw),
+x AS (SELECT mw.*, p_tie = 0 AND least(n_a, n_b) BETWEEN 1 AND 8
+             AND NOT EXISTS (SELECT 1 FROM dc WHERE ctr IS NOT NULL GROUP BY ctr HAVING count(*) > 1) AS exact FROM mw)
+SELECT group_a, group_b, n_a, n_b, {rnd([c for c in MW_COLS_D if c != 'p_value'])}, exact,
+       round(CASE WHEN exact THEN least(1.0, 2.0 * share) ELSE p_value END, 6) AS p_value FROM x, ex"""
     bx = f"{F_},\n{bucket_cte(method='xxh64_4')}"
     O["ab_welch_bucket_xxh64"] = f"{bx}\n{welch_sql('bk', 'bucket_ctr', a, b)}"
     O["ab_mannwhitney_bucket"] = f"{bk}\n{mw_sql('bk', 'bucket_ctr', a, b)}"

@@ -25,6 +25,8 @@ AA_REPS = 10000
 AA_K = 100          # users drawn from each group; the test data have a few hundred
 IQR_A = 5.0
 IQR_N = 5
+LONG_HISTORY = 30   # days of 15-minute windows judged at once, in ranges of RANGE
+RANGE = "2 days"
 HIST_BINS = {       # distribution -> (first bin's start, width)
     "ctr": (0.0, 0.05), "smoothed_ctr": (0.0, 0.05), "linearized_likes": (0.0, 1.0), "bucket_ctr": (0.0, 0.05),
     "bootstrap_ctr": (0.0, 0.005), "bootstrap_diff": (0.0, 0.005), "aa_p_value": (0.0, 0.05),

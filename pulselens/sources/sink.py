@@ -27,3 +27,14 @@ def write_slices(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_slices(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(SLICE_SCHEMA).parquet(path)
     return df.select([f.name for f in SLICE_SCHEMA.fields])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job wrote itself and no longer reads; nothing happens where there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

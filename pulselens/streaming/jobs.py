@@ -19,10 +19,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulselens.operators import anomaly, etl
 from pulselens.sources import tables
-from pulselens.sources.sink import write_slices
+from pulselens.sources.sink import delete_path, write_slices
 
 KIND = "kind"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -134,27 +135,45 @@ def _write_batch(df: DataFrame, batch_id: int, path: str) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+TAIL = ("ts timestamp_ntz, ts_end timestamp_ntz, likes long, views long, CTR double, users_feed long, users_message long, "
+        "sent_messages long")
+
+
 def alert_batch_writer(hist_path: str, alert_path: str, a: float = 5.0, n: int = 5):
     """The ``foreachBatch`` body of S3: every window the batch closes is judged
-    once, by the band a live check at that window sees."""
+    once, by the band a live check at that window sees.
+
+    A band looks back at most ``n + n // 2`` windows, and windows close in order of time, so each batch leaves the last
+    windows seen so far as its tail (``<hist_path>_tail/<batch id>``) and the next one reads that alone.  A batch that is run again reads
+    the tail of the one before again and overwrites its own rows; the tail before that is no longer needed and goes.
+    """
+    keep, tail = n + n // 2, f"{hist_path}_tail"
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        _write_batch(batch, batch_id, hist_path)
-        hist = batch.sparkSession.read.parquet(hist_path).where(F.col("batch_id") <= batch_id)
-        new = hist.where(F.col("batch_id") == batch_id).select("ts")
-        judged = anomaly.live_alerts(anomaly.iqr_bands(anomaly.kpi_long(hist, STREAM_KPI_METRICS), a, n))
-        _write_batch(judged.join(new, "ts", "left_semi"), batch_id, alert_path)
+        spark = batch.sparkSession
+        rows = batch.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(TAIL)]).withColumn("_new", F.lit(True))
+        if batch_id:
+            seen = spark.read.schema(TAIL).parquet(f"{tail}/{batch_id - 1}").withColumn("_new", F.lit(False))
+            rows = rows.unionByName(seen)
+        rows = rows.persist()
+        try:
+            if not rows.where("_new").isEmpty():
+                _write_batch(rows.where("_new").drop("_new"), batch_id, hist_path)
+                long = anomaly.kpi_long(rows, STREAM_KPI_METRICS, ("ts", "_new"))
+                judged = anomaly.live_alerts(anomaly.iqr_bands(long, a, n), extra=("_new",))
+                _write_batch(judged.where("_new").drop("_new"), batch_id, alert_path)
+            rows.drop("_new").orderBy(F.desc("ts")).limit(keep).coalesce(1).write.mode("overwrite").parquet(f"{tail}/{batch_id}")
+        finally:
+            rows.unpersist()
+        if batch_id > 1:
+            delete_path(spark, f"{tail}/{batch_id - 2}")
     return on_batch
 
 
 def alerts_stream(tagged: DataFrame, base: str, delay: str = "10 minutes", a: float = 5.0, n: int = 5) -> str:
-    """S3: per micro-batch, newly closed KPI windows are added to a stored
-    window history (partitioned by batch id), then the IQR check judges each
-    of them on the stored history; returns the path of the alert rows.  The
-    band is row-based (the previous ``n`` windows that exist), so the history
-    is read whole: it holds one row per 15-minute window (35k rows a year),
-    bounded by elapsed time, not by the event volume."""
+    """S3: per micro-batch, newly closed KPI windows are judged against the windows before them and stored with their
+    verdicts (``history`` and ``alerts``, partitioned by batch id); returns the path of the alert rows.  What a batch reads
+    besides its own rows is the tail of the batch before, ``n + n // 2`` windows at most, however long the job has run."""
     _run(alert_kpi_stream(tagged, delay), base, alert_batch_writer(f"{base}/history", f"{base}/alerts", a, n))
     return f"{base}/alerts"
 
