@@ -69,12 +69,16 @@ def retention(feed: DataFrame, source: str | None, as_of, horizon: int = 20) ->
 
 def retention_by_source(feed: DataFrame, as_of, horizon: int = 20) -> DataFrame:
     """Both sources in one pass, with cohort size and retention share."""
-    c = cohort_counts(feed, as_of, horizon, keys=("source",))
-    w = Window.partitionBy("source", "start_day")
+    return with_cohort_share(cohort_counts(feed, as_of, horizon, keys=("source",)), ["source"])
+
+
+def with_cohort_share(counts: DataFrame, keys) -> DataFrame:
+    """Cohort counts with the day's number, the cohort's size and the share of it that is active."""
+    w = Window.partitionBy(*keys, "start_day")
     cohort = F.max(F.when(F.col("day") == F.col("start_day"), F.col("users"))).over(w)
-    return (c.withColumn("day_n", F.datediff("day", "start_day"))
-             .withColumn("cohort_users", cohort)
-             .withColumn("retention", ratio(F.col("users"), F.col("cohort_users"))))
+    return (counts.withColumn("day_n", F.datediff("day", "start_day"))
+                  .withColumn("cohort_users", cohort)
+                  .withColumn("retention", ratio(F.col("users"), F.col("cohort_users"))))
 
 
 def retention_heatmap(feed: DataFrame, source: str | None, as_of, horizon: int = 20,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulselens.functions import bins, hashing, timeexpr
-from pulselens.operators import anomaly, etl, experiments, filters, impact, lifecycle, metrics, ranking, retention, rollups
+from pulselens.operators import anomaly, etl, experiments, filters, impact, lifecycle, metrics, ranking, retention, rollups, userstate
 from pulselens.plans import params as P
 from pulselens.session import shared_dir
 from pulselens.sources import tables
@@ -414,6 +414,24 @@ def _(spark, sf):
     return retention.retention_by_source(_feed(spark, sf), P.RETENTION_AS_OF, P.HORIZON)
 
 
+@q("retention_incremental")
+def _(spark, sf):
+    base = userstate.merge_all(_feed(spark, sf), shared_dir(spark, "user-state"), P.DAILY_MERGES, ["source"])
+    return userstate.retention(userstate.day_counts(spark, base), P.RETENTION_AS_OF, P.HORIZON, ["source"])
+
+
+@q("weekly_lifecycle_incremental")
+def _(spark, sf):
+    base = userstate.merge_all(_feed(spark, sf), shared_dir(spark, "user-state"), P.DAILY_MERGES)
+    return userstate.weekly_lifecycle(userstate.day_counts(spark, base), P.AS_OF)
+
+
+@q("weekly_lifecycle_incremental_strict")
+def _(spark, sf):
+    base = userstate.merge_all(_feed(spark, sf), shared_dir(spark, "user-state"), P.DAILY_MERGES)
+    return userstate.weekly_lifecycle(userstate.day_counts(spark, base), P.AS_OF, strict=True)
+
+
 @q("retention_heatmap")
 def _(spark, sf):
     return retention.retention_heatmap(_feed(spark, sf), "ads", P.RETENTION_AS_OF, P.HORIZON, P.RETENTION_UNTIL)

@@ -566,6 +566,16 @@ c AS (SELECT source, start_day, day, count(user_id) AS users FROM t1 JOIN t2 USI
 d AS (SELECT *, CAST(day - start_day AS INTEGER) AS day_n,
              max(CASE WHEN day = start_day THEN users END) OVER (PARTITION BY source, start_day) AS cohort_users FROM c)
 SELECT *, users / nullif(cohort_users, 0) AS retention FROM d"""
+    O["retention_incremental"] = O["retention_by_source"]
+    # the week's users looked up one by one, on the feed
+    fw = f"""{FEED},
+uw AS (SELECT DISTINCT user_id, CAST(date_trunc('week', time) AS DATE) AS week FROM feed_actions),
+fw AS (SELECT user_id, min(week) AS first_week FROM uw GROUP BY user_id)"""
+    gone = f"""SELECT week + 7 AS this_week, week AS previous_week, -count(*) AS num_users, 'gone' AS status FROM uw a
+WHERE NOT EXISTS (SELECT 1 FROM uw b WHERE b.user_id = a.user_id AND b.week = a.week + 7)
+  AND week + 7 <> CAST(date_trunc('week', {date(P.AS_OF)}) AS DATE) + 7 GROUP BY week"""
+    O["weekly_lifecycle_incremental"] = f"WITH {fw}\n{gone}\nUNION ALL\n{current_sql()}"
+    O["weekly_lifecycle_incremental_strict"] = f"WITH {fw}\n{gone}\nUNION ALL\n{current_sql(True)}"
     pivots = ", ".join(f"max(CASE WHEN day_n = {i} THEN users END) AS d{i}"
                        for i in range((P.RETENTION_UNTIL - P.RETENTION_AS_OF).days + P.HORIZON + 1))
     O["retention_heatmap"] = f"""{F_},

@@ -8,6 +8,7 @@ RETENTION_AS_OF = dt.date(2024, 1, 21)       # retention on events
 ORDERS_RETENTION_AS_OF = dt.date(1995, 1, 21)
 RETENTION_UNTIL = dt.date(2024, 1, 30)       # last day of activity that the heatmap shows
 HORIZON = 20
+DAILY_MERGES = 4    # days merged one by one into the user state; those before them are one backfill
 AA_PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 7))
 AA_GROUPS = (2, 3)
 AB_PERIOD = (dt.date(2024, 1, 8), dt.date(2024, 1, 14))
