@@ -58,6 +58,9 @@ _WHOLE = {"nav", "ad", "ads", "form", "more", "top", "bottom", "rail", "tags", "
 #: A quote opens a value only where the value starts; a quoted value may hold ``>``.
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>"
                     r"|<[!?][^>]*>", re.S)
+#: The same where a tag ends at the next ``<`` at the latest.
+_SHORT = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>|<[!?][^<>]*>", re.S)
+_OPENER = re.compile(r"</?[a-zA-Z]|<[!?]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|style|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -80,6 +83,23 @@ def _attribute_tokens(raw: str) -> tuple[int, int, bool]:
     return other, main, hidden
 
 
+def _tokens(page: str, done):
+    """Comments, declarations and tags in page order, from ``done()`` on (a raw element's content is passed over).
+
+    A tag that nothing closes was looked for up to the end of the page.  That is done once: from there on, tags end at the
+    next ``<``, so the whole page takes time in proportion to its length."""
+    pattern, at = _TOKEN, 0
+    while (at := page.find("<", max(at, done()))) >= 0:
+        m = pattern.match(page, at)
+        if m:
+            at = m.end()
+            yield m
+        elif pattern is _TOKEN and _OPENER.match(page, at):
+            pattern = _SHORT
+        else:
+            at += 1
+
+
 class Tree:
     """Nodes of one page in document order; a node's subtree is the range from it up to ``end``."""
 
@@ -94,9 +114,12 @@ _CACHE: dict[str, tuple[int, int, bool]] = {}
 
 
 def parse(page: str) -> Tree:
-    """The tree of a page; broken markup is repaired the way browsers do for paragraphs, list items and cells."""
+    """The tree of a page; broken markup is repaired the way browsers do for paragraphs, list items and cells.
+
+    Elements may nest to any depth."""
     t = Tree()
     stack: list[tuple[str, int]] = []  # tag and node of each open element
+    opened: Counter[str] = Counter()  # how many of each tag are on it
     children: list[int] = []
     edge: list[tuple[int, int, int, int]] = []  # of each open node: stems above and semantic tags above
     buffer: list[str] = []
@@ -138,8 +161,6 @@ def parse(page: str) -> Tree:
         linked = 0
 
     def push(tag: str, attributes: str) -> None:
-        if len(stack) > 400:  # absurd nesting: its blocks become siblings
-            pop()
         if attributes:
             known = _CACHE.get(attributes)
             if known is None:
@@ -155,16 +176,19 @@ def parse(page: str) -> Tree:
         a = edge[-1] if edge else (0, 0, 0, 0)
         edge.append((a[0] + other, a[1] + main, a[2] + (group in _EDGE), a[3] + (group == "main")))
         stack.append((tag, n))
+        opened[tag] += 1
         children.append(0)
 
-    def pop() -> None:
+    def pop() -> str:
         nonlocal link_at
-        _, n = stack.pop()
+        tag, n = stack.pop()
+        opened[tag] -= 1
         t.end[n] = len(t.parent)
         edge.pop()
         children.pop()
         if link_at > len(stack):
             link_at = -1
+        return tag
 
     def unskip(tag: str) -> None:
         while True:
@@ -175,9 +199,7 @@ def parse(page: str) -> Tree:
 
     push("html", "")
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    for m in _tokens(page, lambda: at):
         if m.start() > at and not skip:
             piece = page[at:m.start()]
             buffer.append(piece)
@@ -198,11 +220,11 @@ def parse(page: str) -> Tree:
                 unskip(tag)
                 continue
             if closing:
-                if not inline[tag] and all(x[0] != tag for x in stack):
+                if not inline[tag] and not opened[tag]:
                     continue
                 ended = True
             else:
-                ended = tag in _CELLS and not inside["table"] and any(x[0] == "table" for x in stack)
+                ended = tag in _CELLS and not inside["table"] and opened["table"] > 0
             if not ended:
                 if tag in ("button", "select") and inside[tag]:  # one does not hold another
                     unskip(tag)
@@ -229,15 +251,13 @@ def parse(page: str) -> Tree:
             continue
         flush()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    while len(stack) > i:
-                        pop()
-                    break
+            if opened[tag]:
+                while pop() != tag:
+                    pass
             continue
         if tag in _ENDS:
             ends, limit = _ENDS[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ends) else ():
                 if stack[i][0] in limit:
                     break
                 if stack[i][0] in ends:

@@ -436,6 +436,28 @@ def test_parser_repairs():
         htmltext.parse(broken)
 
 
+@pytest.mark.parametrize("junk", ["<a ", "<! ", "</b", "<a x='", '<a b="', "<div>", "<div><li>", "<form>", "</p>", "<td>", "<!-"])
+def test_long_broken_pages_take_linear_time(junk):
+    page = "<p>first</p>" + junk * (1_000_000 // len(junk))
+    start = time.perf_counter()
+    texts = htmltext.parse(page).text
+    assert time.perf_counter() - start < 10 and any(x.startswith("first") for x in texts)
+
+
+def test_tags_after_one_that_nothing_closes_are_still_tags():
+    assert [x for x in htmltext.parse('<p>one<p>two<a x=">three<p>four" <p>five').text if x][:2] == ["one", "two"]
+    texts = [x for x in htmltext.parse("<p>one</p><a b <i <div class=x>two</div><p>three</p>").text if x]
+    assert texts[0] == "one" and texts[-1] == "three"
+
+
+def test_deep_pages_keep_their_nesting(trees):
+    page = "<main>" + "<div>" * 5000 + "<p>deep</p>" + "</div>" * 5000 + "<p>after</p></main>"
+    t = htmltext.parse(page)
+    deep, after = t.text.index("deep"), t.text.index("after")
+    assert t.depth[deep] > 5000 and t.depth[after] < 10 and t.parent[after] != t.parent[deep]
+    assert isinstance(htmltext.main_texts([page], trees)[0], str)
+
+
 def test_odd_pages(spark, trees):
     kind = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", None, "x", "x"), (1, "u", None, "x", "x"), (2, None, "", "x", "x"), (None, "u", "<p>" + "word " * 60_000, "x", "x"),
