@@ -52,19 +52,21 @@ def root_weights(docs: DataFrame, source_col: str = "source") -> DataFrame:
             .select("source", F.round(F.sqrt(F.col("_n").cast("double")) * 1000).cast("long").alias("weight")))
 
 
-def schedule(weights: DataFrame, period: int = 1000, max_sources: int = 5000, blocks: DataFrame | None = None) -> DataFrame:
+def schedule(weights: DataFrame, period: int = 1000, max_sources: int | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """``(key, m, d, j, slot)``: the slot of each of a source's ``m`` blocks in a period of ``d`` slots.
 
     ``m / d`` is the source's exact share.  With ``blocks (key, last)`` the schedule ends where the blocks up to ``last``
     of all these sources have a slot, if that is before ``d``.  ``period`` slots are worked out at a time; the result
-    does not depend on it.  Null and non-positive weights leave a source out.
+    does not depend on it.  Null and non-positive weights leave a source out.  There may be any number of sources, at
+    (slots x sources) steps and a row a source in the task that makes the schedule; ``max_sources`` refuses more than that
+    many, for callers who want that.
     """
     w = (weights.where("weight > 0").select(source_key(F.col("source").cast("string")).alias("key"),
                                             F.col("weight").cast("long").alias("w")).groupBy("key").agg(F.max("w").alias("w")))
     w = saved(w)  # a row a source: the weights may come from a scan of all documents, which is made once
     n = w.count()
-    if n > max_sources:
-        raise ValueError(f"{n} sources; the schedule is made for at most {max_sources}")
+    if max_sources is not None and n > max_sources:
+        raise ValueError(f"{n} sources, more than max_sources = {max_sources}")
     found = [r.w for r in w.select("w").collect()]
     divisor = math.gcd(*found) or 1
     total = sum(found) // divisor
@@ -87,14 +89,14 @@ def schedule(weights: DataFrame, period: int = 1000, max_sources: int = 5000, bl
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = 8, period: int = 1000,
-        id_col: str = "doc_id", source_col: str = "source", max_sources: int = 5000) -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", max_sources: int | None = None) -> DataFrame:
     """All rows of ``docs`` with ``mix_rank`` (number within the source), ``mix_slot`` and ``mix_pos`` (order of the mix),
     and ``mix_on_target``: up to this slot no source has run out, so every source's share deviates by less than a block
     from its given weight.
 
     After a source has run out its slots stay empty and the others keep their proportions; nothing is dropped or
     repeated.  Sources without a (positive) weight keep their rows, with null slot and position.  A null source is a
-    source of its own; rows with equal ids take neighbouring places; an empty table gives no rows.  Columns of ``docs``
+    source of its own, and there may be any number of them; rows with equal ids take neighbouring places; an empty table gives no rows.  Columns of ``docs``
     named like an output are replaced.
     """
     spark = docs.sparkSession

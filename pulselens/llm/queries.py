@@ -144,16 +144,16 @@ FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 WITH RECURSIVE counts AS (
   SELECT coalesce('=' || source, '') AS key, any_value(source) AS source, count(*) AS n,
          CAST(round(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT) AS w FROM documents GROUP BY 1),
-parts AS (
-  SELECT key, n, greatest(1, (2 * w * 1000 + sum(w) OVER ()) // (2 * sum(w) OVER ()))::BIGINT AS m,
-         row_number() OVER (ORDER BY key) - 1 AS i FROM counts),
-src AS (SELECT key, n, m, i, CAST(sum(m) OVER () AS BIGINT) AS d FROM parts),
-edf(t, i, m, d, k, picked) AS (
-  SELECT CAST(-1 AS BIGINT), i, m, d, CAST(0 AS BIGINT), false FROM src
+divisor AS (SELECT list_reduce(list(w), lambda a, b: gcd(a, b)) AS g FROM counts),
+src AS (SELECT key, n, w // g AS m, row_number() OVER (ORDER BY key) - 1 AS i, CAST(sum(w // g) OVER () AS BIGINT) AS d
+        FROM counts, divisor),
+lim AS (SELECT least(any_value(d), max(((n // 8 + 1) * d + m - 1) // m)) AS last FROM src),
+edf(t, i, m, d, last, k, picked) AS (
+  SELECT CAST(-1 AS BIGINT), i, m, d, last, CAST(0 AS BIGINT), false FROM src, lim
   UNION ALL
-  SELECT t + 1, i, m, d, k + CASE WHEN i = pick THEN 1 ELSE 0 END, i = pick
+  SELECT t + 1, i, m, d, last, k + CASE WHEN i = pick THEN 1 ELSE 0 END, i = pick
   FROM (SELECT *, min(CASE WHEN (k * d) // m <= t + 1 THEN (((k + 1) * d + m - 1) // m) * 1000000 + i END) OVER ()
-               % 1000000 AS pick FROM edf WHERE t + 1 < d)),
+               % 1000000 AS pick FROM edf WHERE t + 1 < last)),
 slots AS (SELECT i, k - 1 AS j, t AS slot FROM edf WHERE picked),
 ends AS (SELECT min(((n // 8) // m) * d + slot) AS horizon FROM src JOIN slots USING (i) WHERE j = (n // 8) % m),
 ranked AS (

@@ -6,10 +6,11 @@ import random
 from fractions import Fraction
 from math import ceil, floor
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from pulselens.llm import mixing, stages
+from pulselens.llm import mixing, queries, stages
 from tests.llm.conftest import make_docs
 
 
@@ -47,6 +48,28 @@ def test_weights_bounds(spark):
     assert mixing.schedule(w.where("false")).collect() == []
 
 
+def test_thousands_of_sources(spark):
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "concat('s', id % 6000) AS source")
+    rows = mixing.mix(docs, block_docs=8).collect()
+    assert len(rows) == 12_000 and sorted({r.mix_slot for r in rows}) == list(range(6000))
+    assert all(r.mix_rank in (0, 1) for r in rows)
+
+
+def test_sql_follows_exact_weights_on_skewed_sources(spark, tmp_path):
+    """A hot source, sources of odd sizes and rows without source."""
+    sizes = {"hot": 3001, "b": 1009, "c": 613, None: 97, "d": 10, "e": 1}
+    rows = [(s, n) for s, n in sizes.items() for _ in range(n)]
+    random.Random(2).shuffle(rows)
+    docs = make_docs(spark, [(i, "t", "en", s) for i, (s, _) in enumerate(rows)])
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    columns = ["doc_id", "source", "mix_rank", "mix_slot", "mix_pos", "mix_on_target"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES['op4_source_mix']})").fetchall()
+    got = queries.op4_source_mix(spark, str(tmp_path)).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == len(rows)
+
+
 def test_mix_of_odd_tables(spark, messy, none, messy_rows):
     w = spark.createDataFrame([("a", 2), ("b", 1), (None, 1)], "source string, weight long")
     got = mixing.mix(messy, w, block_docs=2, period=20)
