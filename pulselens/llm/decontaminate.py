@@ -25,6 +25,9 @@ from .textkit import PUNCTUATION, U64, mix, run_starts, slices, utf8, word_hashe
 WEIGHT, LONGEST = 5, 7
 MASKS = tuple((0, *inner, span - 1) for span in range(WEIGHT, LONGEST + 1)
               for inner in combinations(range(1, span - 1), WEIGHT - 2))
+#: Masks over whole items too short for those: all words of an item of fewer than five; of five, all but one.
+SHORT = {**{n: (tuple(range(n)),) for n in range(1, WEIGHT)},
+         WEIGHT: tuple(tuple(k for k in range(WEIGHT) if k != out) for out in range(WEIGHT))}
 _FACTOR = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                             0xA0761D6478BD642F)]
 _FILTER_BITS = 22
@@ -38,10 +41,12 @@ class _Words:
         self.starts, ends, self.first = words(data, at, PUNCTUATION)
         self.h = word_hashes(data, self.starts, ends)
 
-    def seeds(self, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes seen through the mask, and the word at which each starts."""
-        at = np.flatnonzero(run_starts(self.first, mask[-1] + 1))
-        n = max(0, len(self.h) - mask[-1])
+    def seeds(self, mask: tuple[int, ...], span: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all stretches of ``span`` words (up to the mask's last position) seen through the mask, and the word at
+        which each starts."""
+        last = mask[-1] if span is None else span - 1
+        at = np.flatnonzero(run_starts(self.first, last + 1))
+        n = max(0, len(self.h) - last)
         total = np.zeros(n, U64)
         for k, offset in enumerate(mask):
             total += self.h[offset:offset + n] * _FACTOR[k]
@@ -57,13 +62,24 @@ def _index(items: list[tuple[int, str]]) -> dict:
         h, at = w.seeds(mask)
         hashes.append(h + U64(kind))
         places.append(at)
+    # items of up to five words are also looked up as wholes; documents try those lengths that occur alone
+    sizes, short = np.diff(w.first), []
+    for span, masks in SHORT.items():
+        if (sizes == span).any():
+            for mask in masks:
+                kind = len(MASKS) + len(short)
+                h, at = w.seeds(mask, span)
+                whole = sizes[item[at]] == span
+                hashes.append(h[whole] + U64(kind))
+                places.append(at[whole])
+                short.append((mask, span))
     h, at = np.concatenate(hashes), np.concatenate(places)
     order = np.argsort(h, kind="stable")
     h, at = h[order], at[order]
     seen = np.zeros(1 << _FILTER_BITS, bool)
     seen[(h >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
     return {"ids": np.array([i for i, _ in items], np.int64), "first": w.first, "words": w.h, "item": item,
-            "hash": h, "at": at, "seen": seen}
+            "hash": h, "at": at, "seen": seen, "short": short}
 
 
 def best_stretch(equal: np.ndarray, min_words: int, similarity: float) -> tuple[int, int, float]:
@@ -92,8 +108,8 @@ def _matches(batch: pa.RecordBatch, index: dict, min_words: int, similarity: flo
     w = _Words(batch.column(batch.schema.get_field_index("text")))
     doc_of = np.repeat(np.arange(batch.num_rows), np.diff(w.first))
     found: set[tuple[int, int, int]] = set()
-    for kind, mask in enumerate(MASKS):
-        h, at = w.seeds(mask)
+    for kind, (mask, span) in enumerate([*((m, None) for m in MASKS), *index["short"]]):
+        h, at = w.seeds(mask, span)
         h += U64(kind)
         maybe = np.flatnonzero(index["seen"][(h >> U64(64 - _FILTER_BITS)).astype(np.int64)])
         if not len(maybe):
@@ -111,7 +127,7 @@ def _matches(batch: pa.RecordBatch, index: dict, min_words: int, similarity: flo
         s, e = w.first[d], w.first[d + 1]
         low, high = max(0, -shift), min(b - a, e - s - shift)
         equal = index["words"][a + low:a + high] == w.h[s + shift + low:s + shift + high]
-        at, n, share = best_stretch(equal, min(min_words, max(int(b - a), WEIGHT)), similarity)
+        at, n, share = best_stretch(equal, min(min_words, int(b - a)), similarity if b - a >= WEIGHT else 1.0)
         if n:
             out[d].append({"item_id": int(index["ids"][i]), "start": int(shift + low + at), "n_words": n, "similarity": share})
     return np.diff(w.first), out
@@ -122,8 +138,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, simil
     """One row per row of ``docs``: ``(doc_id, content, n_words, matches)``; ``matches`` lists ``(item_id, start, n_words,
     similarity)`` of each aligned stretch, ``start`` counted in the document's words; ``content`` is the text's hash.
 
-    An item of fewer than ``min_words`` words must agree over its whole length, one of fewer than five words has no
-    seed and matches nothing.  Null texts have no words; items with null text or id are left out; empty tables give no
+    An item of fewer than ``min_words`` words must agree over its whole length, one of fewer than five words in every word
+    (so an item of one common word matches each document that holds it); one without words matches nothing.  Null texts have no words; items with null text or id are left out; empty tables give no
     rows or no matches; repeated rows are judged alike; other columns are not read.
     """
     spark = docs.sparkSession

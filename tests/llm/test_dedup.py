@@ -235,12 +235,12 @@ def bench_of(spark, rows):
     return spark.createDataFrame(rows, "item_id long, text string, h string, content string")
 
 
-def plain_leaks(text, items, least=13, share=0.8):
+def plain_leaks(text, items, least=13, given=0.8):
     words = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
     w, out = words(text), set()
     for i, t in items:
         v = words(t)
-        need = min(least, max(len(v), 5))
+        need, share = min(least, len(v)), given if len(v) >= 5 else 1.0
         for shift in range(-len(v), len(w)):
             low, high = max(0, -shift), min(len(v), len(w) - shift)
             eq = [v[k] == w[k + shift] for k in range(low, high)]
@@ -283,6 +283,27 @@ def test_leaks(spark, messy, messy_rows):
         assert got == want
 
 
+def test_short_items(spark):
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(12)]
+    words = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(n * 10 + k, words(n)) for n in range(1, 8) for k in range(3)] + [(100, ""), (101, "...")]
+    texts = [words(r.choice([0, 1, 2, 3, 4, 5, 6, 9, 14])) for _ in range(300)] + [t for _, t in items]
+    for i, t in items:
+        w = t.split()
+        for k in range(len(w)):                     # each word substituted, at the start, within and at the end of a text
+            one = " ".join([*w[:k], "other", *w[k + 1:]])
+            texts += [one, f"a b {one} c", f"a b {one}"]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    want = {i: sorted(plain_leaks(t, items)) for i, t, _, _ in rows}
+    found = decontaminate.find_leaks(make_docs(spark, rows), bench_of(spark, [(i, t, "x", "y") for i, t in items]))
+    got = {x.doc_id: sorted({m.item_id for m in x.matches}) for x in found.collect()}
+    assert got == want
+    assert {i // 10 for x in want.values() for i in x} >= {1, 2, 3, 4, 5, 6, 7}
+    five = next(t for i, t in items if i == 50).split()
+    assert all(50 in plain_leaks(" ".join([*five[:k], "other", *five[k + 1:]]), items) for k in range(5))
+
+
 def test_leaks_of_empty_tables(spark, messy, messy_rows, none):
     empty = bench_of(spark, [])
     assert decontaminate.find_leaks(none, empty).collect() == []
