@@ -32,6 +32,8 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 GENERATOR = 0xC75
 #: The key scheme's guarantee.
 MAX_BITS = 4
+#: Parts that the members of one component are dealt to when they get its label.
+_SALTS = 16
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -256,7 +258,8 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, max_run: int = 200_000)
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(part[at])], names=["key", "fp"])
 
     n = n_partitions(spark)
-    found = saved(classes.select("fp").mapInArrow(emit, "key long, fp long")
+    # a fingerprint becomes up to 252 rows, so the few bytes of fingerprints are dealt to all tasks first
+    found = saved(classes.select("fp").repartition(n, "fp").mapInArrow(emit, "key long, fp long")
                   .repartition(n, "key").sortWithinPartitions("key")
                   .mapInArrow(lambda it: _links_of_sorted(it, max_bits, max_run), "a long, b long").distinct())
     pairs = found.where("b is not null")
@@ -291,7 +294,11 @@ def _labelled(fingerprinted: DataFrame, max_bits: int, max_run: int) -> DataFram
     classes = fp.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(links(classes, max_bits, max_run))
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    low = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    label = named.select("fp", "root").join(low, "root").select("fp", "root", "component_id")
+        "fp", "first_id", "root", F.pmod(F.xxhash64("fp"), F.lit(_SALTS)).alias("salt"))
+    # a component may hold a third of all fingerprints: its label is repeated for each salt, its members are dealt by
+    # salt; a fingerprint without links needs no label but its own
+    low = named.where("root is not null").groupBy("root").agg(F.min("first_id").alias("component_id")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    label = named.withColumn("root", F.coalesce("root", "fp")).join(low, ["root", "salt"], "left").select(
+        "fp", "root", F.coalesce("component_id", "first_id").alias("component_id"))
     return fp.join(label, "fp")
