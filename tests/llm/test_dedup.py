@@ -225,6 +225,30 @@ def test_factors_name_their_reference(spark):
     assert got == {1: [], 2: [], 3: [(1, 30, 1), (32, 30, 2)]}
 
 
+def test_factors_are_held_by_their_reference(spark):
+    """Few words, so that phrases repeat at several places; each factor stands in the named document at the named word."""
+    r = random.Random(21)
+    rows = [(3, "v0 v1 v2 v3 gap v1 v2 v3 v4", "en", "a"), (4, "v0 v1 v2 v3 v4", "en", "a")]
+    rows += [(i, " ".join(r.choice("ab") for _ in range(r.randint(0, 60))), "en", "a") for i in range(10, 80)]
+    rows += [(i, " ".join(f"w{i}x{k}" for k in range(400)) if i == 80 else " ".join(f"w80x{k}" for k in range(9, 390)), "en", "a")
+             for i in (80, 81)]
+    texts = {i: t.split() for i, t, _, _ in rows}
+    got = {x.doc_id: x.factors for x in substring.factors(make_docs(spark, rows), 4).collect()}
+    for i, found in got.items():
+        for f in found:
+            assert f.ref_doc < i and f.n_words >= 4
+            assert texts[i][f.start:f.start + f.n_words] == texts[f.ref_doc][f.ref_start:f.ref_start + f.n_words]
+    assert [(f.start, f.n_words, f.ref_start) for f in got[4]] == [(0, 4, 0), (1, 4, 5)]
+    assert [(f.start, f.n_words, f.ref_doc, f.ref_start) for f in got[81]] == [(0, 381, 80, 9)]
+
+
+def test_blocks_follow_the_bytes_of_the_text(spark, messy, messy_rows, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 50)
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, " ".join(WORDS.findall(r.kept or "")))
+                  for r in substring.factors(messy, 4).collect()), key=str)
+    assert got == plain_cut(messy_rows, 4)
+
+
 def test_substrings_empty_table(none):
     assert substring.factors(none).collect() == []
 
