@@ -62,6 +62,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:
 _SHORT = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>|<[!?][^<>]*>", re.S)
 _OPENER = re.compile(r"</?[a-zA-Z]|<[!?]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|style|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Parts of class names that say what else a page holds or in which state it is, not what the element is.
+_MODIFIER = re.compile(r"(?:^|[-_])(?:has|no|with|without|is)[-_].*$|^.*[-_](?:open|closed|free|enabled|disabled|on|off)$", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -76,6 +78,8 @@ def _attribute_tokens(raw: str) -> tuple[int, int, bool]:
         if name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
             continue
+        if name in ("class", "id"):
+            value = " ".join(_MODIFIER.sub("", x) for x in value.split())
         for word in re.split(r"[^A-Za-z]+", value):
             parts = {p.lower() for p in _PART.findall(word)} | {word.lower()}
             other += any(s in parts or s not in _WHOLE and any(s in p for p in parts) for s in _OTHER_STEMS)
@@ -279,7 +283,7 @@ def parse(page: str) -> Tree:
 
 # ---------------------------------------------------------------- features
 
-N_FEATURES = len(_GROUPS) + 26
+N_FEATURES = len(_GROUPS) + 34
 
 
 def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
@@ -316,6 +320,11 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
     before = before - before[shift]
     siblings = np.bincount(parent[parent >= 0], minlength=n)
     family = np.where(parent >= 0, siblings[parent], 1)
+    grand = np.where(parent >= 0, parent[parent], -1)
+    edge = (group >= 8) & (group <= 12)
+    # main elements that ended before the node: those that start before it less those around it
+    started = np.concatenate([[0], np.cumsum(group == _CODE["main"])])
+    mains = np.minimum(started[here] - started[shift] - above[:, 3], 3)
     following = np.where(end < np.repeat(first[1:], np.diff(first)), np.minimum(end, n - 1), -1)
     following = np.where((following >= 0) & (parent[following] == parent), following, -1)
     previous = np.full(n, -1)
@@ -329,8 +338,14 @@ def features(trees: list[Tree]) -> tuple[np.ndarray, np.ndarray]:
             np.log1p(below(group == 1)), np.log1p(runs), np.log1p(chars / np.maximum(runs, 1)), below(right), depth,
             index / np.maximum(family, 1), np.log1p(family), np.where(previous >= 0, np.log1p(chars[previous]), -1),
             np.where(following >= 0, np.log1p(chars[following]), -1), before / page_chars, chars / page_chars,
-            below(other) - other, below((group >= 8) & (group <= 12)) - ((group >= 8) & (group <= 12)),
-            np.where(parent >= 0, np.log1p(np.maximum(chars[parent] - chars, 0)), -1))):
+            below(other) - other, below(edge) - edge,
+            np.where(parent >= 0, np.log1p(np.maximum(chars[parent] - chars, 0)), -1),
+            # what names the nearest ancestors: outer wrappers are often named after the blocks they hold
+            np.where(parent >= 0, other[parent], 0), np.where(parent >= 0, main[parent], 0),
+            np.where(grand >= 0, other[grand], 0), np.where(grand >= 0, main[grand], 0),
+            # how much of the page follows, and how many main elements ended before the node
+            (page_chars - before - chars) / page_chars, np.where(group == _CODE["run"], 0, mains),
+            np.where(parent >= 0, edge[parent], 0), np.where(grand >= 0, edge[grand], 0))):
         out[:, g + i] = x
     return out, first
 
@@ -354,7 +369,7 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 4, rate: float = 0.25, bins: int = 32,
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, rate: float = 0.25, bins: int = 32,
           ridge: float = 2.0) -> Boosted:
     """Newton boosting of the logistic loss with histogram splits."""
     n, d = x.shape
@@ -454,6 +469,15 @@ class Layouts:
             name += self.r.choice(["-1", "-wrapper", "_box", " block", "-area", " clearfix", "-inner"])
         return f' {self.r.choice(["class", "class", "id"])}="{name}"'
 
+    def modifiers(self) -> str:
+        """Class names that tell how a page is laid out, and so name blocks that the element is not."""
+        r = self.r
+        block = ["sidebar", "menu", "nav", "header", "footer", "comments", "ads", "ad", "banner", "social", "share", "search",
+                 "widget", "newsletter", "related", "toolbar", "breadcrumb", "cookie"]
+        made = [r.choice(["has-{}", "no-{}", "with-{}", "{}-open", "{}-free", "{}-left", "{}-right", "content-with-{}", "{}-closed",
+                          "{}-on", "page-{}", "layout-{}", "{}Enabled"]).format(r.choice(block)) for _ in range(r.randint(1, 3))]
+        return " ".join(made + r.sample(["single", "page", "site", "wrap", "container", "layout", "post-17", "grid", "row"], 2))
+
     def wrapped(self, semantic: str, names: list[str], body: str) -> str:
         """A block under its semantic tag, or under a plain one whose attributes name it."""
         if semantic and self.r.random() < 0.6:
@@ -494,8 +518,16 @@ class Layouts:
         return f"<div{self.attributes(['newsletter', 'search-box', 'login', 'subscribe', 'signup'], True)}>{body}</div>"
 
     def comments(self):
-        one = lambda: self.wrapped("", ["comment", "comment-body", "reply"], self.r.choice(
-            [f"<p>{self.prose()}</p>", f"<b>{self.few(2)}</b><p>{self.prose()}</p><p>{self.prose()}</p>", self.prose()]))
+        named = self.r.random() < 0.7
+        said = lambda: self.r.choice(
+            [f"<p>{self.prose()}</p>", f"<b>{self.few(2)}</b><p>{self.prose()}</p><p>{self.prose()}</p>", self.prose()])
+        if not named:  # under a name that says nothing to the word list
+            which = self.r.choice(["responses", "reactions", "thread", "opinions", "talk", "guestbook", "voices", "c-list", "x7"])
+            item, title = self.r.choice(["item", "one", "entry-x", "row", ""]), self.r.choice(["", f"<h3>{self.few()}</h3>"])
+            body = "".join(f'<div class="{item}">{said()}</div>' if item else f"<div>{said()}</div>"
+                           for _ in range(self.r.randint(1, 6)))
+            return f'<{(t := self.r.choice(["div", "section"]))} class="{which}">{title}{body}</{t}>'
+        one = lambda: self.wrapped("", ["comment", "comment-body", "reply"], said())
         body = f"<h3>{self.few()}</h3>" + "".join(one() for _ in range(self.r.randint(1, 6)))
         if self.r.random() < 0.3:
             body = "<ul>" + "".join(f"<li>{self.prose()}</li>" for _ in range(self.r.randint(1, 5))) + "</ul>"
@@ -525,28 +557,57 @@ class Layouts:
     def article(self) -> str:
         r = self.r
         parts = [f"<h1>{_MARK + self.few(10)}</h1>"] if r.random() < 0.75 else []
+        if parts and r.random() < 0.45:  # the title in a header of its own
+            by = f"<p>{_MARK + self.few(6)}</p>" if r.random() < 0.3 else ""
+            parts = [r.choice(['<div class="post-header">{}</div>', '<header>{}</header>', '<header class="entry-header">{}</header>',
+                               '<header>{}</header>', '<header class="entry-header">{}</header>', '<div class="entry-header">{}</div>',
+                               '<div class="article-header">{}</div>', '<div class="story-top">{}</div>',
+                               '<div class="title-banner">{}</div>']).format(parts[0] + by)]
         parts += [self.main_block() for _ in range(r.choice([1, 2, 3, 5, 8, 12, 20]))]
         for _ in range(r.choice([0, 0, 0, 1, 2])):
             parts.insert(r.randint(0, len(parts)), r.choice([self.advert, self.notice, self.sidebar, self.form, self.advert])())
         body = "".join(parts)
         kind = r.random()
         names = ["content", "post", "entry-content", "article-body", "story", "main", "main-content", "post-body text"]
+        if kind < 0.84 and r.random() < 0.3:
+            t = r.choice(["article", "main"] if kind < 0.55 else ["div", "section"])
+            body = f'<{t} class="{r.choice(names)} {self.modifiers()}">{body}</{t}>'
+            kind = 0 if kind < 0.55 else 0.98
+        elif kind < 0.55:
+            body = f"<{(t := r.choice(['article', 'article', 'main']))}{self.attributes(names, False)}>{body}</{t}>"
         if kind < 0.55:
-            return f"<{(t := r.choice(['article', 'article', 'main']))}{self.attributes(names, False)}>{body}</{t}>"
-        if kind < 0.9:
+            return f"<main>{body}</main>" if body.startswith("<article") and r.random() < 0.2 else body
+        if kind < 0.84:
             return f"<{(t := r.choice(['div', 'section']))}{self.attributes(names, True)}>{body}</{t}>"
-        return f"<div>{body}</div>" if kind < 0.97 else body
+        return r.choice(["<div>{}</div>", "<div><div>{}</div></div>"]).format(body) if kind < 0.96 else body
 
     def page(self) -> str:
         r = self.r
         top = [f() for f in r.sample([self.menu, self.header, self.advert, self.notice, self.form], r.randint(1, 4))]
         low = [f() for f in r.sample([self.sidebar, self.footer, self.comments, self.advert, self.menu, self.form, self.notice],
                                      r.randint(1, 5))]
-        body = "".join(top) + self.article() + "".join(low)
+        body = self.article()
+        if (layout := r.random()) < 0.12:  # a table for a layout
+            side = [f"<td{self.attributes(['menu', 'left', 'nav'], False)}>{self.links(r.randint(3, 8), r.choice(['li', 'div']))}</td>"
+                    for _ in range(r.randint(0, 1))]
+            late = [f"<td{self.attributes(['right', 'sidebar'], False)}>{self.sidebar()}</td>" for _ in range(r.randint(0, 1))]
+            body = f"<tr>{''.join(side)}<td{self.attributes(['main', 'content', 'text'], False)}>{body}</td>{''.join(late)}</tr>"
+            head, foot = (f"<tr><td colspan=3>{x}</td></tr>" if r.random() < 0.6 else "" for x in (self.few(6), f"&copy; {self.few(6)}"))
+            body = f"<table>{head}{body}{foot}</table>"
+        elif layout < 0.3:  # the article, with or without some of what follows it, in a wrapper named after other blocks
+            inner = [low.pop(0)] if len(low) > 1 and r.random() < 0.5 else []
+            body = f'<div class="{self.modifiers()}">{body}{"".join(inner)}</div>'
+        elif body.startswith("<article") and r.random() < 0.4:  # other blocks beside the article in one main element
+            inner = [low.pop(0)] if len(low) > 1 and r.random() < 0.5 else [self.comments()]
+            body = f'<main{self.attributes(["main", "content"], False)}>{body}{"".join(inner)}</main>'
+        body = "".join(top) + body + "".join(low)
+        if r.random() < 0.2:
+            body = f'<div class="{self.modifiers()}">{body}</div>'
         if r.random() < 0.25:
             body = f'<div id="{r.choice(["wrapper", "container", "root", "app"])}">{body}</div>'
         end = r.choice(["</body></html>", "</body></html>", ""])
-        return f"<!DOCTYPE html><html><head><title>{self.few(9)}</title><style>p{{margin:0}}</style></head><body>{body}{end}"
+        start = f'<body class="{self.modifiers()}">' if r.random() < 0.3 else "<body>"
+        return f"<!DOCTYPE html><html><head><title>{self.few(9)}</title><style>p{{margin:0}}</style></head>{start}{body}{end}"
 
 
 def training_rows(blocks: list[str], pages: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -565,7 +626,7 @@ def training_rows(blocks: list[str], pages: int, seed: int = 7) -> tuple[np.ndar
     return features(trees)[0], np.array(labels, float)
 
 
-def learn(pages: DataFrame, sample_pages: int = 150, layouts: int = 400, id_col: str = "page_id",
+def learn(pages: DataFrame, sample_pages: int = 150, layouts: int = 800, id_col: str = "page_id",
           html_col: str = "html") -> Boosted:
     """Train on layouts of the blocks of about ``sample_pages`` pages, those whose hash falls in that share of all hashes
     (all pages of a smaller table); neither bound grows with the table, and rows that repeat count once."""

@@ -399,6 +399,64 @@ def test_hand_written_pages(trees):
         assert [x.split()[0] for x in got] == [f"MAIN{i}" for i in range(n)]
 
 
+def test_wrappers_named_after_other_blocks(trees):
+    """Every block of the article says MAIN; the wrappers' class names speak of side bars, adverts and comments."""
+    p = "Thheouble heenwh on reti ingeser erster that anha the of are haedre anti the a theaatnd or it ing thshst."
+    main = f"<h1>MAIN0</h1><p>MAIN1 {p}</p><p>MAIN2 {p}</p>"
+    pages = [
+        f'<body class="single has-sidebar ad-free"><div class="content-with-sidebar"><article class="post comments-open">{main}</article></div>',
+        f'<main><div class="post-header"><h1>MAIN0</h1></div><p>MAIN1 {p}</p><p>MAIN2 {p}</p></main><footer>2024</footer>',
+        f'<main>{main}</main><div class="responses"><div><b>Ann</b><p>I think {p}</p></div><div><b>Bob</b><p>No {p}</p></div></div>',
+        f'<main>{main}</main><div class="responses"><p>I think {p}</p><p>No {p}</p></div>',
+        f'<body class="no-sidebar"><div class="layout with-menu"><div class="menu"><a href=/>a</a> <a href=/b>b</a></div>'
+        f'<div class="content"><header class="entry-header"><h1>MAIN0</h1></header><p>MAIN1 {p}</p><p>MAIN2 {p}</p></div>'
+        f'<div class="sidebar"><p>Side {p}</p></div></div>',
+    ]
+    for html_ in pages:
+        assert [x.split()[0] for x in htmltext.main_texts([html_], trees)[0].split("\n")] == ["MAIN0", "MAIN1", "MAIN2"]
+
+
+def foreign_pages(blocks, n):
+    """Pages of three template families that training does not lay out like this; the article's blocks start with the mark."""
+    r = random.Random(77)
+    prose, few = lambda: html.escape(r.choice(blocks)), lambda: html.escape(" ".join(r.choice(blocks).split()[:4]))
+    mark = htmltext._MARK
+    for i in range(n):
+        body = f"<h1>{mark}{few()}</h1>" + "".join(
+            r.choice([f"<p>{mark}{prose()}</p>"] * 6 + [f"<h2>{mark}{few()}</h2>", f"<ul><li>{mark}{prose()}</li><li>{mark}{prose()}</li></ul>"])
+            for _ in range(r.randint(3, 9)))
+        menu = "".join(f"<a href=/{k}>{few()}</a> | " for k in range(r.randint(4, 8)))
+        talk = "".join(f"<div class=msg><i>{few()}</i><p>{prose()}</p></div>" for _ in range(r.randint(1, 5)))
+        if i % 3 == 0:  # a table for a layout
+            page = (f"<table width=100%><tr><td colspan=2>{few()}</td></tr><tr><td width=150 class=leftnav>{menu}</td><td>{body}</td></tr>"
+                    f"<tr><td colspan=2 class=foot>&copy; {few()}</td></tr></table>")
+        elif i % 3 == 1:  # generated class names, side bar before the article
+            page = (f"<div id=__next><div class=css-1a2b><header>{menu}</header></div><div class=css-9x><aside class=css-77><p>{prose()}</p></aside>"
+                    f"<main class=css-3c>{body}</main></div><footer class=css-zz><p>{few()}</p></footer></div>")
+        else:  # everything beside the article in sections of one wrapper
+            page = (f"<body class='page has-nav with-comments'><div class='nav-top'>{menu}</div><div class='wrap sidebar-right'>"
+                    f"<article class=hentry>{body}</article><section class=talkback><h4>{few()}</h4>{talk}</section></div>"
+                    f"<div class=sidebar><h4>{few()}</h4><p>{prose()}</p></div><div class=footer>{few()}</div>")
+        yield i % 3, page
+
+
+def test_held_out_template_families(spark, trees):
+    blocks = [s for r in spark.read.parquet(f"{SF001}/pages.parquet").collect() for s in htmltext.parse(r.html).text if s]
+    counts = {f: [0, 0, 0] for f in range(3)}  # kept and main, kept, main
+    for family, page in foreign_pages(blocks, 240):
+        t = htmltext.parse(page)
+        main = [s.startswith(htmltext._MARK) for s in t.text]
+        t.text = [s.lstrip(htmltext._MARK) for s in t.text]
+        keep = htmltext.decode(t.parent, trees.log_odds(htmltext.features([t])[0]).tolist())
+        for s, k, m in zip(t.text, keep, main):
+            if s:
+                c = counts[family]
+                c[0], c[1], c[2] = c[0] + (k and m), c[1] + k, c[2] + m
+    # precision and recall of blocks: 1.0 and 1.0 in the last two, 0.85 and 0.63 where a table is the layout (README)
+    for (both, kept, main), least in zip(counts.values(), ((0.75, 0.5), (0.95, 0.95), (0.95, 0.95))):
+        assert both >= least[0] * kept and both >= least[1] * main
+
+
 @pytest.mark.parametrize("page, texts", [
     ("<form><button>Go</form><article><p>First.</p><p>Second.</p></article>", ["First.", "Second."]),
     ("<p title=it's>First.</p><p>Don't drop.</p>", ["First.", "Don't drop."]),
