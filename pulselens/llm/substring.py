@@ -191,14 +191,16 @@ def factors(docs: DataFrame, window: int = 13, blocks: int | None = None,
     by_block = text.groupBy("block")
     per_key = Window.partitionBy("key")
     block = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("block")
-    upper = F.col("lowest.place").bitwiseAND(F.lit(-1 << 32)).alias("place")
+    upper = F.col("first").bitwiseAND(F.lit(-1 << 32)).alias("place")
+    # window functions take plain columns only: an expression in one would cross the network as a further column
     shared = (by_block.applyInArrow(anchors, _INDEX)
-              .withColumn("lowest", F.min("low").over(per_key)).withColumn("highest", F.max(F.expr("low ^ differ")).over(per_key))
-              .where("lowest < highest").select(block, "key"))
+              .withColumns({"lowest": F.min("low").over(per_key), "highest": F.max("low").over(per_key),
+                            "least": F.min("differ").over(per_key), "most": F.max("differ").over(per_key)})
+              .where("lowest < highest or least <> 0 or most <> 0").select(block, "key"))
     # an id lies in one block, so the smallest one's row of a key is unique
     held = (by_block.cogroup(shared.groupBy("block")).applyInArrow(phrases, _INDEX)
-            .withColumn("lowest", F.min(F.struct("low", "place")).over(per_key))
-            .where("lowest.low < (low ^ differ)").select(block, upper, "key", F.col("lowest.low").alias("low")))
+            .withColumns({"lowest": F.min("low").over(per_key), "first": F.min_by("place", "low").over(per_key)})
+            .where("lowest < (low ^ differ)").select(block, upper, "key", F.col("lowest").alias("low")))
     return by_block.cogroup(held.groupBy("block")).applyInArrow(
         apply, "doc_id long, text string, n_words long, n_removed long, kept string, "
                "factors array<struct<start: long, n_words: long, ref_doc: long, ref_start: long>>")
